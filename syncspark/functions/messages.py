@@ -35,6 +35,11 @@ def _elements(text: Column) -> Column:
     )
 
 
+def _ends_at_first_brace(text: Column) -> Column:
+    """The only closing brace ends the text: if it parses, nothing follows the object."""
+    return F.instr(text, "}") == F.char_length(F.rtrim(text))
+
+
 def unwrap(text: Column) -> Column:
     """Undo double encoding: a value that is itself a JSON string is decoded.
 
@@ -56,34 +61,44 @@ def decode(
     text is cleaned by dropping every backslash and only null or empty messages
     are refused; malformed ones then become rows of nulls.
     """
-    raw = F.col(value).cast("string")
+    others = [c for c in df.columns if c != value]
+    texts = df.select(*others, F.col(value).cast("string").alias(value))
     if lenient:
-        parsed = F.from_json(clean_text(raw), schema)
-        return df.withColumn(value, raw).withColumn("data", parsed).withColumn(
-            "reason", F.when(F.col("data").isNull(), F.lit(EMPTY))
-        )
+        parsed = texts.withColumn("_parsed", F.from_json(clean_text(F.col(value)), schema))
+        reason = F.when(F.col("_parsed").isNull(), EMPTY)
+        return _fixed(parsed, [*others, value], F.col("_parsed"), reason)
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
-    opened = df.withColumn(value, raw).withColumn("_text", unwrap(F.col(value)))
-    parsed = opened.withColumn("_parts", _elements(F.col("_text"))).withColumn(
-        "_parsed", F.from_json("_text", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = (
+        texts.withColumn("_text", unwrap(F.col(value)))
+        .withColumn("_parsed", F.from_json("_text", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}))
+        .withColumn("_closed", _ends_at_first_brace(F.col("_text")) & F.col(f"_parsed.{_CORRUPT}").isNull())
+        .withColumn("_parts", F.when(~F.col("_closed"), _elements(F.col("_text"))))
+    )
+    one_value = F.col("_closed") | F.coalesce(
+        (F.size("_parts") == 2) & (F.col("_parts")[1] == _END), F.lit(False)
     )
-    one_value = F.coalesce((F.size("_parts") == 2) & (F.col("_parts")[1] == _END), F.lit(False))
     missing = F.lit(False)
     for name in required:
         missing = missing | F.col(f"_parsed.`{name}`").isNull()
-    corrupt = F.col(f"_parsed.{_CORRUPT}").isNotNull()
     reason = (
         F.when(F.col(value).isNull() | (F.trim(F.col(value)) == ""), EMPTY)
         .when(~one_value, NOT_JSON)
         .when(~F.coalesce(F.col("_text").rlike(r"^\s*\{"), F.lit(False)), NOT_OBJECT)
-        .when(corrupt, WRONG_TYPE)
+        .when(F.col(f"_parsed.{_CORRUPT}").isNotNull(), WRONG_TYPE)
         .when(missing, MISSING_KEY)
     )
-    return (
-        parsed.withColumn("reason", reason)
-        .withColumn("data", F.col("_parsed").dropFields(_CORRUPT))
-        .drop("_text", "_parts", "_parsed")
-    )
+    fields = F.struct(*(F.col(f"_parsed.`{n}`").alias(n) for n in schema.names))
+    return _fixed(parsed, [*others, value], fields, reason)
+
+
+def _fixed(parsed: DataFrame, names: Sequence[str], data: Column, reason: Column) -> DataFrame:
+    """Add the outcome of a parse as a generated row.
+
+    Later filters and selections stay above a generator, whereas they would be
+    merged with a projection and parse each text once per use.
+    """
+    outcome = F.struct(data.alias("data"), reason.alias("reason"))
+    return parsed.select(*names, F.inline(F.array(outcome)))
 
 
 def accepted(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -8,13 +8,14 @@ from pyspark.sql import Column, functions as F
 
 from syncspark.schemas import CURSOR_FORMAT, ENTITY_PREFIX
 
-# The lenient cleaning patterns.
-BACKSLASH_PATTERN = r"\\"
+# What lenient cleaning removes.
+BACKSLASH = "\\"
 OUTER_QUOTE_PATTERN = '^"|"$'
 
 
 def strip_backslashes(text: Column) -> Column:
-    return F.regexp_replace(text, BACKSLASH_PATTERN, "")
+    """Drop every backslash; a plain search is enough for one character."""
+    return F.replace(text, F.lit(BACKSLASH), F.lit(""))
 
 
 def strip_outer_quotes(text: Column) -> Column:

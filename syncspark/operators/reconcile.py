@@ -12,6 +12,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from syncspark.workspace import stage
+
 IN_SOURCE = "n_source"
 IN_SINK = "n_sink"
 
@@ -138,16 +140,24 @@ def summaries(source: DataFrame, sinks: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, rows)
 
 
-def _digests(names: Sequence[str], buckets: int) -> tuple[Column, Column, Column]:
-    """Bucket and two independent 64-bit hashes of a row.
+# A hash is summed in pieces of this many bits: the sums of 2^43 rows fit a long.
+_PIECE_BITS = 20
+
 
-    Spark's hash skips nulls, so a text of the null positions is hashed with
-    the values; otherwise (a, null) and (null, a) would look the same.
+def _digest(names: Sequence[str], buckets: int) -> tuple[Column, list[Column]]:
+    """Bucket of a row, and 100 further bits of two hashes in summable pieces.
+
+    Spark's hash skips nulls, so the null positions are hashed with the values;
+    otherwise (a, null) and (null, a) would look the same.
     """
-    nulls = F.concat(*(F.when(F.col(n).isNull(), "1").otherwise("0") for n in names))
-    first = F.xxhash64(F.lit(1), nulls, *names)
-    second = F.xxhash64(F.lit(2), nulls, *names)
-    return F.pmod(F.xxhash64(F.lit(3), nulls, *names), F.lit(buckets)).cast("int"), first, second
+    parts = [part for n in names for part in (F.col(n).isNull(), F.col(n))]
+    first, second = F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+    mask = F.lit((1 << _PIECE_BITS) - 1)
+    pieces = [
+        F.shiftrightunsigned(bits, shift).bitwiseAND(mask)
+        for bits, shift in ((first, 24), (first, 44), (second, 0), (second, 20), (second, 40))
+    ]
+    return F.pmod(first, F.lit(buckets)).cast("int"), pieces
 
 
 def narrow(source: DataFrame, sink: DataFrame, buckets: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
@@ -157,35 +167,34 @@ def narrow(source: DataFrame, sink: DataFrame, buckets: int = 1 << 16) -> tuple[
     digest per bucket and map task through the shuffle, and only rows of
     differing buckets remain for :func:`compare`. Missing and extra rows are
     those of the whole frames, totals are not. Two buckets are taken as equal
-    when their count and the exact sums of two 64-bit hashes agree. At most
-    ``buckets`` bucket numbers are broadcast.
+    when their counts and the exact sums of all hash pieces agree. The numbers
+    of the differing buckets, at most ``buckets``, are staged and broadcast.
     """
     names = source.columns
     # Types are brought together first: the hash of 1 differs between int and long.
     common = source.limit(0).union(sink.select(*names).limit(0)).schema
-    sides = []
-    for frame, sign in ((source, 1), (sink, -1)):
-        typed = frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in common.fields))
-        bucket, first, second = _digests(names, buckets)
-        sides.append((typed.withColumn("_bucket", bucket), first, second, sign))
-    wide = "decimal(38,0)"
-    digests = reduce(
-        DataFrame.union,
-        [
-            frame.select(
-                "_bucket",
-                F.lit(sign).cast("long").alias("_n"),
-                (first.cast(wide) * sign).cast(wide).alias("_a"),
-                (second.cast(wide) * sign).cast(wide).alias("_b"),
-            )
-            for frame, first, second, sign in sides
-        ],
-    )
+    bucket, pieces = _digest(names, buckets)
+    sides = [
+        frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in common.fields))
+        for frame in (source, sink)
+    ]
+    sums = ["_n", *(f"_h{i}" for i in range(len(pieces)))]
+    tagged = [
+        side.select(
+            bucket.alias("_bucket"),
+            *((value * sign).alias(name) for name, value in zip(sums, [F.lit(1).cast("long"), *pieces])),
+        )
+        for side, sign in zip(sides, (1, -1))
+    ]
+    unequal = reduce(Column.__or__, [F.col(name) != 0 for name in sums])
     differing = (
-        digests.groupBy("_bucket")
-        .agg(F.sum("_n").alias("_n"), F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
-        .filter((F.col("_n") != 0) | (F.col("_a") != 0) | (F.col("_b") != 0))
+        tagged[0]
+        .union(tagged[1])
+        .groupBy("_bucket")
+        .agg(*(F.sum(name).alias(name) for name in sums))
+        .filter(unequal)
         .select("_bucket")
     )
-    kept = [frame.join(F.broadcast(differing), "_bucket", "left_semi").drop("_bucket") for frame, *_ in sides]
-    return kept[0], kept[1]
+    differing = F.broadcast(stage(differing, "buckets"))
+    kept = [side.withColumn("_bucket", bucket).join(differing, "_bucket", "left_semi") for side in sides]
+    return kept[0].select(*names), kept[1].select(*names)

@@ -53,33 +53,56 @@ USERS_DOCUMENT = {
 REPOSITORIES_DOCUMENT = {"repo_id": INT, "name": STRING, "url": STRING_OR_NULL}
 
 
-def with_document(df: DataFrame, text: str, name: str = "_document") -> DataFrame:
-    """Add the JSON text as a variant, parsed once for all rules."""
-    return df.withColumn(name, F.try_parse_json(F.col(text)))
+KINDS = "_kinds"
+_WHOLE = "whole"
 
 
-def document_rules(
-    types: Mapping[str, Sequence[str]], required: Sequence[str], document: str = "_document"
-) -> dict[str, Column]:
-    """Rules on the JSON types of a parsed document.
+def with_kinds(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
+    """Add the JSON types of a document and of its fields; null where absent.
 
     The text is inspected rather than a parsed struct, because a parser that
     casts would turn the number 12 into an acceptable login.
     """
-    kind = F.schema_of_variant(F.col(document))
-    rules = {"not an object": ~F.coalesce(kind.startswith("OBJECT"), F.lit(False))}
-    for name, allowed in types.items():
-        field = F.schema_of_variant(F.try_variant_get(F.col(document), f"$.{name}", "variant"))
+    document = F.col("_document")
+    kinds = [F.schema_of_variant(document).alias(_WHOLE)]
+    for i, name in enumerate(fields):
+        value = F.try_variant_get(document, f"$.{name}", "variant")
+        kinds.append(F.schema_of_variant(value).alias(f"field_{i}"))
+    names = df.columns
+    return (
+        df.withColumn("_document", F.try_parse_json(F.col(text)))
+        .select(*names, F.inline(F.array(F.struct(F.struct(*kinds).alias(KINDS)))))
+    )
+
+
+def document_rules(types: Mapping[str, Sequence[str]], required: Sequence[str]) -> dict[str, Column]:
+    """Rules on the types found by :func:`with_kinds` for the same fields."""
+    rules = {"not an object": ~F.coalesce(F.col(f"{KINDS}.{_WHOLE}").startswith("OBJECT"), F.lit(False))}
+    for i, (name, allowed) in enumerate(types.items()):
+        kind = F.col(f"{KINDS}.field_{i}")
         if name in required:
-            rules[f"{name} is missing"] = field.isNull()
-        rules[f"{name} has a wrong type"] = F.coalesce(~field.isin(*allowed), F.lit(False))
+            rules[f"{name} is missing"] = kind.isNull()
+        rules[f"{name} has a wrong type"] = F.coalesce(~kind.isin(*allowed), F.lit(False))
     return rules
 
 
+def check_documents(
+    df: DataFrame, text: str, types: Mapping[str, Sequence[str]], required: Sequence[str]
+) -> DataFrame:
+    """Add the names of the document rules that each JSON text breaks."""
+    kinds = with_kinds(df, text, list(types))
+    return check(kinds, document_rules(types, required)).drop(KINDS)
+
+
 def check(df: DataFrame, rules: Rules) -> DataFrame:
-    """Add the sorted names of the broken rules."""
+    """Add the sorted names of the broken rules.
+
+    They are generated, not projected, so a filter on them does not evaluate
+    every rule a second time.
+    """
     broken = F.array(*(F.when(test, F.lit(name)) for name, test in rules.items()))
-    return df.withColumn(VIOLATIONS, F.array_sort(F.array_compact(broken)))
+    names = F.array_sort(F.array_compact(broken)).alias(VIOLATIONS)
+    return df.select("*", F.inline(F.array(F.struct(names))))
 
 
 def valid(checked: DataFrame) -> DataFrame:

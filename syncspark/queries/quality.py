@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -19,11 +20,10 @@ from syncspark.operators.rules import (
     USERS_DOCUMENT,
     broken,
     check,
-    document_rules,
+    check_documents,
     max_length,
     not_null,
     valid,
-    with_document,
 )
 from syncspark.functions.scalars import entity_key
 from syncspark.plans import bootstrap
@@ -38,7 +38,7 @@ from syncspark.queries.inputs import (
 )
 from syncspark.queries.registry import query
 from syncspark.schemas import NAME_LIMIT, STATE_LIMIT, USERS_REQUIRED
-from syncspark.sources.catalog import add_column, drop_column, sentinels, structure
+from syncspark.sources.catalog import add_column, drop_column, filled, sentinels, structure
 from syncspark.workspace import new_path
 
 _LIMITED = ("login", "avatar_url")
@@ -65,22 +65,20 @@ named AS (
     FROM kinds)"""
 
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _checked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Text after an object is a matter of message parsing, not of these rules.
     texts = messages(spark, sf_dir).filter(F.col("value").isNull() | ~F.col("value").endswith("trailing"))
-    return with_document(texts, "value")
+    return check_documents(texts, "value", USERS_DOCUMENT, USERS_REQUIRED)
 
 
 @query(f"{_DOCUMENT_SQL} SELECT event_id, value, violations FROM named WHERE violations <> ''")
 def doc_rules_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = document_rules(USERS_DOCUMENT, USERS_REQUIRED)
-    return _joined(broken(check(_documents(spark, sf_dir), rules))).drop("_document")
+    return _joined(broken(_checked_documents(spark, sf_dir)))
 
 
 @query(f"{_DOCUMENT_SQL} SELECT event_id, value FROM named WHERE violations = ''")
 def doc_rules_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = document_rules(USERS_DOCUMENT, USERS_REQUIRED)
-    return valid(check(_documents(spark, sf_dir), rules)).drop("_document")
+    return valid(_checked_documents(spark, sf_dir))
 
 
 @query(f"WITH {USERS_SQL} SELECT *, 'avatar_url is null' AS violations FROM users WHERE avatar_url IS NULL")
@@ -106,16 +104,33 @@ def _new_database(spark: SparkSession, sf_dir: str) -> str:
     return database
 
 
-@query()
+def _columns_sql() -> str:
+    """Declared columns of every fixed table, and their numbers of values."""
+    filled = {"Users": "users", "Repositories": "repositories"}
+    rows = []
+    for table_name, schema in bootstrap.declared("").items():
+        name = table_name.lstrip(".")
+        for f in schema.fields:
+            n = f"(SELECT count({f.name}) FROM {filled[name]})" if name in filled else "CAST(0 AS BIGINT)"
+            kind = f.dataType.simpleString()
+            rows.append(
+                f"SELECT '{name}' AS table_name, '{f.name}' AS column_name, '{kind}' AS expected, "
+                f"'{kind}' AS found, true AS ok, {n} AS n_values"
+            )
+    return " UNION ALL ".join(rows)
+
+
+@query(f"WITH {USERS_SQL}, {REPOSITORIES_SQL} {_columns_sql()}")
 def structure_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared columns of the fixed tables after a column came and went."""
+    """Declared columns and their contents, after a column came and went."""
     database = _new_database(spark, sf_dir)
     bootstrap.validate(spark, database, 1)
     add_column(spark, f"{database}.Users", "run_id", "string")
     drop_column(spark, f"{database}.Users", "run_id")
-    found = structure(spark, bootstrap.declared(database))
-    counts = spark.table(f"{database}.Users").agg(F.count("*").alias("n_users"))
-    return found.join(F.broadcast(counts)).withColumn("table_name", F.substring_index("table_name", ".", -1))
+    tables = bootstrap.declared(database)
+    counts = reduce(DataFrame.union, [filled(spark.table(name), name) for name in tables])
+    checked = structure(spark, tables).join(counts, ["table_name", "column_name"], "left")
+    return checked.withColumn("table_name", F.substring_index("table_name", ".", -1))
 
 
 @query(

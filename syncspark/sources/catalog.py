@@ -78,6 +78,16 @@ def structure(spark: SparkSession, tables: Mapping[str, T.StructType]) -> DataFr
     )
 
 
+def filled(df: DataFrame, table_name: str) -> DataFrame:
+    """One row per column with its number of values, counted in one scan."""
+    counts = df.agg(*(F.count(c).alias(c) for c in df.columns))
+    return counts.select(F.lit(table_name).alias("table_name"), F.posexplode(F.array(*counts.columns))).select(
+        "table_name",
+        F.element_at(F.array(*(F.lit(c) for c in df.columns)), F.col("pos") + 1).alias("column_name"),
+        F.col("col").alias("n_values"),
+    )
+
+
 def sentinels(tables: Mapping[str, DataFrame], key: str, value: object) -> DataFrame:
     """One row per table: is there a row with this key?"""
     rows = [
