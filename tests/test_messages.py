@@ -1,0 +1,141 @@
+import pytest
+from pyspark.sql import functions as F
+
+from syncspark.functions import (
+    accepted,
+    clean_text,
+    decode,
+    encode,
+    entity_key,
+    field_map,
+    format_micros,
+    is_blank,
+    now_millis,
+    quarantined,
+    strip_backslashes,
+    strip_outer_quotes,
+    to_millis,
+)
+from syncspark.functions.messages import open_map
+from syncspark.schemas import MESSAGE, MESSAGE_REQUIRED
+
+GOOD = [
+    ('{"user_id":1,"login":"a"}', 1, "a"),
+    ('"{\\"user_id\\":2,\\"login\\":\\"b\\"}"', 2, "b"),
+    ('{"user_id":3,"login":"x\\ny"}', 3, "x\ny"),
+    ('{"user_id":4,"login":"q\\"q"}', 4, 'q"q'),
+    ('{"user_id":3000000000,"login":"a"}', 3000000000, "a"),
+    (' {"user_id":9,"login":"sp"}\n', 9, "sp"),
+    ('{"user_id":5,"login":"brace } inside"}', 5, "brace } inside"),
+    ('{"user_id":6,"login":"nested","other":{"deep":[1,{"x":2}]}}', 6, "nested"),
+    ('"{\\"user_id\\":7,\\"login\\":\\"back\\\\\\\\slash\\"}"', 7, "back\\slash"),
+]
+BAD = [
+    ("{bad", "not one json value"),
+    ("{bad}", "not one json value"),
+    ("plain text", "not one json value"),
+    ('"plain"', "not one json value"),
+    ("[]", "not a json object"),
+    ("null", "not a json object"),
+    ("12", "not a json object"),
+    ("{}", "missing required key"),
+    ('{"user_id":1}', "missing required key"),
+    ('{"user_id":null,"login":"a"}', "missing required key"),
+    ("", "empty"),
+    ("   ", "empty"),
+    (None, "empty"),
+    ('{"user_id":1,"login":"a"} trailing', "not one json value"),
+    ('{"user_id":1,"login":"a"} {"user_id":2,"login":"b"}', "not one json value"),
+    ('{"user_id":1,"login":"a"},{"user_id":2,"login":"b"}', "not one json value"),
+    ('{"user_id":1,"login":"a"}], [{}', "not one json value"),
+    ('"{\\"user_id\\":2,\\"login\\":\\"b\\"} junk"', "not one json value"),
+    ('{"user_id":"x","login":"a"}', "wrong field type"),
+    ('{"user_id":9.5,"login":"a"}', "wrong field type"),
+    ('{"user_id":99999999999999999999,"login":"a"}', "wrong field type"),
+]
+
+
+def _frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "n int, value string")
+
+
+def test_good_messages_are_accepted_whole(spark):
+    found = accepted(decode(_frame(spark, [g[0] for g in GOOD])), keep=["n"]).orderBy("n").collect()
+    assert [(r.n, r.user_id, r.login) for r in found] == [(i, g[1], g[2]) for i, g in enumerate(GOOD)]
+
+
+def test_bad_messages_are_refused_with_reason_and_whole_text(spark):
+    decoded = decode(_frame(spark, [b[0] for b in BAD]))
+    found = quarantined(decoded, keep=["n"]).orderBy("n").collect()
+    assert [(r.n, r.value, r.reason) for r in found] == [(i, b[0], b[1]) for i, b in enumerate(BAD)]
+    assert accepted(decoded).count() == 0
+
+
+def test_every_message_is_either_accepted_or_refused(spark):
+    texts = [g[0] for g in GOOD] + [b[0] for b in BAD]
+    decoded = decode(_frame(spark, texts))
+    assert accepted(decoded).count() + quarantined(decoded).count() == len(texts)
+
+
+def test_binary_values_are_read_as_text(spark):
+    df = _frame(spark, [g[0] for g in GOOD]).withColumn("value", F.col("value").cast("binary"))
+    assert accepted(decode(df)).count() == len(GOOD)
+
+
+def test_lenient_mode_keeps_rows_of_nulls_and_loses_escapes(spark):
+    texts = ['{"user_id":3,"login":"x\\ny"}', '{"user_id":4,"login":"q\\"q"}', "{bad", "", None,
+             '"{\\"user_id\\":2,\\"login\\":\\"b\\"}"']
+    found = accepted(decode(_frame(spark, texts), lenient=True), keep=["n"]).orderBy("n").collect()
+    assert [(r.n, r.user_id, r.login) for r in found] == [
+        (0, 3, "xny"), (1, None, None), (2, None, None), (5, 2, "b"),
+    ]
+
+
+def test_each_text_is_parsed_once(spark):
+    plan = accepted(decode(_frame(spark, ["{}"])))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(user_id") == 1
+
+
+def test_cleaning(spark):
+    df = spark.createDataFrame([('"a\\"b\\\\c"',), ('no quotes',), (None,)], "t string")
+    found = df.select(
+        strip_backslashes(F.col("t")), strip_outer_quotes(F.col("t")), clean_text(F.col("t"))
+    ).collect()
+    assert tuple(found[0]) == ('"a"bc"', 'a\\"b\\\\c', 'a"bc')
+    assert tuple(found[1]) == ("no quotes",) * 3
+    assert tuple(found[2]) == (None,) * 3
+
+
+def test_encode_keeps_nulls_and_decodes_back(spark, rows):
+    data = [(1, "a", None, "u\\v", 'q"q', "INSERT", "2024-01-01 00:00:00.000001"), (2, "b\nc", "", "", "", "", "")]
+    df = spark.createDataFrame(data, MESSAGE)
+    encoded = encode(df)
+    assert '"gravatar_id":null' in encoded.collect()[0].value
+    assert rows(accepted(decode(encoded, MESSAGE, MESSAGE_REQUIRED))) == sorted(data, key=repr)
+
+
+def test_open_map_drops_bad_input(spark):
+    df = _frame(spark, ['{"a":1,"b":"x","c":null}', "{bad", "[1]"])
+    found = [r[0] for r in df.select(open_map(F.col("value"))).collect()]
+    assert found == [{"a": "1", "b": "x", "c": None}, None, None]
+
+
+def test_times(spark):
+    df = spark.sql("SELECT timestamp_ntz'2024-01-02 03:04:05.123456' AS t")
+    row = df.select(format_micros(F.col("t")), format_micros(to_millis(F.col("t")))).first()
+    assert tuple(row) == ("2024-01-02 03:04:05.123456", "2024-01-02 03:04:05.123000")
+    stamp = spark.range(3).select(now_millis().alias("t")).distinct().collect()
+    assert len(stamp) == 1 and stamp[0].t.microsecond % 1000 == 0
+
+
+@pytest.mark.parametrize("value,blank", [(None, True), ("", True), ("  ", True), ("x", False)])
+def test_blank(spark, value, blank):
+    assert is_blank(value) is blank
+    df = spark.createDataFrame([(value,)], "v string")
+    assert df.select(is_blank(F.col("v"))).first()[0] is blank
+
+
+def test_entity_key_and_field_map(spark):
+    df = spark.createDataFrame([(1, "a", None)], "user_id long, login string, url string")
+    row = df.select(entity_key(F.col("user_id")).alias("k"), field_map(["login", "url"]).alias("m")).first()
+    assert row.k == "user:1" and row.m == {"login": "a", "url": None}
