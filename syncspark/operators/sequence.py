@@ -23,7 +23,8 @@ def assign_sequence(
     A window without partitions would sort everything in one task. Here rows
     are range partitioned by ``order``, sorted per partition and staged with
     their place in it; the sizes of the earlier partitions are then added. Only
-    one size per partition is broadcast.
+    one size per partition is broadcast. ``df`` is evaluated twice, once to
+    sample the ranges, so costly inputs are better staged before.
 
     ``order`` should identify a row. Where one position may be shared by very
     many rows, ``unique=False`` orders those by content and numbers copies of
@@ -62,7 +63,7 @@ def assign_sequence(
     return copies.withColumn(name, F.col("_first") + F.col("_nth")).select(*df.columns, name)
 
 
-def copies_before(df: DataFrame, keys: Sequence[str], copies: str, name: str, salts: int = 256) -> DataFrame:
+def copies_before(df: DataFrame, keys: Sequence[str], copies: str, name: str, salts: int = 4096) -> DataFrame:
     """Number of earlier copies in the group of each distinct row.
 
     The order inside a group is free but fixed. A group is cut into salts by

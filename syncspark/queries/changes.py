@@ -25,6 +25,7 @@ from syncspark.queries.inputs import (
 )
 from syncspark.queries.messages import ACCEPTED_SQL
 from syncspark.queries.registry import query
+from syncspark.workspace import stage
 
 _TIME = "2024-01-10 00:00:00.000000"
 _LOG_COLUMNS = "event_id, user_id, state, strftime(log_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS log_timestamp, payload"
@@ -150,7 +151,7 @@ def sequence_of_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def received_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Received messages are numbered in arrival order; refused ones are not counted."""
     rows = accepted(decode(messages(spark, sf_dir)), keep=["event_id"])
-    return assign_sequence(rows.select("event_id", "login"), ["event_id"])
+    return assign_sequence(stage(rows.select("event_id", "login"), "received"), ["event_id"])
 
 
 @query(f"WITH {_SENT_SQL} SELECT {_SENT_COLUMNS} FROM sent ORDER BY seq DESC LIMIT 1000")

@@ -34,6 +34,17 @@ def stream_events(
     return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).json(path)
 
 
+def split_options(split: Split | None) -> dict[str, str]:
+    if split is None:
+        return {}
+    return {
+        "partitionColumn": split.column,
+        "lowerBound": str(split.lower),
+        "upperBound": str(split.upper),
+        "numPartitions": str(split.parts),
+    }
+
+
 def table_options(
     url: str,
     table: str,
@@ -52,14 +63,7 @@ def table_options(
     for name, value in (("user", user), ("password", password), ("driver", driver)):
         if value is not None:
             options[name] = value
-    if split is not None:
-        options |= {
-            "partitionColumn": split.column,
-            "lowerBound": str(split.lower),
-            "upperBound": str(split.upper),
-            "numPartitions": str(split.parts),
-        }
-    return options | {k: str(v) for k, v in (extra or {}).items()}
+    return options | split_options(split) | {k: str(v) for k, v in (extra or {}).items()}
 
 
 def read_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from syncspark.functions.messages import encode
 from syncspark.operators.project import MARKER, tagged_with
 from syncspark.schemas import JDBC_BATCH_ROWS, SAVE_MODES
+from syncspark.sources.readers import Split, split_options
 from syncspark.workspace import stage
 
 
@@ -54,10 +55,16 @@ class Sink:
         return tagged_with(self.read(spark), run_id)
 
 
-def table_sink(name: str, options: Mapping[str, str], batch_rows: int = JDBC_BATCH_ROWS) -> Sink:
-    """Database table. ``numPartitions`` in the options caps the connections."""
+def table_sink(
+    name: str, options: Mapping[str, str], split: Split | None = None, batch_rows: int = JDBC_BATCH_ROWS
+) -> Sink:
+    """Database table.
+
+    ``split`` lets many tasks read the table back; without it one task reads
+    everything. Its number of parts also caps the connections of a write.
+    """
     batching = {"batchsize": str(batch_rows), "rewriteBatchedStatements": "true"}
-    return Sink(name, "jdbc", {**batching, **options})
+    return Sink(name, "jdbc", {**batching, **options, **split_options(split)})
 
 
 def file_sink(name: str, path: str, schema: T.StructType, file_format: str = "parquet") -> Sink:

@@ -16,7 +16,7 @@ from syncspark.functions.messages import encode
 from syncspark.operators.sequence import SEQ, assign_sequence, missing_by_number
 from syncspark.schemas import TRIGGER_INTERVAL
 from syncspark.streaming.batches import create_folder, read_batch, read_batches, start, write_batch
-from syncspark.workspace import stage
+from syncspark.workspace import scratch
 
 TOPIC = T.StructType([T.StructField("value", T.StringType(), True)])
 PROGRESS = T.StructType([T.StructField("last_seq", T.LongType(), True)])
@@ -88,11 +88,12 @@ def capture(
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = _last_number(spark, progress_path, batch_id)
-        numbered = stage(assign_sequence(batch, order, start=done), "sent")
-        send(encode(numbered), batch_id)
-        arrived = numbers_of(topic.arrived(spark, batch_id))
-        topic.publish_again(resend_missing(numbered, arrived), batch_id)
-        last = numbered.agg(F.coalesce(F.max(SEQ), F.lit(done)).alias("last_seq"))
-        write_batch(last, progress_path, batch_id)
+        with scratch(spark):
+            numbered = assign_sequence(batch, order, start=done)
+            send(encode(numbered), batch_id)
+            arrived = numbers_of(topic.arrived(spark, batch_id))
+            topic.publish_again(resend_missing(numbered, arrived), batch_id)
+            last = numbered.agg(F.coalesce(F.max(SEQ), F.lit(done)).alias("last_seq"))
+            write_batch(last, progress_path, batch_id)
 
     return start(log, handle, checkpoint, interval)

@@ -13,7 +13,7 @@ from syncspark.operators.project import tag
 from syncspark.schemas import MESSAGE, MESSAGE_REQUIRED, TRIGGER_INTERVAL
 from syncspark.sources.sinks import Sink
 from syncspark.streaming.batches import BATCH, read_batches, start, write_batch
-from syncspark.workspace import stage
+from syncspark.workspace import scratch, stage
 
 ACCEPTED = "accepted"
 
@@ -67,14 +67,13 @@ def refused(spark: SparkSession, path: str, schema: T.StructType = MESSAGE) -> D
     return _folder(spark, path, schema).filter(~F.col(ACCEPTED)).select("value", "reason", BATCH)
 
 
-def deliver_once(df: DataFrame, sink: Sink, run_id: str) -> None:
-    """Append the rows of a run to a sink without transactions.
+def deliver_once(marked: DataFrame, sink: Sink, run_id: str) -> None:
+    """Append the marked rows of a run to a sink without transactions.
 
     Only what the sink does not yet hold of this run is appended, so a replay
     after a half-finished write completes it instead of repeating it.
     """
-    marked = stage(tag(df, run_id), "deliver")
-    held = sink.read_run(df.sparkSession, run_id)
+    held = sink.read_run(marked.sparkSession, run_id)
     todo = marked if held.isEmpty() else missing(compare(marked, held))
     sink.write(todo.select(*marked.columns), "append")
 
@@ -88,11 +87,13 @@ def sync_messages_to(
     required: Sequence[str] = MESSAGE_REQUIRED,
     interval: str | None = TRIGGER_INTERVAL,
 ) -> StreamingQuery:
-    """Parse a message stream and append accepted rows to every sink."""
+    """Parse a message stream once and append accepted rows to every sink."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = accepted(decode(batch, schema, required))
-        for sink in sinks:
-            deliver_once(rows, sink, f"{stream_name}-{batch_id}")
+        run_id = f"{stream_name}-{batch_id}"
+        with scratch(batch.sparkSession):
+            marked = stage(tag(accepted(decode(batch, schema, required)), run_id), "batch")
+            for sink in sinks:
+                deliver_once(marked, sink, run_id)
 
     return start(raw, handle, checkpoint, interval)

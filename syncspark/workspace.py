@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
@@ -38,8 +43,30 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and return the written table."""
+    """Write ``df`` once to the shared folder and return the written table.
+
+    The table stays until its folder is deleted, or until the end of the
+    surrounding :func:`scratch` block.
+    """
     spark = df.sparkSession
-    path = new_path(spark, label)
+    root = _scratch.get()
+    path = new_path(spark, label) if root is None else f"{root}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends.
+
+    For the body of a micro-batch or a finished job: frames that read staged
+    tables must be used up, or written elsewhere, before the block ends.
+    """
+    root = new_path(spark, "scratch")
+    token = _scratch.set(root)
+    try:
+        yield
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,6 +7,7 @@ from syncspark.operators import reconcile as R
 from syncspark.operators.project import tag
 from syncspark.plans.load import combined, load, load_events, resume, verify
 from syncspark.schemas import REPOSITORIES, USERS
+from syncspark.sources.readers import Split
 from syncspark.sources.sinks import Sink, checked_mode, file_sink, table_sink, write_all
 from syncspark.workspace import new_path
 
@@ -181,7 +182,10 @@ def test_save_modes(spark):
 
 
 def test_table_sink_options():
-    sink = table_sink("users", {"url": "jdbc:x", "dbtable": "Users", "numPartitions": "20"})
+    options = {"url": "jdbc:x", "dbtable": "Users"}
+    assert "numPartitions" not in table_sink("users", options).options
+    sink = table_sink("users", options, Split("user_id", 0, 1000, 20))
+    assert sink.options["partitionColumn"] == "user_id"
     assert sink.format == "jdbc"
     assert sink.options["batchsize"] == "1000" and sink.options["rewriteBatchedStatements"] == "true"
     assert sink.options["numPartitions"] == "20"

@@ -63,7 +63,7 @@ def test_replay_after_half_written_sink_completes_it(spark, rows, dirs):
     sink.prepare(spark)
     sink.write(tag(messages.filter("user_id = 1").limit(1), "s-0"))
     for _ in range(2):
-        deliver_once(messages, sink, "s-0")
+        deliver_once(tag(messages, "s-0"), sink, "s-0")
         assert rows(sink.read(spark).drop(MARKER)) == rows(messages)
 
 
