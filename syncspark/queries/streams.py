@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from syncspark.functions.scalars import format_micros
-from syncspark.operators.project import MARKER
-from syncspark.queries.inputs import CHANGE_LOG_SQL, as_messages, change_log, table
+from syncspark.operators.project import MARKER, users_of
+from syncspark.plans.capture import capture_round
+from syncspark.queries.inputs import (
+    CHANGE_LOG_SQL,
+    EVENT_USERS_SQL,
+    as_messages,
+    change_log,
+    raw_events,
+    table,
+)
 from syncspark.queries.messages import ACCEPTED_SQL, FIELDS, QUARANTINE_SQL
 from syncspark.queries.registry import query
-from syncspark.schemas import MESSAGE
-from syncspark.sources.readers import stream_topic
+from syncspark.schemas import MESSAGE, USERS
+from syncspark.sources.readers import stream_events, stream_topic
 from syncspark.sources.sinks import file_sink
 from syncspark.streaming.batches import read_batches, start, write_batch
 from syncspark.streaming.capture import FileTopic, capture
@@ -146,3 +154,32 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _log_stream(spark, sf_dir, path)
     count_by_key(stream, ["user_id"], out, new_path(spark, "checkpoint"), interval=None).awaitTermination()
     return current_counts(spark, out, T.StructType([T.StructField("user_id", T.LongType(), True)]))
+
+
+@query(
+    """SELECT event_id, event_type AS state, row_number() OVER (ORDER BY ts, event_id) AS seq FROM events"""
+)
+def capture_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rounds over a log table that grows in between; clicks get lost at first."""
+    topic, state = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state")
+    log = change_log(spark, sf_dir)
+
+    def lossy(messages: DataFrame, batch_id: int) -> None:
+        topic.publish(messages.filter(F.get_json_object("value", "$.state") != "click"), batch_id)
+
+    first = log.filter(F.col("log_timestamp") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
+    capture_round(first, topic, state, 0, key="event_id", publish=lossy)
+    capture_round(log, topic, state, 1, key="event_id", publish=lossy)
+    kinds = "event_id bigint, state string, seq bigint"
+    return topic.read(spark).select(F.from_json("value", kinds).alias("m")).select("m.*")
+
+
+@query(f"WITH {EVENT_USERS_SQL} SELECT * FROM event_users")
+def stream_json_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON scan as a stream: same schema, same projection."""
+    path, out = new_path(spark, "events-json"), new_path(spark, "users")
+    raw_events(spark, sf_dir).repartition(3, "repo.id").write.json(path)
+    users = users_of(stream_events(spark, path, max_files=1))
+    start(users, lambda batch, batch_id: write_batch(batch, out, batch_id), new_path(spark, "checkpoint"),
+          interval=None).awaitTermination()
+    return read_batches(spark, out, USERS).select(*USERS.names)

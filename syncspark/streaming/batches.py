@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from syncspark.schemas import TRIGGER_INTERVAL
@@ -31,7 +31,8 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 def create_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """Make an empty folder of batches that can be read at once."""
-    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    spark.range(0, 0, 1, 1).select(*columns).write.mode("append").parquet(path)
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
@@ -39,6 +40,12 @@ def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructTy
     return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def write_values(spark: SparkSession, path: str, batch_id: int, **values: object) -> None:
+    """One row of plain values, as the state a batch leaves behind."""
+    row = spark.range(0, 1, 1, 1).select(*(F.lit(value).alias(name) for name, value in values.items()))
+    write_batch(row, path, batch_id)
+
+
 def start(
     stream: DataFrame,
     handle: Callable[[DataFrame, int], None],

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from syncspark.functions.messages import encode
 from syncspark.operators.sequence import SEQ, assign_sequence, missing_by_number
 from syncspark.schemas import TRIGGER_INTERVAL
-from syncspark.streaming.batches import create_folder, read_batch, read_batches, start, write_batch
+from syncspark.streaming.batches import create_folder, read_batch, read_batches, start, write_batch, write_values
 from syncspark.workspace import scratch
 
 TOPIC = T.StructType([T.StructField("value", T.StringType(), True)])
@@ -63,6 +63,18 @@ def resend_missing(sent: DataFrame, received: DataFrame) -> DataFrame:
     return encode(missing_by_number(sent, received))
 
 
+def send_and_resend(
+    rows: DataFrame, batch_id: int, done: int, order: Sequence[str], topic: FileTopic, publish: Publish | None
+) -> int:
+    """Number the rows after ``done``, publish, resend what is absent; the last number."""
+    spark = rows.sparkSession
+    numbered = assign_sequence(rows, order, start=done)
+    (publish or topic.publish)(encode(numbered), batch_id)
+    arrived = numbers_of(topic.arrived(spark, batch_id))
+    topic.publish_again(resend_missing(numbered, arrived), batch_id)
+    return numbered.agg(F.coalesce(F.max(SEQ), F.lit(done))).first()[0]
+
+
 def _last_number(spark: SparkSession, progress_path: str, batch_id: int) -> int:
     """Last number of the batch before; read from its own folder only."""
     if batch_id == 0:
@@ -83,17 +95,12 @@ def capture(
 
     ``publish`` replaces the first send, as for another transport.
     """
-    send = publish or topic.publish
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = _last_number(spark, progress_path, batch_id)
         with scratch(spark):
-            numbered = assign_sequence(batch, order, start=done)
-            send(encode(numbered), batch_id)
-            arrived = numbers_of(topic.arrived(spark, batch_id))
-            topic.publish_again(resend_missing(numbered, arrived), batch_id)
-            last = numbered.agg(F.coalesce(F.max(SEQ), F.lit(done)).alias("last_seq"))
-            write_batch(last, progress_path, batch_id)
+            last = send_and_resend(batch, batch_id, done, order, topic, publish)
+        write_values(spark, progress_path, batch_id, last_seq=F.lit(last).cast("long"))
 
     return start(log, handle, checkpoint, interval)

@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from syncspark.functions import accepted, decode, encode, quarantined
+from syncspark.operators.incremental import Cursor
 from syncspark.operators.project import MARKER, tag
+from syncspark.plans.capture import capture_round, state_before
 from syncspark.schemas import MESSAGE
 from syncspark.sources.readers import read_topic, stream_topic
 from syncspark.sources.sinks import file_sink, publish
@@ -136,6 +138,32 @@ def test_failed_batch_is_replayed_with_the_same_numbers(spark, dirs):
     assert seqs == list(range(1, 21))
 
 
+def test_rounds_over_a_log_table(spark, dirs):
+    topic = FileTopic(spark, dirs("topic"))
+
+    def lossy(messages, batch_id):
+        topic.publish(messages.filter(F.get_json_object("value", "$.state") != "DELETE"), batch_id)
+
+    def numbers():
+        found = topic.read(spark).select(F.from_json("value", "id long, seq long").alias("m")).select("m.*")
+        return sorted((r.id, r.seq) for r in found.collect())
+
+    def run(round_id):
+        log = spark.read.parquet(dirs("log"))
+        return capture_round(log, topic, dirs("state"), round_id, "id", publish=lossy)
+
+    _log(spark, dirs("log"), 0, 12)
+    run(0)
+    assert numbers() == [(i, i + 1) for i in range(12)]
+    _log(spark, dirs("log"), 12, 20)
+    # A repeated round writes the same messages again, a further one finds none.
+    for round_id in (1, 1, 2):
+        cursor = run(round_id)
+        assert numbers() == [(i, i + 1) for i in range(20)]
+        assert cursor == Cursor("1970-01-01 00:00:19.000000", 19)
+    assert state_before(spark, dirs("state"), 3) == (cursor, 20)
+
+
 def test_resend_keeps_whole_records(spark, rows):
     sent = spark.createDataFrame([(1, "a", None), (2, 'b"', "x")], "seq long, login string, url string")
     received = numbers_of(encode(sent.filter("seq = 1")).union(spark.createDataFrame([("bad",)], VALUE)))
