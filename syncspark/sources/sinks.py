@@ -67,10 +67,18 @@ def table_sink(
     return Sink(name, "jdbc", {**batching, **options, **split_options(split)})
 
 
+# Text formats that keep every digit of a timestamp.
+_JSON_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def file_sink(name: str, path: str, schema: T.StructType, file_format: str = "parquet") -> Sink:
     """Folder of files whose rows are marked by run folder."""
     marked = T.StructType([*schema.fields, T.StructField(MARKER, T.StringType(), True)])
-    return Sink(name, file_format, {"path": path}, (MARKER,), marked)
+    options = {"path": path, **(_JSON_TIMES if file_format == "json" else {})}
+    return Sink(name, file_format, options, (MARKER,), marked)
 
 
 def write_all(df: DataFrame | None, sinks: Sequence[Sink], mode: str = "append") -> DataFrame | None:

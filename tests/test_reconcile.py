@@ -189,3 +189,21 @@ def test_table_sink_options():
     assert sink.format == "jdbc"
     assert sink.options["batchsize"] == "1000" and sink.options["rewriteBatchedStatements"] == "true"
     assert sink.options["numPartitions"] == "20"
+
+
+@pytest.mark.parametrize("file_format", ["json", "parquet", "orc"])
+def test_sink_keeps_every_value(spark, file_format):
+    rows_in = spark.sql(
+        """SELECT 1L AS id, timestamp'2024-01-02 03:04:05.123456' AS t, timestamp_ntz'2024-01-02 03:04:05.000001' AS n,
+                  'q"\\\\\n' AS s, 0.1D AS d, true AS b
+           UNION ALL SELECT NULL, NULL, NULL, '', -0.0D, NULL"""
+    )
+    sink = file_sink("s", new_path(spark, "t"), rows_in.schema, file_format)
+    found = load(rows_in, [sink], "r1")[0]
+    assert not found.repaired and found.summary.first().status == R.MATCH
+
+
+def test_maps_can_be_compared(spark):
+    source = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('a', 1)")
+    sink = spark.sql("SELECT map('b', 2, 'a', 1) AS m")
+    assert [r.m for r in R.missing(R.compare(source, sink)).collect()] == [{"a": 1}]
