@@ -40,12 +40,19 @@ def _ends_at_first_brace(text: Column) -> Column:
     return F.instr(text, "}") == F.char_length(F.rtrim(text))
 
 
-def unwrap(text: Column) -> Column:
+def _is_one(parts: Column) -> Column:
+    """The parts are one value and the end marker."""
+    return F.coalesce((F.size(parts) == 2) & (parts[1] == _END), F.lit(False))
+
+
+def with_unwrapped(df: DataFrame, value: str, name: str) -> DataFrame:
     """Undo double encoding: a value that is itself a JSON string is decoded.
 
     Escapes inside a plain object are left to the JSON parser.
     """
-    return F.when(text.rlike(r'^\s*"'), _elements(text)[0]).otherwise(text)
+    outer = F.when(F.col(value).rlike(r'^\s*"'), _elements(F.col(value)))
+    inner = F.when(_is_one(F.col("_outer")), F.col("_outer")[0]).otherwise(F.col(value))
+    return df.withColumn("_outer", outer).withColumn(name, inner).drop("_outer")
 
 
 def decode(
@@ -69,14 +76,12 @@ def decode(
         return _fixed(parsed, [*others, value], F.col("_parsed"), reason)
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
     parsed = (
-        texts.withColumn("_text", unwrap(F.col(value)))
+        with_unwrapped(texts, value, "_text")
         .withColumn("_parsed", F.from_json("_text", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}))
         .withColumn("_closed", _ends_at_first_brace(F.col("_text")) & F.col(f"_parsed.{_CORRUPT}").isNull())
         .withColumn("_parts", F.when(~F.col("_closed"), _elements(F.col("_text"))))
     )
-    one_value = F.col("_closed") | F.coalesce(
-        (F.size("_parts") == 2) & (F.col("_parts")[1] == _END), F.lit(False)
-    )
+    one_value = F.col("_closed") | _is_one(F.col("_parts"))
     missing = F.lit(False)
     for name in required:
         missing = missing | F.col(f"_parsed.`{name}`").isNull()

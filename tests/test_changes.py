@@ -1,3 +1,6 @@
+from collections import Counter
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +75,35 @@ def test_rows_without_unique_key_are_paired_one_to_one(spark, rows):
     assert rows(first.exceptAll(olds).union(news)) == rows(second)
 
 
+def test_random_snapshots(spark, rows):
+    random = Random(3)
+
+    def snapshot():
+        return [
+            (random.choice([None, *range(40)]), random.choice(["a", "b", None]), random.choice(["x", None]))
+            for _ in range(random.randint(300, 400))
+        ]
+
+    before, after = snapshot(), snapshot()
+    gone, come = Counter(before) - Counter(after), Counter(after) - Counter(before)
+    first, second = _snapshots(spark, before, after)
+    diff = snapshot_diff(first, second, key=["user_id"], unique=False)
+    found = {(r.user_id, r.state): r["count"] for r in diff.groupBy("user_id", "state").count().collect()}
+    expected = {}
+    for key in {r[0] for r in before + after}:
+        n_old = sum(n for r, n in gone.items() if r[0] == key)
+        n_new = sum(n for r, n in come.items() if r[0] == key)
+        both = min(n_old, n_new)
+        for state, n in (("UPDATE", both), ("DELETE", n_old - both), ("INSERT", n_new - both)):
+            if n:
+                expected[key, state] = n
+    assert found == expected
+    olds = diff.filter("old IS NOT NULL").select("user_id", "old.*")
+    news = diff.filter("new IS NOT NULL").select("user_id", "new.*")
+    assert rows(olds) == sorted(gone.elements(), key=repr)
+    assert rows(news) == sorted(come.elements(), key=repr)
+
+
 def test_one_key_with_a_third_of_all_rows(spark):
     hot = [(1, f"row {i}", None) for i in range(400)] + [(1, "copy", None)] * 300
     before = hot + [(i, "cold", None) for i in range(2, 1400)]

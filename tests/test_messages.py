@@ -1,3 +1,6 @@
+import json
+from random import Random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,3 +142,64 @@ def test_entity_key_and_field_map(spark):
     df = spark.createDataFrame([(1, "a", None)], "user_id long, login string, url string")
     row = df.select(entity_key(F.col("user_id")).alias("k"), field_map(["login", "url"]).alias("m")).first()
     assert row.k == "user:1" and row.m == {"login": "a", "url": None}
+
+
+def _expected(text):
+    """What a strict parser makes of a text: (user_id, login) or None."""
+    try:
+        value = json.loads(text)
+        if isinstance(value, str):
+            value = json.loads(value)
+    except (ValueError, TypeError):
+        return None
+    if not isinstance(value, dict):
+        return None
+    key, login = value.get("user_id"), value.get("login")
+    if type(key) is not int or not -(2**63) <= key < 2**63 or login is None:
+        return None
+    if type(login) is not str:
+        return key, None
+    return key, login
+
+
+def test_damaged_messages_agree_with_a_strict_parser(spark):
+    random = Random(7)
+    seeds = [g[0] for g in GOOD]
+    texts = list(seeds)
+    for _ in range(3000):
+        text = random.choice(seeds)
+        for _ in range(random.randint(1, 3)):
+            at = random.randint(0, len(text))
+            change = random.choice(("cut", "insert", "delete", "swap", "append"))
+            if change == "cut":
+                text = text[:at]
+            elif change == "insert":
+                text = text[:at] + random.choice('{}[]",:x 1\\') + text[at:]
+            elif change == "delete":
+                text = text[:at] + text[at + 1:]
+            elif change == "swap":
+                text = text[:at] + text[at:at + 2][::-1] + text[at + 2:]
+            else:
+                text += random.choice(seeds + ["}", "]", ",{}", ' "x"'])
+        texts.append(text)
+    found = {r.n: r for r in accepted(decode(_frame(spark, texts)), keep=["n"]).collect()}
+    for n, text in enumerate(texts):
+        expected = _expected(text)
+        assert (n in found) == (expected is not None), (text, expected, found.get(n))
+        if expected is not None:
+            assert found[n].user_id == expected[0], text
+            assert expected[1] is None or found[n].login == expected[1], text
+
+
+def test_random_records_survive_single_and_double_encoding(spark):
+    random = Random(11)
+    alphabet = 'ab"\\/{}[]:,\n\té中\U0001f600 '
+    records = [
+        {"user_id": random.randint(-(2**63), 2**63 - 1),
+         "login": "".join(random.choice(alphabet) for _ in range(random.randint(0, 12)))}
+        for _ in range(400)
+    ]
+    once = [json.dumps(r, ensure_ascii=bool(i % 2)) for i, r in enumerate(records)]
+    texts = once + [json.dumps(t) for t in once]
+    found = accepted(decode(_frame(spark, texts)), keep=["n"]).orderBy("n").collect()
+    assert [(r.user_id, r.login) for r in found] == [(r["user_id"], r["login"]) for r in records] * 2
