@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from syncspark.functions.messages import encode
@@ -13,6 +15,9 @@ from syncspark.schemas import JDBC_BATCH_ROWS, SAVE_MODES
 from syncspark.sources.readers import Split, split_options
 from syncspark.workspace import stage
 
+# Run names that are written as folder names without escaping.
+_PLAIN_FOLDER = re.compile(r"[A-Za-z0-9_.-]+( [A-Za-z0-9_.-]+)*")
+
 
 def checked_mode(mode: str) -> str:
     if mode not in SAVE_MODES:
@@ -51,8 +56,21 @@ class Sink:
             self.write(spark.createDataFrame([], self.schema))
 
     def read_run(self, spark: SparkSession, run_id: str) -> DataFrame:
-        """Rows written by one run."""
-        return tagged_with(self.read(spark), run_id)
+        """Rows written by one run.
+
+        A sink with run folders is read from the one folder, so the work does
+        not grow with the number of other runs.
+        """
+        if self.schema is None or tuple(self.partition_by) != (MARKER,) or not _PLAIN_FOLDER.fullmatch(run_id):
+            return tagged_with(self.read(spark), run_id)
+        base = self.options["path"]
+        options = {**self.options, "basePath": base, "path": f"{base}/{MARKER}={run_id}"}
+        try:
+            return spark.read.format(self.format).options(**options).schema(self.schema).load()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self.schema)
 
 
 def table_sink(

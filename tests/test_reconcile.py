@@ -130,6 +130,25 @@ def test_runs_do_not_mix(spark):
     assert sink.read(spark).count() == 13
 
 
+@pytest.mark.parametrize("run_id", ["r1", "2015-03-01 17:00", "a=b/c%20", "run 1"])
+@pytest.mark.parametrize("file_format", ["parquet", "json"])
+def test_run_names(spark, rows, run_id, file_format):
+    sink = file_sink("users", new_path(spark, "t"), USERS, file_format)
+    if run_id == "r1":
+        assert sink.read_run(spark, run_id).isEmpty()
+    sink.write(tag(_users(spark, 4), run_id))
+    sink.write(tag(_users(spark, 7), "other"))
+    assert rows(sink.read_run(spark, run_id)) == rows(tag(_users(spark, 4), run_id))
+    assert sink.read(spark).count() == 11
+
+
+def test_one_run_is_read_from_its_folder(spark):
+    sink = file_sink("users", new_path(spark, "t"), USERS)
+    for run_id in ("r1", "r2"):
+        sink.write(tag(_users(spark, 4), run_id))
+    assert all("run_id=r2" in f for f in sink.read_run(spark, "r2").inputFiles())
+
+
 def test_resume_completes_a_half_written_run(spark, rows):
     done = file_sink("done", new_path(spark, "t"), USERS)
     half = file_sink("half", new_path(spark, "t"), USERS, "json")
