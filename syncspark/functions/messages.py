@@ -24,7 +24,7 @@ WRONG_TYPE = "wrong field type"
 MISSING_KEY = "missing required key"
 
 
-def _elements(text: Column) -> Column:
+def elements(text: Column) -> Column:
     """The JSON values in ``text`` followed by an end marker.
 
     Wrapped in an array, trailing text either breaks the array or moves the
@@ -35,12 +35,12 @@ def _elements(text: Column) -> Column:
     )
 
 
-def _ends_at_first_brace(text: Column) -> Column:
+def ends_at_first_brace(text: Column) -> Column:
     """The only closing brace ends the text: if it parses, nothing follows the object."""
     return F.instr(text, "}") == F.char_length(F.rtrim(text))
 
 
-def _is_one(parts: Column) -> Column:
+def is_one(parts: Column) -> Column:
     """The parts are one value and the end marker."""
     return F.coalesce((F.size(parts) == 2) & (parts[1] == _END), F.lit(False))
 
@@ -50,8 +50,8 @@ def with_unwrapped(df: DataFrame, value: str, name: str) -> DataFrame:
 
     Escapes inside a plain object are left to the JSON parser.
     """
-    outer = F.when(F.col(value).rlike(r'^\s*"'), _elements(F.col(value)))
-    inner = F.when(_is_one(F.col("_outer")), F.col("_outer")[0]).otherwise(F.col(value))
+    outer = F.when(F.col(value).rlike(r'^\s*"'), elements(F.col(value)))
+    inner = F.when(is_one(F.col("_outer")), F.col("_outer")[0]).otherwise(F.col(value))
     return df.withColumn("_outer", outer).withColumn(name, inner).drop("_outer")
 
 
@@ -78,10 +78,10 @@ def decode(
     parsed = (
         with_unwrapped(texts, value, "_text")
         .withColumn("_parsed", F.from_json("_text", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}))
-        .withColumn("_closed", _ends_at_first_brace(F.col("_text")) & F.col(f"_parsed.{_CORRUPT}").isNull())
-        .withColumn("_parts", F.when(~F.col("_closed"), _elements(F.col("_text"))))
+        .withColumn("_closed", ends_at_first_brace(F.col("_text")) & F.col(f"_parsed.{_CORRUPT}").isNull())
+        .withColumn("_parts", F.when(~F.col("_closed"), elements(F.col("_text"))))
     )
-    one_value = F.col("_closed") | _is_one(F.col("_parts"))
+    one_value = F.col("_closed") | is_one(F.col("_parts"))
     missing = F.lit(False)
     for name in required:
         missing = missing | F.col(f"_parsed.`{name}`").isNull()

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from syncspark.functions.messages import elements, ends_at_first_brace, is_one
 from syncspark.schemas import NAME_LIMIT, STATE_LIMIT
 
 VIOLATIONS = "violations"
@@ -69,8 +70,13 @@ def with_kinds(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
         value = F.try_variant_get(document, f"$.{name}", "variant")
         kinds.append(F.schema_of_variant(value).alias(f"field_{i}"))
     names = df.columns
+    # The variant parser stops at the end of the first value.
+    body, closed = F.col(text), ends_at_first_brace(F.col(text))
+    parsed = df.withColumn("_variant", F.try_parse_json(body)).withColumn(
+        "_parts", F.when(~closed, elements(body))
+    )
     return (
-        df.withColumn("_document", F.try_parse_json(F.col(text)))
+        parsed.withColumn("_document", F.when(closed | is_one(F.col("_parts")), F.col("_variant")))
         .select(*names, F.inline(F.array(F.struct(F.struct(*kinds).alias(KINDS)))))
     )
 
@@ -100,8 +106,8 @@ def check(df: DataFrame, rules: Rules) -> DataFrame:
     They are generated, not projected, so a filter on them does not evaluate
     every rule a second time.
     """
-    broken = F.array(*(F.when(test, F.lit(name)) for name, test in rules.items()))
-    names = F.array_sort(F.array_compact(broken)).alias(VIOLATIONS)
+    named = [F.when(test, F.lit(name)) for name, test in sorted(rules.items())]
+    names = F.array_compact(F.array(*named)).alias(VIOLATIONS)
     return df.select("*", F.inline(F.array(F.struct(names))))
 
 

@@ -54,7 +54,7 @@ kinds AS (
            CASE WHEN json_valid(value) THEN json_type(value) END AS whole,
            CASE WHEN json_valid(value) THEN json_type(value, '$.user_id') END AS user_id,
            CASE WHEN json_valid(value) THEN json_type(value, '$.login') END AS login
-    FROM messages WHERE value NOT LIKE '%trailing' OR value IS NULL),
+    FROM messages),
 named AS (
     SELECT event_id, value,
            concat_ws('; ',
@@ -66,9 +66,7 @@ named AS (
 
 
 def _checked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Text after an object is a matter of message parsing, not of these rules.
-    texts = messages(spark, sf_dir).filter(F.col("value").isNull() | ~F.col("value").endswith("trailing"))
-    return check_documents(texts, "value", USERS_DOCUMENT, USERS_REQUIRED)
+    return check_documents(messages(spark, sf_dir), "value", USERS_DOCUMENT, USERS_REQUIRED)
 
 
 @query(f"{_DOCUMENT_SQL} SELECT event_id, value, violations FROM named WHERE violations <> ''")

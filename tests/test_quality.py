@@ -39,6 +39,9 @@ DOCUMENTS = [
     ('{"user_id":null,"login":"a"}', ["user_id has a wrong type"]),
     ('{"login":"a","url":3}', ["url has a wrong type", "user_id is missing"]),
     ("{}", ["login is missing", "user_id is missing"]),
+    ('{"user_id":1,"login":"a"} trailing', ["login is missing", "not an object", "user_id is missing"]),
+    ('{"user_id":1,"login":"a"} {"x":1}', ["login is missing", "not an object", "user_id is missing"]),
+    ('{"user_id":1,"login":"a","other":{"x":"}"}}', []),
     ("[]", ["login is missing", "not an object", "user_id is missing"]),
     ("{bad", ["login is missing", "not an object", "user_id is missing"]),
     (None, ["login is missing", "not an object", "user_id is missing"]),
@@ -50,7 +53,7 @@ def test_document_rules_look_at_json_types(spark):
     checked = Q.check_documents(df, "doc", Q.USERS_DOCUMENT, USERS_REQUIRED)
     assert checked.columns == ["n", "doc", "violations"]
     assert [r.violations for r in checked.orderBy("n").collect()] == [d[1] for d in DOCUMENTS]
-    assert Q.valid(checked).count() == 2 and Q.broken(checked).count() == 8
+    assert Q.valid(checked).count() == 3 and Q.broken(checked).count() == 10
 
 
 def test_repository_documents(spark):
