@@ -132,6 +132,13 @@ def test_sequence_equals_global_row_number(spark):
     assert [r.seq for r in found] == list(range(11, 5011))
 
 
+def test_only_partition_sizes_meet_in_one_task(spark):
+    numbered = assign_sequence(spark.range(1000).selectExpr("id", "id % 7 AS t"), ["t", "id"])
+    lines = numbered._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = [i for i, line in enumerate(lines) if "SinglePartition" in line]
+    assert len(at) == 1 and "HashAggregate(keys=[_part" in lines[at[0] + 1]
+
+
 def test_sequence_with_nulls_and_of_nothing(spark):
     df = spark.createDataFrame([(None, 1), ("b", 2), ("a", 3)], "t string, id int")
     assert [(r.t, r.seq) for r in assign_sequence(df, ["t"]).orderBy("seq").collect()] == [(None, 1), ("a", 2), ("b", 3)]

@@ -35,20 +35,36 @@ def test_scratch_is_deleted_also_after_an_error(spark):
     assert not any(Path(f).exists() for f in inside)
 
 
-def test_missing_setting_is_an_error_on_a_cluster():
-    class Conf:
-        def get(self, name, default):
-            return default
+class Context:
+    """Just enough of a context whose cluster names no shared folder."""
+
+    def __init__(self, master):
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
 
-    class Context:
-        master = "yarn"
+    def setCheckpointDir(self, folder):
+        self.folder = folder
 
-        def getCheckpointDir(self):
-            return None
 
-    class Session:
-        conf = Conf()
-        sparkContext = Context()
+class Session:
+    def __init__(self, master, configured=None):
+        self.sparkContext = Context(master)
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
 
+
+def test_missing_setting_is_an_error_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_dir(Session())
+        shared_dir(Session("yarn"))
+
+
+def test_setting_of_the_cluster_is_used():
+    assert shared_dir(Session("yarn", "hdfs://name/shared/")) == "hdfs://name/shared"
+
+
+def test_local_session_gets_one_folder_of_its_own():
+    session = Session("local[2]")
+    folder = shared_dir(session)
+    assert Path(folder).is_dir() and shared_dir(session) == folder
