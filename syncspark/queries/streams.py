@@ -42,8 +42,8 @@ def _log_files(spark: SparkSession, sf_dir: str, path: str, **condition: str) ->
     log.repartitionByRange(3, "log_timestamp").write.mode("append").parquet(path)
 
 
-def _log_stream(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    options = {"path": path, "maxFilesPerTrigger": "1"}
+def _log_stream(spark: SparkSession, sf_dir: str, path: str, max_files: int = 1) -> DataFrame:
+    options = {"path": path, "maxFilesPerTrigger": str(max_files)}
     return stream_topic(spark, options, "parquet", change_log(spark, sf_dir).schema)
 
 
@@ -151,7 +151,7 @@ def stream_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out = new_path(spark, "log"), new_path(spark, "counts")
     _log_files(spark, sf_dir, path)
-    stream = _log_stream(spark, sf_dir, path)
+    stream = _log_stream(spark, sf_dir, path, max_files=2)
     count_by_key(stream, ["user_id"], out, new_path(spark, "checkpoint"), interval=None).awaitTermination()
     return current_counts(spark, out, T.StructType([T.StructField("user_id", T.LongType(), True)]))
 
