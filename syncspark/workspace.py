@@ -6,7 +6,6 @@ steps read only the columns they need, and a lost executor loses nothing.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -14,15 +13,16 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_scratch: ContextVar[str | None] = ContextVar("scratch", default=None)
+# Folders of the open scratch blocks, the innermost last.
+_scratch: ContextVar[tuple[str, ...]] = ContextVar("scratch", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a temporary folder; on a
-    cluster a missing setting is an error, since no machine-local folder is
-    visible to every executor.
+    Without the setting it is the session's checkpoint folder. Only a local
+    session without either gets a folder below the warehouse; on a cluster a
+    missing setting is an error, since nothing else is known to be shared.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -33,8 +33,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="syncspark-"))
-    return context.getCheckpointDir().rstrip("/")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -42,15 +41,17 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/syncspark/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
     The table stays until its folder is deleted, or until the end of the
-    surrounding :func:`scratch` block.
+    surrounding :func:`scratch` block; with ``keep`` it outlives the innermost
+    block, as the result of the job that the block holds.
     """
     spark = df.sparkSession
-    root = _scratch.get()
-    path = new_path(spark, label) if root is None else f"{root}/{label}-{uuid.uuid4().hex}"
+    open_blocks = _scratch.get()
+    roots = open_blocks[:-1] if keep else open_blocks
+    path = f"{roots[-1]}/{label}-{uuid.uuid4().hex}" if roots else new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -60,10 +61,11 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete what is staged inside the block when it ends.
 
     For the body of a micro-batch or a finished job: frames that read staged
-    tables must be used up, or written elsewhere, before the block ends.
+    tables must be used up, staged with ``keep`` or written elsewhere, before
+    the block ends.
     """
     root = new_path(spark, "scratch")
-    token = _scratch.set(root)
+    token = _scratch.set((*_scratch.get(), root))
     try:
         yield
     finally:

@@ -64,7 +64,16 @@ def test_setting_of_the_cluster_is_used():
     assert shared_dir(Session("yarn", "hdfs://name/shared/")) == "hdfs://name/shared"
 
 
-def test_local_session_gets_one_folder_of_its_own():
+def test_local_session_stages_below_the_warehouse():
     session = Session("local[2]")
-    folder = shared_dir(session)
-    assert Path(folder).is_dir() and shared_dir(session) == folder
+    session.conf["spark.sql.warehouse.dir"] = "/shared/warehouse/"
+    assert shared_dir(session) == "/shared/warehouse/_staged"
+
+
+def test_kept_table_outlives_the_innermost_block_only(spark):
+    with scratch(spark):
+        with scratch(spark):
+            kept = stage(spark.range(4), "kept", keep=True)
+        assert kept.count() == 4
+        folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+    assert not folder.exists()
