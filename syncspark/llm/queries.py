@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from syncspark.llm import bpe, crosspolytope, language, packing, quality, repair, templates
 from syncspark.llm.grace_dedup import exact_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +42,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("raw")
+
+
+def vocabulary_path() -> str:
+    """File of the byte-level vocabulary; the environment can name another one."""
+    if "SYNCSPARK_BYTE_BPE" in os.environ:
+        return os.environ["SYNCSPARK_BYTE_BPE"]
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query()
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.written_and_read(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
+@query()
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosspolytope.search(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = templates.drop_templates(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
