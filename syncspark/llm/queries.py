@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.llm import bpe, crosspolytope, language, packing, quality, repair, templates
+from syncspark.llm import bpe, crosspolytope, language, lsh_forest, packing, quality, repair, templates
 from syncspark.llm.grace_dedup import exact_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,8 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = templates.drop_templates(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
