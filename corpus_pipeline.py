@@ -2,18 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.workspace import stage
+from syncspark.llm import grace_dedup, lsh_forest, packing, quality, suffix_dedup
+from syncspark.workspace import scratch, stage
 
-STAGES: list = []
-# The stages hold a trained model and a search over signatures, which SQL cannot express.
+_LAST_ID = (1 << 63) - 1
+
+
+def kept_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are marked ``kept``; of rows that repeat both, one.
+
+    Both steps need the rows dealt by the same key, so texts move once.
+    """
+    name = lambda id_: F.coalesce(id_.cast("long"), F.lit(_LAST_ID))
+    marked = decisions.where("kept").select(name(F.col("doc_id")).alias("_id"), F.col("raw").alias("_raw"))
+    keyed = docs.withColumn("_id", name(F.col("doc_id"))).withColumn("_raw", F.xxhash64(F.col("text").cast("string")))
+    return keyed.join(marked, ["_id", "_raw"], "left_semi").dropDuplicates(["_id", "_raw"]).select(*docs.columns)
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    return quality.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return kept_rows(docs, grace_dedup.exact_duplicates(docs))
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return kept_rows(docs, lsh_forest.near_duplicates(docs))
+
+
+def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages they share with earlier ones."""
+    return suffix_dedup.without_repeated_passages(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place of every piece of the remaining documents in padded batches."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("exact", exact_stage),
+    ("near", near_stage),
+    ("passages", passages_stage),
+    ("packing", packing_stage),
+]
+
+# A trained model, a search over signatures and repeated byte strings are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), name)
-    return docs
+    with scratch(spark):
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        for name, function in STAGES[:-1]:
+            docs = stage(function(spark, docs, sf_dir), name)
+        name, function = STAGES[-1]
+        return stage(function(spark, docs, sf_dir), name, keep=True)

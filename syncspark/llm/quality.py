@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from syncspark.llm.bpe import _texts
 from syncspark.llm.ngrams import Features, bounded_sample, remainder
@@ -24,7 +24,7 @@ KEEP_FROM = 0.3
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` labelled documents of each class are learned from, of those the longest texts up to ``sample_chars`` signs."""
+    """About ``sample`` labelled documents of each class are learned from, of texts up to ``sample_chars`` signs."""
 
     bits: int = 17
     dimension: int = 8
@@ -80,8 +80,9 @@ def train(texts: Sequence[str], labels: Sequence[int], classes: int, settings: S
 
 
 def score(docs: DataFrame, model: SubwordModel, bits: int) -> DataFrame:
-    """``doc_id`` and ``scores``, the probabilities of all classes for the whole text; null counts as empty."""
+    """``docs`` with ``_scores``, the probabilities of all classes for the whole ``text``; null counts as empty."""
     shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.bias, model.sizes, bits))
+    names = [*docs.columns, "_scores"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias, sizes, width = shared.value
@@ -91,30 +92,44 @@ def score(docs: DataFrame, model: SubwordModel, bits: int) -> DataFrame:
                 means = Features(_texts(data, offsets, a, b), width, sizes).means(table)
                 probabilities = _softmax(means + bias)
                 cut = pa.array(np.arange(0, probabilities.size + 1, probabilities.shape[1]), pa.int32())
-                yield pa.record_batch([batch.column("doc_id")[a:b], pa.ListArray.from_arrays(cut, pa.array(probabilities.ravel(), pa.float64()))], ["doc_id", "scores"])
+                scores = pa.ListArray.from_arrays(cut, pa.array(probabilities.ravel(), pa.float64()))
+                yield pa.record_batch([*batch.slice(a, b - a).columns, scores], names)
 
-    return docs.mapInArrow(run, "doc_id long, scores array<double>")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_scores", T.ArrayType(T.DoubleType()))]))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), keep_from: float = KEEP_FROM) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, held_out, score, predicted``.
+def learned(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> SubwordModel:
+    """Model of ``labels.quality`` (0 or 1; other values and null are left out) for texts of ``docs``.
 
-    Learned from ``labels.quality`` (0 or 1; other values and null are left out)
-    of ids whose ``crc32(doc_id as text) mod 5`` is not 0; only the text enters a
-    score. An id with both labels counts as 0. ``held_out`` is that remainder
-    being 0, false for a null id. Null and empty texts get the score of no
-    features; without any label every score is 0.5. Repeated rows give repeated
-    rows, an empty table an empty result; other columns are not read.
+    Only ids whose ``crc32(doc_id as text) mod 5`` is not 0 are learned from; an
+    id with both labels counts as 0.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where((remainder("doc_id", 5) != 0) & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = bounded_sample(known, "quality", "doc_id", settings.sample)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most four samples of ids: small enough to broadcast whatever the size of the corpus.
-    learned = source.where(F.length("text") <= settings.sample_chars).join(F.broadcast(chosen), "doc_id").select("text", "quality").limit(4 * settings.sample).toPandas()
-    learned = learned.sort_values(["quality", "text"], kind="stable")
-    model = train(learned["text"].tolist(), learned["quality"].tolist(), 2, settings)
-    scored = score(source, model, settings.bits)
+    rows = source.where(F.length("text") <= settings.sample_chars).join(F.broadcast(chosen), "doc_id").select("text", "quality").limit(4 * settings.sample).toPandas()
+    rows = rows.sort_values(["quality", "text"], kind="stable")
+    return train(rows["text"].tolist(), rows["quality"].tolist(), 2, settings)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), keep_from: float = KEEP_FROM) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, held_out, score, predicted``.
+
+    Learned as :func:`learned` says; only the text enters a score. ``held_out``
+    is ``crc32(doc_id as text) mod 5`` being 0, false for a null id. Null and empty texts get the score of no
+    features; without any label every score is 0.5. Repeated rows give repeated
+    rows, an empty table an empty result; other columns are not read.
+    """
+    model = learned(docs, labels, settings)
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))
-    value = F.col("scores")[1]
-    return scored.select("doc_id", held_out.alias("held_out"), value.alias("score"), (value >= keep_from).cast("int").alias("predicted"))
+    value = F.col("_scores")[1]
+    return score(source, model, settings.bits).select("doc_id", held_out.alias("held_out"), value.alias("score"), (value >= keep_from).cast("int").alias("predicted"))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), keep_from: float = KEEP_FROM) -> DataFrame:
+    """Rows of ``docs``, all columns, whose score is at least ``keep_from``."""
+    scored = score(docs, learned(docs, labels, settings), settings.bits)
+    return scored.where(F.col("_scores")[1] >= keep_from).select(*docs.columns)

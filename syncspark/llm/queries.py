@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.llm import bpe, crosspolytope, language, lsh_forest, packing, quality, repair, templates
+from syncspark.llm import bpe, crosspolytope, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
 from syncspark.llm.grace_dedup import exact_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,4 +91,9 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents")).drop("raw")
+
+
+@query()
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
