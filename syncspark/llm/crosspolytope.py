@@ -200,8 +200,9 @@ def _nearest(k: int):
                     col = top.ravel()
                     usable = near[row, col] > -np.inf
                     row, col = row[usable] + a, col[usable]
-                    found.append((q_ids[row], ids[col], _pair_scores(q_vectors[row], vectors[col])))
-                    held += len(row)
+                    if len(row):
+                        found.append((q_ids[row], ids[col], _pair_scores(q_vectors[row], vectors[col])))
+                        held += len(row)
                 if held > least:
                     found = [pruned(found)]
                     held = len(found[0][0])
