@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from syncspark.functions.scalars import clean_text
-from syncspark.schemas import MESSAGE, MESSAGE_REQUIRED
+from syncspark.schemas import CURSOR_FORMAT, MESSAGE, MESSAGE_REQUIRED
 
 _CORRUPT = "_corrupt_record"
-_END = "end of message"
+# Times travel as text with six fraction digits.
+TIMES = {"timestampFormat": CURSOR_FORMAT, "timestampNTZFormat": CURSOR_FORMAT}
 
 # Reasons, in the order in which they are tested.
 EMPTY = "empty"
@@ -28,11 +29,15 @@ def elements(text: Column) -> Column:
     """The JSON values in ``text`` followed by an end marker.
 
     Wrapped in an array, trailing text either breaks the array or moves the
-    marker, both of which the plain parser would accept silently.
+    marker, both of which the plain parser would accept silently. The marker is
+    the hash of the text, which no text can hold itself.
     """
-    return F.from_json(
-        F.concat(F.lit("["), text, F.lit(f', "{_END}"]')), T.ArrayType(T.StringType())
-    )
+    whole = F.concat(F.lit("["), text, F.lit(', "'), _marker(text), F.lit('"]'))
+    return F.from_json(whole, T.ArrayType(T.StringType()))
+
+
+def _marker(text: Column) -> Column:
+    return F.sha2(text, 256)
 
 
 def ends_at_first_brace(text: Column) -> Column:
@@ -40,9 +45,9 @@ def ends_at_first_brace(text: Column) -> Column:
     return F.instr(text, "}") == F.char_length(F.rtrim(text))
 
 
-def is_one(parts: Column) -> Column:
-    """The parts are one value and the end marker."""
-    return F.coalesce((F.size(parts) == 2) & (parts[1] == _END), F.lit(False))
+def is_one(parts: Column, text: Column) -> Column:
+    """The parts of the text are one value and its end marker."""
+    return F.coalesce((F.size(parts) == 2) & (parts[1] == _marker(text)), F.lit(False))
 
 
 def with_unwrapped(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -51,7 +56,7 @@ def with_unwrapped(df: DataFrame, value: str, name: str) -> DataFrame:
     Escapes inside a plain object are left to the JSON parser.
     """
     outer = F.when(F.col(value).rlike(r'^\s*"'), elements(F.col(value)))
-    inner = F.when(is_one(F.col("_outer")), F.col("_outer")[0]).otherwise(F.col(value))
+    inner = F.when(is_one(F.col("_outer"), F.col(value)), F.col("_outer")[0]).otherwise(F.col(value))
     return df.withColumn("_outer", outer).withColumn(name, inner).drop("_outer")
 
 
@@ -71,17 +76,17 @@ def decode(
     others = [c for c in df.columns if c != value]
     texts = df.select(*others, F.col(value).cast("string").alias(value))
     if lenient:
-        parsed = texts.withColumn("_parsed", F.from_json(clean_text(F.col(value)), schema))
+        parsed = texts.withColumn("_parsed", F.from_json(clean_text(F.col(value)), schema, TIMES))
         reason = F.when(F.col("_parsed").isNull(), EMPTY)
         return _fixed(parsed, [*others, value], F.col("_parsed"), reason)
     with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
     parsed = (
         with_unwrapped(texts, value, "_text")
-        .withColumn("_parsed", F.from_json("_text", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}))
+        .withColumn("_parsed", F.from_json("_text", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT, **TIMES}))
         .withColumn("_closed", ends_at_first_brace(F.col("_text")) & F.col(f"_parsed.{_CORRUPT}").isNull())
         .withColumn("_parts", F.when(~F.col("_closed"), elements(F.col("_text"))))
     )
-    one_value = F.col("_closed") | is_one(F.col("_parts"))
+    one_value = F.col("_closed") | is_one(F.col("_parts"), F.col("_text"))
     missing = F.lit(False)
     for name in required:
         missing = missing | F.col(f"_parsed.`{name}`").isNull()
@@ -117,9 +122,9 @@ def quarantined(decoded: DataFrame, value: str = "value", keep: Sequence[str] =
 
 
 def encode(df: DataFrame, columns: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """One JSON ``value`` per row; null fields are written, not dropped."""
+    """One JSON ``value`` per row; null fields are written, times keep all six digits."""
     chosen = list(columns or df.columns)
-    body = F.to_json(F.struct(*chosen), {"ignoreNullFields": "false"})
+    body = F.to_json(F.struct(*chosen), {"ignoreNullFields": "false", **TIMES})
     return df.select(*keep, body.alias("value"))
 
 

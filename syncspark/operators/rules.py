@@ -76,7 +76,7 @@ def with_kinds(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
         "_parts", F.when(~closed, elements(body))
     )
     return (
-        parsed.withColumn("_document", F.when(closed | is_one(F.col("_parts")), F.col("_variant")))
+        parsed.withColumn("_document", F.when(closed | is_one(F.col("_parts"), body), F.col("_variant")))
         .select(*names, F.inline(F.array(F.struct(F.struct(*kinds).alias(KINDS)))))
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from syncspark.operators.reconcile import repeat_rows
 from syncspark.schemas import SENT_BUFFER_ROWS
@@ -26,12 +26,14 @@ def assign_sequence(
     one size per partition is broadcast. ``df`` is evaluated twice, once to
     sample the ranges, so costly inputs are better staged before.
 
-    ``order`` should identify a row. Where one position may be shared by very
-    many rows, ``unique=False`` orders those by content and numbers copies of
-    equal rows as one record with a count.
+    Rows that share a position follow by a hash of their content, so that many
+    of them are spread over several partitions. Where very many rows are equal in
+    all columns, ``unique=False`` numbers the copies as one record with a count.
     """
     if unique:
-        rows, by, size = df, list(order), F.max("_at") + 1
+        hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        rows = df.withColumn("_content", F.xxhash64(*hashed))
+        by, size = [*order, "_content"], F.max("_at") + 1
     else:
         rows = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
         rows = rows.withColumn("_content", F.xxhash64(*df.columns))
@@ -63,36 +65,39 @@ def assign_sequence(
     return copies.withColumn(name, F.col("_first") + F.col("_nth")).select(*df.columns, name)
 
 
-def copies_before(df: DataFrame, keys: Sequence[str], copies: str, name: str, salts: int = 4096) -> DataFrame:
+def copies_before(df: DataFrame, keys: Sequence[str], copies: str, name: str, hot: int = 1_000_000) -> DataFrame:
     """Number of earlier copies in the group of each distinct row.
 
-    The order inside a group is free but fixed. A group is cut into salts by
-    content, summed inside each salt, and shifted by the sizes of its earlier
-    salts, so that a group holding a third of all rows is spread over ``salts``
-    tasks.
+    The order inside a group is free but fixed: by a hash of the content, then
+    by the content. Groups of up to ``hot`` rows are numbered in one window.
+    Larger ones, found by one count, are first cut into salts by that hash,
+    summed inside each salt, and shifted by the sizes of the earlier salts; the
+    numbers are the same.
     """
     columns = [c for c in df.columns if c != copies]
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int"))
     to_previous = (Window.unboundedPreceding, -1)
-    inside = Window.partitionBy(*keys, "_salt").orderBy(*columns).rowsBetween(*to_previous)
-    across = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(*to_previous)
-    sizes = (
-        salted.groupBy(*keys, "_salt")
-        .agg(F.sum(copies).alias("_size"))
-        .select(
-            *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)),
-            F.col("_salt").alias("_s"),
-            F.coalesce(F.sum("_size").over(across), F.lit(0)).alias("_shift"),
-        )
-    )
-    match: Column = F.col("_salt") == F.col("_s")
+    hashed = df.withColumn("_hash", F.xxhash64(*columns))
+    sum_before = lambda window: F.coalesce(F.sum(copies).over(window.rowsBetween(*to_previous)), F.lit(0))
+    small = sum_before(Window.partitionBy(*keys).orderBy("_hash", *columns))
+    large = stage(df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot).select(*keys), "hot-groups")
+    if large.isEmpty():
+        return hashed.select(*df.columns, small.alias(name))
+    named = large.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)))
+    same = F.lit(True)
     for i, k in enumerate(keys):
-        match = match & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return (
-        salted.withColumn("_inside", F.coalesce(F.sum(copies).over(inside), F.lit(0)))
-        .join(sizes, match)
-        .select(*df.columns, (F.col("_shift") + F.col("_inside")).alias(name))
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    rest = hashed.join(named, same, "left_anti").select(*df.columns, small.alias(name))
+    salted = hashed.join(named, same, "left_semi").withColumn("_salt", F.shiftright("_hash", 52))
+    inside = sum_before(Window.partitionBy(*keys, "_salt").orderBy("_hash", *columns))
+    across = Window.partitionBy(*keys).orderBy("_salt").rowsBetween(*to_previous)
+    sizes = salted.groupBy(*keys, "_salt").agg(F.sum(copies).alias("_size"))
+    shifts = sizes.select(
+        *(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)),
+        F.col("_salt").alias("_s"),
+        F.coalesce(F.sum("_size").over(across), F.lit(0)).alias("_shift"),
     )
+    placed = salted.withColumn("_inside", inside).join(shifts, same & (F.col("_salt") == F.col("_s")))
+    return rest.union(placed.select(*df.columns, (F.col("_shift") + F.col("_inside")).alias(name)))
 
 
 def latest_rows(df: DataFrame, order: Sequence[str] = (SEQ,), rows: int = SENT_BUFFER_ROWS) -> DataFrame:

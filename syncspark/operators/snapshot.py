@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from syncspark.operators.reconcile import IN_SINK, IN_SOURCE, compare, differences, repeat_rows
 from syncspark.operators.sequence import copies_before
 from syncspark.schemas import STATE_DELETE, STATE_INSERT, STATE_UPDATE
+from syncspark.workspace import stage
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, key: Sequence[str], unique: bool = True) -> DataFrame:
@@ -17,8 +18,11 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: Sequence[str], uniqu
     Equal rows cancel out in one grouping over both snapshots, so only changed
     rows reach the pairing by key; nulls compare as equal.
 
-    With ``unique`` a key may occur once per snapshot; a second changed row of
-    a key fails the query instead of being dropped. Without it the changed rows
+    With ``unique`` a key may occur once per snapshot. Only changed rows are
+    looked at: a key with two rows that differ on one side fails the query,
+    whichever columns are selected, while a repeat whose other row is the same in
+    both snapshots passes as a change of the one row. :func:`require_unique`
+    checks all rows for the price of one more shuffle. Without ``unique`` the changed rows
     of a key are paired one to one, giving as many updates as the shorter side
     has rows and deletes or inserts for the rest.
     """
@@ -31,6 +35,7 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: Sequence[str], uniqu
     )
     pair_by = keys
     if not unique:
+        rows = stage(rows, "changed")
         placed = copies_before(rows, [*keys, "_is_new"], "_copies", "_first")
         rows = (
             repeat_rows(placed, "_copies", index="_nth")
@@ -52,12 +57,20 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: Sequence[str], uniqu
     )
     if unique:
         repeated = (F.col("_n_old") > 1) | (F.col("_n_new") > 1)
-        state = F.when(
-            repeated, F.raise_error(F.lit("snapshot_diff: key is not unique, pass unique=False"))
-        ).otherwise(state)
+        # A filter stays in every plan; a check inside a column would go with the column.
+        refusal = F.raise_error(F.lit("snapshot_diff: key is not unique, pass unique=False")).cast("boolean")
+        paired = paired.filter(F.when(F.coalesce(repeated, F.lit(False)), refusal).otherwise(F.lit(True)))
     return paired.select(*keys, state.alias("state"), "old", "new")
 
 
+def require_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``df`` itself; a key that occurs more than once, changed or not, raises."""
+    repeated = df.groupBy(*key).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select(*key).first()
+    if repeated is not None:
+        raise ValueError(f"key is not unique: {repeated.asDict()}")
+    return df
+
+
 def _image_log(diff: DataFrame, image: str, states: Sequence[str], at: Column | None) -> DataFrame:
     keys = [c for c in diff.columns if c not in ("state", "old", "new")]
     log = diff.filter(F.col("state").isin(*states)).select(*keys, f"{image}.*", "state")

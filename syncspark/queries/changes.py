@@ -157,7 +157,11 @@ def received_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_SENT_SQL} SELECT {_SENT_COLUMNS} FROM sent ORDER BY seq DESC LIMIT 1000")
 def latest_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(latest_rows(_sent(spark, sf_dir)))
+    """Only the last records are numbered, backwards from the number of all of them."""
+    log = change_log(spark, sf_dir)
+    last = stage(latest_rows(log, ["log_timestamp", "event_id"]), "latest")
+    first = log.count() - last.count()
+    return _shown(assign_sequence(last, ["log_timestamp", "event_id"], start=first))
 
 
 @query(f"WITH {_SENT_SQL} SELECT {_SENT_COLUMNS} FROM sent WHERE state = 'error'")
@@ -177,7 +181,7 @@ def missing_by_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def missing_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records are equal when their contents are; the numbers play no part."""
-    sent = _sent(spark, sf_dir).drop("event_id", "payload")
+    sent = change_log(spark, sf_dir).drop("event_id", "payload")
     early = F.col("log_timestamp") < F.lit(_TIME).cast("timestamp_ntz")
     received = sent.filter(early | (F.col("state") == "view"))
     return missing(compare(sent.select("user_id", "state"), received))

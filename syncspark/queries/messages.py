@@ -94,12 +94,20 @@ def message_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(binary).groupBy(outcome).agg(F.count("*").alias("n"))
 
 
-@query("SELECT conv_id, turn, role, text FROM conversations")
+@query(
+    """SELECT conv_id, turn, role, text,
+           strftime(TIMESTAMP '2024-01-01 00:00:00' + to_microseconds(conv_id % 60 * 1000000 + turn + 1),
+                    '%Y-%m-%d %H:%M:%S.%f') AS said_at
+    FROM conversations"""
+)
 def encode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole texts to JSON and back, quotes and line breaks included."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    """Whole texts and times to JSON and back, quotes, line breaks and microseconds included."""
+    second = F.expr("CAST(conv_id % 60 + (turn + 1) / 1000000 AS DECIMAL(18, 6))")
+    said_at = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=second)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", said_at.alias("said_at"))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in turns.schema.fields])
-    return accepted(decode(encode(turns), schema, required=("conv_id", "turn")))
+    back = accepted(decode(encode(turns), schema, required=("conv_id", "turn", "said_at")))
+    return back.withColumn("said_at", format_micros(F.col("said_at")))
 
 
 @query(

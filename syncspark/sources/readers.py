@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from syncspark.schemas import RAW_EVENT
 
 # Options of the message-queue source.
-TOPIC_OPTIONS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+TOPIC_OPTIONS = {"startingOffsets": "earliest"}
 
 
 class Split(NamedTuple):
@@ -88,8 +88,16 @@ def read_collection(
     return (reader if schema is None else reader.schema(schema)).load()
 
 
-def topic_options(servers: str, topic: str, extra: Mapping[str, object] | None = None) -> dict[str, str]:
+def topic_options(
+    servers: str, topic: str, extra: Mapping[str, object] | None = None, go_on_after_loss: bool = False
+) -> dict[str, str]:
+    """Options of a message-queue source.
+
+    Records that expired before they were read fail the stream; with
+    ``go_on_after_loss`` it skips them, so its result is incomplete.
+    """
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, **TOPIC_OPTIONS}
+    options["failOnDataLoss"] = str(not go_on_after_loss).lower()
     return options | {k: str(v) for k, v in (extra or {}).items()}
 
 

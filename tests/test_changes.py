@@ -113,9 +113,10 @@ def test_one_key_with_a_third_of_all_rows(spark):
     assert counts == {"UPDATE": 500, "DELETE": 200}
 
 
-def test_copies_before_is_a_running_total_per_group(spark):
+@pytest.mark.parametrize("hot", [0, 3, 10**6])
+def test_copies_before_is_a_running_total_per_group(spark, hot):
     df = spark.range(300).selectExpr("id % 3 AS k", "id", "id % 4 + 1 AS n")
-    placed = copies_before(df, ["k"], "n", "first", salts=7).collect()
+    placed = copies_before(df, ["k"], "n", "first", hot=hot).collect()
     for k in range(3):
         group = sorted((r["first"], r.n) for r in placed if r.k == k)
         expected = 0
@@ -214,3 +215,29 @@ def test_cursor_filter_reaches_the_scan(spark, tmp_path):
     log = spark.read.parquet(str(tmp_path / "log"))
     plan = rows_after(log, Cursor("2024-01-01 00:00:00.001", 1), key="id")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(log_timestamp" in plan
+
+
+@pytest.mark.parametrize("select", [lambda d: d.count(), lambda d: d.select("user_id", "new").collect(), lambda d: d.collect()])
+def test_repeated_changed_key_fails_whatever_is_selected(spark, select):
+    before, after = _snapshots(spark, [(1, "a", None)], [(1, "b", None), (1, "c", None)])
+    with pytest.raises(Exception, match="key is not unique"):
+        select(snapshot_diff(before, after, key=["user_id"]))
+
+
+def test_repeats_with_an_unchanged_row_need_the_check_of_all_rows(spark):
+    from syncspark.operators.snapshot import require_unique
+
+    before, after = _snapshots(spark, [(1, "a", None), (1, "b", None)], [(1, "a", None), (1, "c", None)])
+    assert _plain(snapshot_diff(before, after, key=["user_id"])) == {1: ("UPDATE", ("b", None), ("c", None))}
+    with pytest.raises(ValueError, match="user_id"):
+        require_unique(before, ["user_id"])
+    once = after.filter("login = 'c'")
+    assert require_unique(once, ["user_id"]) is once
+
+
+def test_tied_positions_are_spread(spark):
+    df = spark.range(20_000).selectExpr("1 AS t", "id").repartition(4)
+    numbered = assign_sequence(df, ["t"])
+    assert sorted(r.seq for r in numbered.collect()) == list(range(1, 20_001))
+    shares = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(shares) < 10_000

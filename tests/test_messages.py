@@ -203,3 +203,31 @@ def test_random_records_survive_single_and_double_encoding(spark):
     texts = once + [json.dumps(t) for t in once]
     found = accepted(decode(_frame(spark, texts)), keep=["n"]).orderBy("n").collect()
     assert [(r.user_id, r.login) for r in found] == [(r["user_id"], r["login"]) for r in records] * 2
+
+
+def test_no_text_can_forge_the_end(spark):
+    """Text after the object is refused, also where it holds markers of other texts."""
+    import hashlib
+
+    body = '{"user_id":1,"login":"a"}'
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    forged = [f'{body}, "end of message"] junk', f'{body}, "{sha(body)}"] junk', f'{body}, "{sha(body)}"', f'{body}] [']
+    df = spark.createDataFrame([(t,) for t in [body, *forged]], "value string")
+    found = {r.value: r.reason for r in decode(df).select("value", "reason").collect()}
+    assert found.pop(body) is None and set(found.values()) == {"not one json value"}
+
+
+def test_times_keep_six_digits(spark):
+    from pyspark.sql import types as T
+
+    df = spark.sql(
+        "SELECT 1 AS id, TIMESTAMP '2024-01-01 00:00:01.123456' AS at, TIMESTAMP_NTZ '2024-01-01 00:00:01.000007' AS local, "
+        "named_struct('t', TIMESTAMP_NTZ '2024-01-01 00:00:02.5') AS inner"
+    )
+    value = encode(df)
+    assert value.first()[0] == (
+        '{"id":1,"at":"2024-01-01 00:00:01.123456","local":"2024-01-01 00:00:01.000007","inner":{"t":"2024-01-01 00:00:02.500000"}}'
+    )
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    back = accepted(decode(value, schema, required=("id",)))
+    assert tuple(back.first()) == tuple(df.first())

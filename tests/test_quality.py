@@ -188,6 +188,6 @@ def test_connector_options():
     }
     assert topic_options("h:1", "t", {"kafka.group.id": "g"}) == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
-        "failOnDataLoss": "false", "kafka.group.id": "g",
+        "failOnDataLoss": "true", "kafka.group.id": "g",
     }
     assert topic_write_options("h:1", "t")["topic"] == "t"
