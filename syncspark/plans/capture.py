@@ -1,17 +1,29 @@
 """Rounds over a change log that can only be read as a table.
 
-For logs in a database, which have no stream of their own. The position and the
-last number are kept per round, so a restarted job goes on where it stopped and
-a repeated round writes the same folders again.
+For logs in a database, which have no stream of their own. A round first writes
+down its numbered rows, then publishes them, then notes that it is done: a
+round that is run again after a failure sends the same rows under the same
+numbers, however the log has grown meanwhile.
 """
 
 from __future__ import annotations
 
+import time as clock
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from syncspark.operators.incremental import LOG_TIME, Cursor, next_cursor, rows_after
-from syncspark.streaming.batches import read_batch, write_values
-from syncspark.streaming.capture import FileTopic, Publish, send_and_resend
+from syncspark.operators.incremental import LOG_TIME, Cursor, next_cursor, not_yet_seen, rows_after
+from syncspark.operators.sequence import SEQ, assign_sequence
+from syncspark.streaming.batches import (
+    forget_batches,
+    is_finished,
+    last_batch,
+    read_batch,
+    write_batch,
+    write_values,
+)
+from syncspark.streaming.capture import Publish, Topic, last_number, send_and_resend
 from syncspark.workspace import scratch, stage
 
 STATE = T.StructType(
@@ -21,39 +33,116 @@ STATE = T.StructType(
         T.StructField("last_seq", T.LongType()),
     ]
 )
+PAUSE_SECONDS = 1.0
+
+
+def state_after(spark: SparkSession, state_path: str) -> tuple[int, Cursor, int]:
+    """Last finished round, its cursor and its last number; -1 before the first."""
+    done = last_batch(spark, f"{state_path}/done")
+    if done is None:
+        return -1, Cursor(), 0
+    row = read_batch(spark, f"{state_path}/done", done, STATE).first()
+    return done, Cursor(row["cursor"] or None, row["cursor_key"]), row["last_seq"]
+
 
+def _identities(log: DataFrame, key: str, time: str) -> T.StructType:
+    return T.StructType([log.schema[time], log.schema[key]])
 
-def state_before(spark: SparkSession, state_path: str, round_id: int) -> tuple[Cursor, int]:
-    """Cursor and last number a round starts from."""
-    if round_id == 0:
-        return Cursor(), 0
-    row = read_batch(spark, state_path, round_id - 1, STATE).first()
-    return Cursor(row["cursor"], row["cursor_key"]), row["last_seq"]
+
+def _pulled(log: DataFrame, state_path: str, done: int, cursor: Cursor, key: str, time: str, overlap: str | None) -> DataFrame:
+    """Rows not published before: past the cursor, or late within ``overlap`` of it."""
+    rows = rows_after(log, cursor, time, key, overlap)
+    if overlap is None or done < 0:
+        return rows
+    seen = read_batch(log.sparkSession, f"{state_path}/seen", done, _identities(log, key, time))
+    return not_yet_seen(rows, seen, [time, key])
+
+
+def _set_aside_null_times(log: DataFrame, key: str, time: str, folder: str | None) -> None:
+    """Raise for rows without a time, or keep those not yet kept in ``folder``."""
+    spark, nulls = log.sparkSession, log.filter(F.col(time).isNull())
+    if folder is None:
+        if not nulls.isEmpty():
+            raise ValueError(f"the log has rows without {time}; name a folder for them")
+        return
+    spark.createDataFrame([], log.schema).write.mode("append").parquet(folder)
+    held = stage(spark.read.schema(log.schema).parquet(folder).select(key), "held")
+    not_yet_seen(nulls, held, [key]).write.mode("append").parquet(folder)
 
 
 def capture_round(
     log: DataFrame,
-    topic: FileTopic,
+    topic: Topic,
     state_path: str,
-    round_id: int,
     key: str,
     time: str = LOG_TIME,
     publish: Publish | None = None,
+    overlap: str | None = None,
+    null_times: str | None = None,
 ) -> Cursor:
-    """Publish the rows past the cursor, resend what is lost, keep the new cursor.
+    """One round: publish what was not published yet, resend what is lost, keep the position.
 
-    Errors of the source are raised, so no round passes for an empty one.
+    The job finds the last finished round itself, in ``state_path``. Rows that
+    commit with a time of up to ``overlap`` (an interval such as ``10 minutes``)
+    before the cursor are still published; without it they are lost, so set it
+    to the longest time a transaction takes. Rows without a time have no place
+    in the log: they fail the round, or are kept once each in the folder
+    ``null_times``. Errors of the source are raised, so no round passes for an
+    empty one.
     """
     spark = log.sparkSession
-    cursor, done = state_before(spark, state_path, round_id)
+    done, cursor, last = state_after(spark, state_path)
+    number, rows_path = done + 1, f"{state_path}/rows"
+    numbered_schema = T.StructType([*log.schema.fields, T.StructField(SEQ, T.LongType())])
     with scratch(spark):
-        pulled = stage(rows_after(log, cursor, time, key), "pulled")
-        last = send_and_resend(pulled, round_id, done, [time, key], topic, publish)
-        position = next_cursor(pulled, cursor, time, key).first()
-    after = Cursor(position["cursor"], position["cursor_key"])
-    state = dict(zip(STATE.names, (*after, last)))
-    kinds = {f.name: f.dataType for f in STATE.fields}
-    write_values(
-        spark, state_path, round_id, **{name: F.lit(value).cast(kinds[name]) for name, value in state.items()}
-    )
+        if not is_finished(spark, rows_path, number):
+            _set_aside_null_times(log, key, time, null_times)
+            timed = log.filter(F.col(time).isNotNull())
+            pulled = stage(_pulled(timed, state_path, done, cursor, key, time, overlap), "pulled")
+            write_batch(assign_sequence(pulled, [time, key], start=last), rows_path, number)
+        numbered = read_batch(spark, rows_path, number, numbered_schema)
+        send_and_resend(numbered, number, topic, publish)
+        position = next_cursor(numbered, cursor, time, key).first()
+        after = Cursor(position["cursor"], position["cursor_key"])
+        # A late row alone must not move the cursor back.
+        if cursor.time and after.time < cursor.time:
+            after = cursor
+        if overlap is not None:
+            _remember(spark, state_path, numbered, done, number, after, key, time, overlap)
+        kinds = {f.name: f.dataType for f in STATE.fields}
+        state = dict(zip(STATE.names, (after.time, after.key, last_number(numbered, last))))
+        write_values(spark, f"{state_path}/done", number, **{n: F.lit(v).cast(kinds[n]) for n, v in state.items()})
+    for folder in ("rows", "seen", "done"):
+        forget_batches(spark, f"{state_path}/{folder}", number)
     return after
+
+
+def _remember(
+    spark: SparkSession, state_path: str, numbered: DataFrame, done: int, number: int, after: Cursor, key: str, time: str, overlap: str
+) -> None:
+    """Identities of the rows published within ``overlap`` before the cursor."""
+    sent = numbered.select(time, key)
+    if done >= 0:
+        sent = sent.unionByName(read_batch(spark, f"{state_path}/seen", done, _identities(numbered, key, time)))
+    write_batch(rows_after(sent, after, time, key, overlap), f"{state_path}/seen", number)
+
+
+def capture_loop(
+    read_log: Callable[[SparkSession], DataFrame],
+    spark: SparkSession,
+    topic: Topic,
+    state_path: str,
+    key: str,
+    pause: float = PAUSE_SECONDS,
+    go_on: Callable[[Cursor], bool] = lambda cursor: True,
+    **settings: object,
+) -> Cursor:
+    """Rounds with a pause between them while ``go_on`` says so; the last cursor.
+
+    A loop that is started again goes on after the last finished round.
+    """
+    while True:
+        cursor = capture_round(read_log(spark), topic, state_path, key, **settings)
+        if not go_on(cursor):
+            return cursor
+        clock.sleep(pause)

@@ -123,11 +123,14 @@ def _captured(spark: SparkSession, sf_dir: str) -> DataFrame:
         publish=lossy,
         interval=None,
     ).awaitTermination()
-    kinds = "event_id bigint, user_id bigint, state string, payload string, seq bigint"
+    kinds = "event_id bigint, user_id bigint, state string, log_timestamp string, payload string, seq bigint"
     return topic.read(spark).select(F.from_json("value", kinds).alias("m")).select("m.*")
 
 
-@query(f"WITH {CHANGE_LOG_SQL} SELECT event_id, user_id, state, payload FROM change_log")
+_LOGGED = "strftime(log_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS log_timestamp"
+
+
+@query(f"WITH {CHANGE_LOG_SQL} SELECT event_id, user_id, state, {_LOGGED}, payload FROM change_log")
 def stream_resend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every change is in the topic once, the lost ones through the resend."""
     return _captured(spark, sf_dir).drop("seq")
@@ -156,9 +159,22 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_counts(spark, out, T.StructType([T.StructField("user_id", T.LongType(), True)]))
 
 
-@query(
-    """SELECT event_id, event_type AS state, row_number() OVER (ORDER BY ts, event_id) AS seq FROM events"""
-)
+def _published(topic: FileTopic, spark: SparkSession) -> DataFrame:
+    kinds = "event_id bigint, state string, log_timestamp string, seq bigint"
+    return topic.read(spark).select(F.from_json("value", kinds).alias("m")).select("m.*")
+
+
+def _until(log: DataFrame, bound: str) -> DataFrame:
+    return log.filter(F.col("log_timestamp") < F.lit(bound).cast("timestamp_ntz"))
+
+
+_MIDDLE = "2024-01-16 00:00:00"
+_IN_ORDER = f"""WITH {CHANGE_LOG_SQL}
+    SELECT event_id, state, {_LOGGED}, row_number() OVER (ORDER BY change_log.log_timestamp, event_id) AS seq
+    FROM change_log"""
+
+
+@query(_IN_ORDER)
 def capture_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rounds over a log table that grows in between; clicks get lost at first."""
     topic, state = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state")
@@ -167,11 +183,70 @@ def capture_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     def lossy(messages: DataFrame, batch_id: int) -> None:
         topic.publish(messages.filter(F.get_json_object("value", "$.state") != "click"), batch_id)
 
-    first = log.filter(F.col("log_timestamp") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"))
-    capture_round(first, topic, state, 0, key="event_id", publish=lossy)
-    capture_round(log, topic, state, 1, key="event_id", publish=lossy)
-    kinds = "event_id bigint, state string, seq bigint"
-    return topic.read(spark).select(F.from_json("value", kinds).alias("m")).select("m.*")
+    capture_round(_until(log, _MIDDLE), topic, state, key="event_id", publish=lossy)
+    capture_round(log, topic, state, key="event_id", publish=lossy)
+    return _published(topic, spark)
+
+
+@query(
+    f"""WITH {CHANGE_LOG_SQL},
+    rounds AS (SELECT *, CASE WHEN log_timestamp < TIMESTAMP '{_MIDDLE}'
+                                AND NOT (state = 'signup' AND log_timestamp >= TIMESTAMP '2024-01-15 12:00:00')
+                              THEN 0 ELSE 1 END AS round FROM change_log)
+    SELECT event_id, state, {_LOGGED},
+           row_number() OVER (ORDER BY round, rounds.log_timestamp, event_id) AS seq
+    FROM rounds"""
+)
+def capture_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signups of half a day commit after the round that went past their time."""
+    topic, state = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state")
+    log = change_log(spark, sf_dir)
+    late = (F.col("state") == "signup") & (F.col("log_timestamp") >= F.lit("2024-01-15 12:00:00").cast("timestamp_ntz"))
+    capture_round(_until(log, _MIDDLE).filter(~late), topic, state, key="event_id", overlap="1 day")
+    capture_round(log, topic, state, key="event_id", overlap="1 day")
+    return _published(topic, spark)
+
+
+@query(
+    f"""WITH {CHANGE_LOG_SQL},
+    rounds AS (SELECT *, CASE WHEN log_timestamp < TIMESTAMP '{_MIDDLE}' THEN 0 ELSE 1 END AS round FROM change_log)
+    SELECT event_id, state, {_LOGGED},
+           row_number() OVER (ORDER BY round, rounds.log_timestamp, event_id) AS seq
+    FROM rounds"""
+)
+def capture_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A round that fails after its send is run again over a grown log, with the same numbers."""
+    topic, state = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state")
+    log = change_log(spark, sf_dir)
+
+    def failing(messages: DataFrame, batch_id: int) -> None:
+        topic.publish(messages, batch_id)
+        raise ConnectionError("lost after the send")
+
+    try:
+        capture_round(_until(log, _MIDDLE), topic, state, key="event_id", publish=failing)
+    except ConnectionError:
+        capture_round(log, topic, state, key="event_id")
+    capture_round(log, topic, state, key="event_id")
+    return _published(topic, spark)
+
+
+@query(
+    f"""WITH {CHANGE_LOG_SQL}
+    SELECT event_id, state, CASE WHEN state <> 'error' THEN strftime(log_timestamp, '%Y-%m-%d %H:%M:%S.%f') END AS log_timestamp,
+           CASE WHEN state <> 'error' THEN row_number() OVER (PARTITION BY state = 'error' ORDER BY change_log.log_timestamp, event_id) END AS seq
+    FROM change_log"""
+)
+def capture_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors have no time: two rounds keep each of them once beside the published rows."""
+    topic, state, aside = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state"), new_path(spark, "null-times")
+    log = change_log(spark, sf_dir)
+    log = log.withColumn("log_timestamp", F.when(F.col("state") != "error", F.col("log_timestamp")))
+    for _ in range(2):
+        capture_round(log, topic, state, key="event_id", null_times=aside)
+    kept = spark.read.schema(log.schema).parquet(aside)
+    kept = kept.select("event_id", "state", format_micros(F.col("log_timestamp")).alias("log_timestamp"), F.lit(None).cast("long").alias("seq"))
+    return _published(topic, spark).union(kept)
 
 
 @query(f"WITH {EVENT_USERS_SQL} SELECT * FROM event_users")

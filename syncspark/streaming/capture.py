@@ -7,7 +7,8 @@ each message, so sender and receiver cannot drift apart.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -15,8 +16,17 @@ from pyspark.sql.streaming import StreamingQuery
 from syncspark.functions.messages import encode
 from syncspark.operators.sequence import SEQ, assign_sequence, missing_by_number
 from syncspark.schemas import TRIGGER_INTERVAL
-from syncspark.streaming.batches import create_folder, read_batch, read_batches, start, write_batch, write_values
-from syncspark.workspace import scratch
+from syncspark.sources.readers import read_topic
+from syncspark.streaming.batches import (
+    create_folder,
+    forget_batches,
+    read_batch,
+    read_batches,
+    start,
+    write_batch,
+    write_values,
+)
+from syncspark.workspace import scratch, stage
 
 TOPIC = T.StructType([T.StructField("value", T.StringType(), True)])
 PROGRESS = T.StructType([T.StructField("last_seq", T.LongType(), True)])
@@ -25,6 +35,45 @@ _NUMBER = T.StructType([T.StructField(SEQ, T.LongType(), True)])
 Publish = Callable[[DataFrame, int], None]
 
 
+class Topic(Protocol):
+    """Where messages go: frames with a column ``value``, batch by batch."""
+
+    def publish(self, messages: DataFrame, batch_id: int) -> None:
+        """First send of a batch; a replayed batch sends the same messages again."""
+
+    def publish_again(self, messages: DataFrame, batch_id: int) -> None:
+        """Messages of a batch that did not arrive."""
+
+    def arrived(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Column ``value`` of what the first send of a batch left in the topic."""
+
+
+class SourceTopic:
+    """A topic behind one of Spark's own formats, such as a message queue.
+
+    Messages carry their batch as ``key``, resent ones with a suffix, so the
+    records of one batch are found among all. ``read`` are the options of a
+    bounded read.
+    """
+
+    def __init__(self, source: str, write: Mapping[str, str], read: Mapping[str, str]):
+        self.source, self.write, self.read = source, dict(write), dict(read)
+
+    def _send(self, messages: DataFrame, key: str) -> None:
+        keyed = messages.select(F.lit(key).alias("key"), "value")
+        keyed.write.format(self.source).options(**self.write).mode("append").save()
+
+    def publish(self, messages: DataFrame, batch_id: int) -> None:
+        self._send(messages, str(batch_id))
+
+    def publish_again(self, messages: DataFrame, batch_id: int) -> None:
+        self._send(messages, f"{batch_id}-again")
+
+    def arrived(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        records = read_topic(spark, self.read, self.source)
+        return records.filter(F.col("key").cast("string") == str(batch_id)).select(F.col("value").cast("string").alias("value"))
+
+
 class FileTopic:
     """A folder used as a topic, with one sub-folder per batch and attempt."""
 
@@ -63,15 +112,19 @@ def resend_missing(sent: DataFrame, received: DataFrame) -> DataFrame:
     return encode(missing_by_number(sent, received))
 
 
-def send_and_resend(
-    rows: DataFrame, batch_id: int, done: int, order: Sequence[str], topic: FileTopic, publish: Publish | None
-) -> int:
-    """Number the rows after ``done``, publish, resend what is absent; the last number."""
-    spark = rows.sparkSession
-    numbered = assign_sequence(rows, order, start=done)
+def send_and_resend(numbered: DataFrame, batch_id: int, topic: Topic, publish: Publish | None = None) -> None:
+    """Publish numbered records and resend what did not arrive.
+
+    ``numbered`` is read for the send and for the resend: a staged table, whose
+    rows are the same each time.
+    """
     (publish or topic.publish)(encode(numbered), batch_id)
-    arrived = numbers_of(topic.arrived(spark, batch_id))
+    arrived = numbers_of(topic.arrived(numbered.sparkSession, batch_id))
     topic.publish_again(resend_missing(numbered, arrived), batch_id)
+
+
+def last_number(numbered: DataFrame, done: int) -> int:
+    """The greatest number of staged records, ``done`` if there are none."""
     return numbered.agg(F.coalesce(F.max(SEQ), F.lit(done))).first()[0]
 
 
@@ -84,7 +137,7 @@ def _last_number(spark: SparkSession, progress_path: str, batch_id: int) -> int:
 
 def capture(
     log: DataFrame,
-    topic: FileTopic,
+    topic: Topic,
     progress_path: str,
     checkpoint: str,
     order: Sequence[str],
@@ -93,14 +146,18 @@ def capture(
 ) -> StreamingQuery:
     """Publish a change-log stream and resend what does not arrive.
 
-    ``publish`` replaces the first send, as for another transport.
+    ``publish`` replaces the first send. Progress of earlier batches than the
+    last two is deleted.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = _last_number(spark, progress_path, batch_id)
         with scratch(spark):
-            last = send_and_resend(batch, batch_id, done, order, topic, publish)
+            numbered = stage(assign_sequence(batch, order, start=done), "numbered")
+            send_and_resend(numbered, batch_id, topic, publish)
+            last = last_number(numbered, done)
         write_values(spark, progress_path, batch_id, last_seq=F.lit(last).cast("long"))
+        forget_batches(spark, progress_path, batch_id - 1)
 
     return start(log, handle, checkpoint, interval)

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from syncspark.operators.sequence import latest_per_key
 from syncspark.schemas import TRIGGER_INTERVAL
-from syncspark.streaming.batches import BATCH, read_batches, start, write_batch
+from syncspark.streaming.batches import BATCH, merge_batches, read_batches, start, write_batch
 
 
 def count_by_key(
@@ -18,20 +18,25 @@ def count_by_key(
     path: str,
     checkpoint: str,
     interval: str | None = TRIGGER_INTERVAL,
+    merge_every: int = 100,
 ) -> StreamingQuery:
     """Write the new count of every key that a batch has changed.
 
     The count is a built-in streaming aggregate: rows of a hot key are summed
-    per task before the shuffle, and state holds one row per key.
+    per task before the shuffle, and state holds one row per key. After each
+    ``merge_every`` batches the last counts of all keys replace the updates, so
+    :func:`current_counts` reads a bounded number of folders.
     """
     counts = stream.groupBy(*keys).agg(F.count("*").alias("n"))
-    return start(
-        counts,
-        lambda batch, batch_id: write_batch(batch, path, batch_id),
-        checkpoint,
-        interval,
-        output_mode="update",
-    )
+    kinds = T.StructType([f for f in counts.schema.fields])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, path, batch_id)
+        if batch_id % merge_every == merge_every - 1:
+            last = lambda rows: latest_per_key(rows, list(keys), [BATCH])
+            merge_batches(batch.sparkSession, path, kinds, replace=last)
+
+    return start(counts, handle, checkpoint, interval, output_mode="update")
 
 
 def current_counts(spark: SparkSession, path: str, key_schema: T.StructType) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +13,8 @@ from syncspark.operators.reconcile import compare, missing
 from syncspark.operators.project import tag
 from syncspark.schemas import MESSAGE, MESSAGE_REQUIRED, TRIGGER_INTERVAL
 from syncspark.sources.sinks import Sink
-from syncspark.streaming.batches import BATCH, read_batches, start, write_batch
-from syncspark.workspace import scratch, stage
+from syncspark.streaming.batches import BATCH, merge_batches, read_batches, start, write_batch
+from syncspark.workspace import delete, mark, matching, scratch, stage
 
 ACCEPTED = "accepted"
 
@@ -34,21 +35,25 @@ def sync_messages(
     required: Sequence[str] = MESSAGE_REQUIRED,
     lenient: bool = False,
     interval: str | None = TRIGGER_INTERVAL,
+    merge_every: int = 1000,
 ) -> StreamingQuery:
     """Parse a message stream and append it to a folder.
 
     Each message is parsed once; accepted and refused ones go to different
     folders of the same write, so readers of either skip the other's files.
+    After each ``merge_every`` batches their small files become one table.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         decoded = decode(batch, schema, required, lenient=lenient)
         write_batch(_with_refused(decoded), path, batch_id, partition_by=(ACCEPTED,))
+        if batch_id % merge_every == merge_every - 1:
+            merge_batches(batch.sparkSession, path, _kept(schema), partition_by=(ACCEPTED,))
 
     return start(raw, handle, checkpoint, interval)
 
 
-def _folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _kept(schema: T.StructType) -> T.StructType:
     extra = T.StructType(
         [
             T.StructField("value", T.StringType()),
@@ -56,26 +61,39 @@ def _folder(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             T.StructField(ACCEPTED, T.BooleanType()),
         ]
     )
-    return read_batches(spark, path, T.StructType([*schema.fields, *extra.fields]))
+    return T.StructType([*schema.fields, *extra.fields])
 
 
 def synced(spark: SparkSession, path: str, schema: T.StructType = MESSAGE) -> DataFrame:
-    return _folder(spark, path, schema).filter(ACCEPTED).select(*schema.names)
+    return read_batches(spark, path, _kept(schema)).filter(ACCEPTED).select(*schema.names)
 
 
 def refused(spark: SparkSession, path: str, schema: T.StructType = MESSAGE) -> DataFrame:
-    return _folder(spark, path, schema).filter(~F.col(ACCEPTED)).select("value", "reason", BATCH)
+    return read_batches(spark, path, _kept(schema)).filter(~F.col(ACCEPTED)).select("value", "reason", BATCH)
 
 
-def deliver_once(marked: DataFrame, sink: Sink, run_id: str) -> None:
+def deliver_once(marked: DataFrame, sink: Sink, run_id: str, ledger: str | None = None) -> None:
     """Append the marked rows of a run to a sink without transactions.
 
     Only what the sink does not yet hold of this run is appended, so a replay
-    after a half-finished write completes it instead of repeating it.
+    after a half-finished write completes it instead of repeating it. With a
+    ``ledger`` folder, which notes what was begun and finished, the sink is read
+    back only for a run that was begun and not finished.
     """
-    held = sink.read_run(marked.sparkSession, run_id)
-    todo = marked if held.isEmpty() else missing(compare(marked, held))
+    spark = marked.sparkSession
+    entry = None if ledger is None else f"{ledger}/{quote(run_id, safe='')}/{quote(sink.name, safe='')}"
+    noted = set() if entry is None else {path.rsplit(".", 1)[1] for path, _ in matching(spark, f"{entry}.*")}
+    if "finished" in noted:
+        return
+    if entry is not None and not noted:
+        mark(spark, f"{entry}.begun")
+        todo = marked
+    else:
+        held = sink.read_run(spark, run_id)
+        todo = marked if held.isEmpty() else missing(compare(marked, held))
     sink.write(todo.select(*marked.columns), "append")
+    if entry is not None:
+        mark(spark, f"{entry}.finished")
 
 
 def sync_messages_to(
@@ -87,13 +105,20 @@ def sync_messages_to(
     required: Sequence[str] = MESSAGE_REQUIRED,
     interval: str | None = TRIGGER_INTERVAL,
 ) -> StreamingQuery:
-    """Parse a message stream once and append accepted rows to every sink."""
+    """Parse a message stream once and append accepted rows to every sink.
+
+    The ledger of deliveries lies beside the checkpoint; entries of batches
+    before the last one are deleted, as only the last can be replayed.
+    """
+    ledger = f"{checkpoint.rstrip('/')}-delivered"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{stream_name}-{batch_id}"
         with scratch(batch.sparkSession):
             marked = stage(tag(accepted(decode(batch, schema, required)), run_id), "batch")
             for sink in sinks:
-                deliver_once(marked, sink, run_id)
+                deliver_once(marked, sink, run_id, ledger)
+        if batch_id > 0:
+            delete(batch.sparkSession, f"{ledger}/{quote(f'{stream_name}-{batch_id - 1}', safe='')}")
 
     return start(raw, handle, checkpoint, interval)

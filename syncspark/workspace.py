@@ -70,5 +70,28 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scratch.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, root)
+
+
+def _path(spark: SparkSession, path: str):
+    """A path and its file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all its contents, if it is there."""
+    found, files = _path(spark, path)
+    files.delete(found, True)
+
+
+def matching(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Paths that match a pattern, with the time of their last change."""
+    found, files = _path(spark, pattern)
+    return [(s.getPath().toString(), s.getModificationTime()) for s in files.globStatus(found) or ()]
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Make an empty file."""
+    found, files = _path(spark, path)
+    files.create(found, True).close()

@@ -237,7 +237,12 @@ def test_repeats_with_an_unchanged_row_need_the_check_of_all_rows(spark):
 
 def test_tied_positions_are_spread(spark):
     df = spark.range(20_000).selectExpr("1 AS t", "id").repartition(4)
-    numbered = assign_sequence(df, ["t"])
+    # Without merging of small partitions, as with partitions of a usual size.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = assign_sequence(df, ["t"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sorted(r.seq for r in numbered.collect()) == list(range(1, 20_001))
-    shares = [r["count"] for r in numbered.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(shares) < 10_000
+    shares = [spark.read.parquet(f).count() for f in numbered.inputFiles()]
+    assert len(shares) > 4 and max(shares) < 8_000

@@ -4,14 +4,15 @@ from pyspark.sql import functions as F, types as T
 from syncspark.functions import accepted, decode, encode, quarantined
 from syncspark.operators.incremental import Cursor
 from syncspark.operators.project import MARKER, tag
-from syncspark.plans.capture import capture_round, state_before
+from syncspark.plans.capture import capture_loop, capture_round, state_after
 from syncspark.schemas import MESSAGE
 from syncspark.sources.readers import read_topic, stream_topic
 from syncspark.sources.sinks import file_sink, publish
-from syncspark.streaming.batches import create_folder, read_batch, read_batches, start, write_batch
-from syncspark.streaming.capture import FileTopic, capture, numbers_of, resend_missing
+from syncspark.streaming.batches import create_folder, number_of_folders, read_batch, read_batches, start, write_batch
+from syncspark.streaming.capture import FileTopic, SourceTopic, capture, numbers_of, resend_missing
 from syncspark.streaming.counters import count_by_key, current_counts
 from syncspark.streaming.messages import deliver_once, refused, sync_messages, sync_messages_to, synced
+from syncspark.workspace import mark
 
 TEXTS = [
     '{"user_id":1,"login":"a","state":"INSERT"}',
@@ -138,30 +139,149 @@ def test_failed_batch_is_replayed_with_the_same_numbers(spark, dirs):
     assert seqs == list(range(1, 21))
 
 
+def _numbers(spark, topic):
+    found = topic.read(spark).select(F.from_json("value", "id long, seq long").alias("m")).select("m.*")
+    return sorted((r.id, r.seq) for r in found.collect())
+
+
 def test_rounds_over_a_log_table(spark, dirs):
     topic = FileTopic(spark, dirs("topic"))
 
     def lossy(messages, batch_id):
         topic.publish(messages.filter(F.get_json_object("value", "$.state") != "DELETE"), batch_id)
 
-    def numbers():
-        found = topic.read(spark).select(F.from_json("value", "id long, seq long").alias("m")).select("m.*")
-        return sorted((r.id, r.seq) for r in found.collect())
-
-    def run(round_id):
-        log = spark.read.parquet(dirs("log"))
-        return capture_round(log, topic, dirs("state"), round_id, "id", publish=lossy)
+    def run():
+        return capture_round(spark.read.parquet(dirs("log")), topic, dirs("state"), "id", publish=lossy)
 
     _log(spark, dirs("log"), 0, 12)
-    run(0)
-    assert numbers() == [(i, i + 1) for i in range(12)]
+    run()
+    assert _numbers(spark, topic) == [(i, i + 1) for i in range(12)]
     _log(spark, dirs("log"), 12, 20)
-    # A repeated round writes the same messages again, a further one finds none.
-    for round_id in (1, 1, 2):
-        cursor = run(round_id)
-        assert numbers() == [(i, i + 1) for i in range(20)]
+    # A further round finds nothing.
+    for _ in range(2):
+        cursor = run()
+        assert _numbers(spark, topic) == [(i, i + 1) for i in range(20)]
         assert cursor == Cursor("1970-01-01 00:00:19.000000", 19)
-    assert state_before(spark, dirs("state"), 3) == (cursor, 20)
+    assert state_after(spark, dirs("state")) == (2, cursor, 20)
+
+
+def test_failed_round_keeps_its_rows_and_numbers(spark, dirs):
+    topic = FileTopic(spark, dirs("topic"))
+
+    def failing(messages, batch_id):
+        topic.publish(messages, batch_id)
+        raise RuntimeError("lost")
+
+    log = lambda: spark.read.parquet(dirs("log"))
+    _log(spark, dirs("log"), 5, 9)
+    with pytest.raises(RuntimeError, match="lost"):
+        capture_round(log(), topic, dirs("state"), "id", publish=failing)
+    _log(spark, dirs("log"), 0, 5)
+    _log(spark, dirs("log"), 9, 12)
+    capture_round(log(), topic, dirs("state"), "id", overlap="1 hour")
+    assert _numbers(spark, topic) == [(5, 1), (6, 2), (7, 3), (8, 4)]
+    capture_round(log(), topic, dirs("state"), "id", overlap="1 hour")
+    found = _numbers(spark, topic)
+    assert [i for i, _ in found] == list(range(12)) and sorted(s for _, s in found) == list(range(1, 13))
+
+
+def test_late_rows_within_the_overlap(spark, dirs):
+    topic = FileTopic(spark, dirs("topic"))
+    for first, last in ((100, 200), (90, 100), (200, 210), (150, 150)):
+        if first < last:
+            _log(spark, dirs("log"), first, last)
+        cursor = capture_round(spark.read.parquet(dirs("log")), topic, dirs("state"), "id", overlap="2 minutes")
+    assert [i for i, _ in _numbers(spark, topic)] == list(range(90, 210))
+    assert cursor.key == 209
+
+
+def test_rows_without_a_time_fail_the_round_or_are_kept(spark, dirs):
+    topic = FileTopic(spark, dirs("topic"))
+    log = spark.range(10).select("id", F.lit("UPDATE").alias("state"), F.when(F.col("id") % 3 > 0, F.timestamp_seconds("id")).alias("log_timestamp"))
+    with pytest.raises(ValueError, match="log_timestamp"):
+        capture_round(log, topic, dirs("state"), "id")
+    for _ in range(2):
+        capture_round(log, topic, dirs("state"), "id", null_times=dirs("aside"))
+    assert sorted(r.id for r in spark.read.parquet(dirs("aside")).collect()) == [0, 3, 6, 9]
+    assert len(_numbers(spark, topic)) == 6
+
+
+def test_loop_goes_on_after_a_restart(spark, dirs):
+    topic, seen = FileTopic(spark, dirs("topic")), []
+
+    def read_log(spark):
+        _log(spark, dirs("log"), 4 * len(seen), 4 * len(seen) + 4)
+        return spark.read.parquet(dirs("log"))
+
+    for rounds in (2, 1):
+        start_at = len(seen)
+        capture_loop(read_log, spark, topic, dirs("state"), "id", pause=0, go_on=lambda c: seen.append(c) or len(seen) < start_at + rounds)
+    assert _numbers(spark, topic) == [(i, i + 1) for i in range(12)]
+
+
+def test_a_topic_behind_a_format_of_spark(spark, dirs):
+    """The same capture with a topic that is no folder of batches."""
+    topic = SourceTopic("json", {"path": dirs("topic")}, {"path": dirs("topic")})
+    sent = []
+
+    def lossy(messages, batch_id):
+        sent.append(batch_id)
+        topic.publish(messages.filter(F.get_json_object("value", "$.state") != "DELETE"), batch_id)
+
+    _log(spark, dirs("log"), 0, 20)
+    capture(
+        _stream(spark, dirs("log"), LOG), topic, dirs("progress"), dirs("check"),
+        ["log_timestamp", "id"], publish=lossy, interval=None,
+    ).awaitTermination()
+    records = spark.read.json(dirs("topic"))
+    assert {r.key: r["count"] for r in records.groupBy("key").count().collect()} == {"0": 16, "0-again": 4}
+    found = records.select(F.from_json("value", "id long, seq long").alias("m")).select("m.*")
+    assert sorted(map(tuple, found.collect())) == [(i, i + 1) for i in range(20)]
+
+
+def test_many_batches_are_read_from_few_folders(spark, rows, dirs):
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    for n in range(13):
+        spark.range(n + 1).selectExpr("id AS k").coalesce(1).write.mode("append").parquet(dirs("in"))
+    count_by_key(_stream(spark, dirs("in"), schema), ["k"], dirs("out"), dirs("check"), None, merge_every=4).awaitTermination()
+    assert dict(rows(current_counts(spark, dirs("out"), schema))) == {k: 13 - k for k in range(13)}
+    assert number_of_folders(spark, dirs("out")) == 2
+
+
+def test_merged_messages_are_the_same(spark, rows, dirs):
+    for n in range(5):
+        _texts(spark, dirs("topic"), [t.replace("1", str(n)) for t in TEXTS])
+    sync_messages(_stream(spark, dirs("topic")), dirs("out"), dirs("check"), interval=None, merge_every=2).awaitTermination()
+    batch = decode(read_topic(spark, {"path": dirs("topic")}, "parquet"))
+    assert rows(synced(spark, dirs("out"))) == rows(accepted(batch))
+    assert rows(refused(spark, dirs("out")).drop("batch_id")) == rows(quarantined(batch))
+    assert number_of_folders(spark, dirs("out")) == 3
+
+
+def test_replay_leaves_the_files_of_readers_until_it_is_done(spark, dirs):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    write_batch(spark.range(3), dirs("out"), 0)
+    failing = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("no")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        write_batch(failing, dirs("out"), 0)
+    assert read_batches(spark, dirs("out"), schema).count() == 3
+    write_batch(spark.range(2), dirs("out"), 0)
+    assert read_batches(spark, dirs("out"), schema).count() == 2
+
+
+def test_only_begun_deliveries_are_read_back(spark, rows, dirs, monkeypatch):
+    sink = file_sink("a", dirs("a"), MESSAGE)
+    sink.prepare(spark)
+    marked = tag(accepted(decode(spark.createDataFrame([(t,) for t in TEXTS], VALUE))), "s-0")
+    reads = []
+    monkeypatch.setattr(type(sink), "read_run", lambda self, spark, run, real=type(sink).read_run: reads.append(run) or real(self, spark, run))
+    deliver_once(marked, sink, "s-0", dirs("ledger"))
+    deliver_once(marked, sink, "s-0", dirs("ledger"))
+    assert reads == [] and rows(sink.read(spark)) == rows(marked)
+    mark(spark, f"{dirs('ledger')}/s-1/a.begun")
+    sink.write(marked.withColumn("run_id", F.lit("s-1")).limit(1))
+    deliver_once(marked.withColumn("run_id", F.lit("s-1")), sink, "s-1", dirs("ledger"))
+    assert reads == ["s-1"] and sink.read(spark).count() == 2 * marked.count()
 
 
 def test_resend_keeps_whole_records(spark, rows):
