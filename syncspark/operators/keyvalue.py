@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from syncspark.functions.scalars import entity_key, field_map
 from syncspark.schemas import ENTITY_PREFIX
+from syncspark.workspace import stage
 
 KEY = "entity_key"
 FIELDS = "fields"
@@ -24,8 +25,13 @@ def record_fields(records: DataFrame) -> DataFrame:
 
 
 def key_index(records: DataFrame) -> DataFrame:
-    """The set of keys, as a table: it may be larger than one task can hold."""
-    return records.select(KEY).distinct()
+    """The set of keys, as a staged table: it may be larger than one task can hold.
+
+    A join with the table deals both sides out for itself, so adaptive execution
+    can split the partition of a hot key; below a join, the grouping that makes
+    keys distinct would forbid that.
+    """
+    return stage(records.select(KEY).distinct(), "key-index")
 
 
 def members(candidates: DataFrame, index: DataFrame) -> DataFrame:
@@ -43,18 +49,17 @@ def lookup(requests: DataFrame, records: DataFrame, field: str | None = None) ->
 
 
 def check_records(expected: DataFrame, records: DataFrame, index: DataFrame, field: str) -> DataFrame:
-    """Per expected (entity_key, value): is the field right, is the key indexed?"""
+    """Per expected (entity_key, value): is the field right, is the key indexed?
+
+    Both lookups are brought together first, as a table, and joined once: a
+    second join on the partitioning of the first could not split a hot key.
+    """
     found = records.select(
         KEY, F.try_element_at(F.col(FIELDS), F.lit(field)).alias("_found"), F.lit(True).alias("_present")
     )
     known = index.select(KEY, F.lit(True).alias("_indexed"))
     value_ok = F.col("_present").isNotNull() & F.col("value").eqNullSafe(F.col("_found"))
-    return (
-        expected.join(found, KEY, "left")
-        .join(known, KEY, "left")
-        .select(
-            KEY,
-            value_ok.alias("value_ok"),
-            F.col("_indexed").isNotNull().alias("indexed"),
-        )
+    lookups = stage(found.join(known, KEY, "full"), "lookups")
+    return expected.join(lookups, KEY, "left").select(
+        KEY, value_ok.alias("value_ok"), F.col("_indexed").isNotNull().alias("indexed")
     )

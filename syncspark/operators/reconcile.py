@@ -140,6 +140,9 @@ def summaries(source: DataFrame, sinks: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.union, rows)
 
 
+# The numbers of that many differing buckets are still small enough to broadcast,
+# and their bits stay apart from those of the digest.
+MOST_BUCKETS = 1 << 20
 # A hash is summed in pieces of this many bits: the sums of 2^43 rows fit a long.
 _PIECE_BITS = 20
 
@@ -170,6 +173,8 @@ def narrow(source: DataFrame, sink: DataFrame, buckets: int = 1 << 16) -> tuple[
     when their counts and the exact sums of all hash pieces agree. The numbers
     of the differing buckets, at most ``buckets``, are staged and broadcast.
     """
+    if not 0 < buckets <= MOST_BUCKETS:
+        raise ValueError(f"buckets must be between 1 and {MOST_BUCKETS}")
     names = source.columns
     # Types are brought together first: the hash of 1 differs between int and long.
     common = source.limit(0).union(sink.select(*names).limit(0)).schema

@@ -17,8 +17,9 @@ def declared(database: str) -> dict[str, object]:
 
 def create(spark: SparkSession, database: str, location: str | None = None) -> None:
     """New data tables; change-log tables are kept when they exist."""
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
+    name = database.replace("`", "``")
+    where = " LOCATION :location" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}", {"location": location} if location else None)
     schemas = declared(database)
     logs = {f"{database}.{name}" for name in LOG_TABLE_NAMES}
     create_tables(spark, {n: s for n, s in schemas.items() if n not in logs}, replace=True)

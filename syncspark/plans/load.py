@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncspark.operators.project import repositories_of, tag, users_of
 from syncspark.operators.reconcile import (
@@ -16,9 +16,10 @@ from syncspark.operators.reconcile import (
     narrow,
     summary_of_differences,
 )
-from syncspark.sources.readers import read_events
+from syncspark.operators.rules import VIOLATIONS, broken, check, repositories_rules, users_rules, valid
+from syncspark.sources.readers import CORRUPT, read_events
 from syncspark.sources.sinks import Sink, write_all
-from syncspark.workspace import stage
+from syncspark.workspace import scratch, stage
 
 
 @dataclass(frozen=True)
@@ -40,6 +41,27 @@ def find_differences(written: DataFrame, held: DataFrame, buckets: int | None =
     return stage(differences(compare(*sides)), "differences")
 
 
+def _verified(written: DataFrame, sink: Sink, run_id: str, repair: bool, buckets: int | None) -> Verified:
+    held = sink.read_run(written.sparkSession, run_id)
+    found = find_differences(written, held, buckets)
+    absent = missing(found).select(*written.columns)
+    act = repair and not absent.isEmpty()
+    if act:
+        sink.write(absent, "append")
+    return _settled(Verified(sink.name, summary_of_differences(found, written, sink.name), found, act))
+
+
+def _settled(outcome: Verified) -> Verified:
+    """The outcome without any table of the block it was made in.
+
+    The summary is one row; what differed is kept as a table only if there is any.
+    """
+    spark, found = outcome.differences.sparkSession, outcome.differences
+    kept = spark.createDataFrame([], found.schema) if found.isEmpty() else stage(found, "differences", keep=True)
+    summary = spark.createDataFrame(outcome.summary.collect(), outcome.summary.schema)
+    return Verified(outcome.sink, summary, kept, outcome.repaired)
+
+
 def verify(
     written: DataFrame, sink: Sink, run_id: str, repair: bool = True, buckets: int | None = None
 ) -> Verified:
@@ -47,13 +69,8 @@ def verify(
 
     Rows the sink holds beyond those are reported, not removed.
     """
-    held = sink.read_run(written.sparkSession, run_id)
-    found = find_differences(written, held, buckets)
-    absent = missing(found).select(*written.columns)
-    act = repair and not absent.isEmpty()
-    if act:
-        sink.write(absent, "append")
-    return Verified(sink.name, summary_of_differences(found, written, sink.name), found, act)
+    with scratch(written.sparkSession):
+        return _verified(written, sink, run_id, repair, buckets)
 
 
 def verify_all(
@@ -79,23 +96,59 @@ def load(
     """Tag, write everywhere, verify and repair.
 
     A second call with the same ``run_id`` after a failure should be
-    :func:`resume`, which appends only what the first one did not manage.
+    :func:`resume`, which appends only what the first one did not manage. The
+    staged copy of the rows is deleted at the end; only differences remain.
     """
-    staged = write_all(tag(frame, run_id), sinks, mode)
-    return verify_all(staged, sinks, run_id, buckets=buckets)
+    with scratch(frame.sparkSession):
+        staged = write_all(tag(frame, run_id), sinks, mode)
+        if staged is None:
+            return []
+        return [_verified(staged, sink, run_id, True, buckets) for sink in sinks]
 
 
 def resume(frame: DataFrame, sinks: Sequence[Sink], run_id: str) -> list[Verified]:
     """Bring every sink to the full rows of a run, whatever it already holds."""
-    return verify_all(stage(tag(frame, run_id), "resume"), sinks, run_id)
+    with scratch(frame.sparkSession):
+        staged = stage(tag(frame, run_id), "resume")
+        if staged.isEmpty():
+            return []
+        return [_verified(staged, sink, run_id, True, None) for sink in sinks]
+
+
+def _refused(target: str, checked: DataFrame) -> DataFrame:
+    rows = broken(checked)
+    value = F.to_json(F.struct(*(c for c in checked.columns if c != VIOLATIONS)), {"ignoreNullFields": "false"})
+    return rows.select(F.lit(target).alias("target"), value.alias("value"), F.array_join(VIOLATIONS, "; ").alias("violations"))
 
 
 def load_events(
-    spark: SparkSession, path: str, user_sinks: Sequence[Sink], repository_sinks: Sequence[Sink], run_id: str
+    spark: SparkSession,
+    path: str,
+    user_sinks: Sequence[Sink],
+    repository_sinks: Sequence[Sink],
+    run_id: str,
+    refused: Sink | None = None,
 ) -> dict[str, list[Verified]]:
-    """JSON events to the Users and the Repositories sinks."""
-    events = read_events(spark, path)
-    return {
-        "Users": load(users_of(events), user_sinks, run_id),
-        "Repositories": load(repositories_of(events), repository_sinks, run_id),
-    }
+    """JSON events to the Users and the Repositories sinks, each line parsed once.
+
+    Malformed lines and rows that break the rules of their table go to the sink
+    ``refused`` (``target, value, violations``); without one they stop the load
+    before anything is written.
+    """
+    with scratch(spark):
+        events = stage(read_events(spark, path, keep_malformed=True), "events")
+        good = events.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        users = check(users_of(good), users_rules())
+        repositories = check(repositories_of(good), repositories_rules())
+        malformed = events.filter(F.col(CORRUPT).isNotNull()).select(
+            F.lit("event").alias("target"), F.col(CORRUPT).alias("value"), F.lit("malformed line").alias("violations")
+        )
+        turned_down = stage(malformed.union(_refused("Users", users)).union(_refused("Repositories", repositories)), "refused")
+        results = {}
+        if refused is not None:
+            results["Refused"] = load(turned_down, [refused], run_id)
+        elif not turned_down.isEmpty():
+            raise ValueError("events were refused: name a sink for them")
+        results["Users"] = load(valid(users), user_sinks, run_id)
+        results["Repositories"] = load(valid(repositories), repository_sinks, run_id)
+        return {name: [_settled(r) for r in found] for name, found in results.items()}

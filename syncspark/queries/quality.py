@@ -39,7 +39,7 @@ from syncspark.queries.inputs import (
 from syncspark.queries.registry import query
 from syncspark.schemas import NAME_LIMIT, STATE_LIMIT, USERS_REQUIRED
 from syncspark.sources.catalog import add_column, drop_column, filled, sentinels, structure
-from syncspark.workspace import new_path
+from syncspark.workspace import new_path, stage
 
 _LIMITED = ("login", "avatar_url")
 
@@ -102,6 +102,32 @@ def _new_database(spark: SparkSession, sf_dir: str) -> str:
     return database
 
 
+def _last_use(database: str, result: DataFrame) -> DataFrame:
+    """The result as a table of its own; the database goes."""
+    kept = stage(result, "checked")
+    result.sparkSession.sql(f"DROP DATABASE {database} CASCADE")
+    return kept
+
+
+@query(
+    """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, 'o_orderstatus' AS partitions, 'kept' AS note
+    FROM orders"""
+)
+def drop_column_keeps_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partitioned table with a property, after a column came and went."""
+    database = f"sync_{uuid.uuid4().hex}"
+    bootstrap.create(spark, database, new_path(spark, "database"))
+    name = f"{database}.orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").saveAsTable(name)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('note' = 'kept')")
+    add_column(spark, name, "run_id", "string")
+    drop_column(spark, name, "run_id")
+    partitions = ",".join(c.name for c in spark.catalog.listColumns(name) if c.isPartition)
+    note = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}.get("note")
+    return _last_use(database, spark.table(name).select("*", F.lit(partitions).alias("partitions"), F.lit(note).alias("note")))
+
+
 def _columns_sql() -> str:
     """Declared columns of every fixed table, and their numbers of values."""
     filled = {"Users": "users", "Repositories": "repositories"}
@@ -128,7 +154,7 @@ def structure_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = bootstrap.declared(database)
     counts = reduce(DataFrame.union, [filled(spark.table(name), name) for name in tables])
     checked = structure(spark, tables).join(counts, ["table_name", "column_name"], "left")
-    return checked.withColumn("table_name", F.substring_index("table_name", ".", -1))
+    return _last_use(database, checked.withColumn("table_name", F.substring_index("table_name", ".", -1)))
 
 
 @query(
@@ -139,7 +165,7 @@ def structure_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentinel_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = _new_database(spark, sf_dir)
     tables = {"Users": spark.table(f"{database}.Users"), "Before log": spark.table(f"{database}.user_log_before")}
-    return sentinels(tables, "user_id", 1)
+    return _last_use(database, sentinels(tables, "user_id", 1))
 
 
 _RECORD_FIELDS = ("login", "gravatar_id", "avatar_url", "url")

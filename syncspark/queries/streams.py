@@ -234,7 +234,8 @@ def capture_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     f"""WITH {CHANGE_LOG_SQL}
     SELECT event_id, state, CASE WHEN state <> 'error' THEN strftime(log_timestamp, '%Y-%m-%d %H:%M:%S.%f') END AS log_timestamp,
-           CASE WHEN state <> 'error' THEN row_number() OVER (PARTITION BY state = 'error' ORDER BY change_log.log_timestamp, event_id) END AS seq
+           CASE WHEN state = 'error' THEN -1
+                ELSE row_number() OVER (PARTITION BY state = 'error' ORDER BY change_log.log_timestamp, event_id) END AS seq
     FROM change_log"""
 )
 def capture_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +246,7 @@ def capture_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         capture_round(log, topic, state, key="event_id", null_times=aside)
     kept = spark.read.schema(log.schema).parquet(aside)
-    kept = kept.select("event_id", "state", format_micros(F.col("log_timestamp")).alias("log_timestamp"), F.lit(None).cast("long").alias("seq"))
+    kept = kept.select("event_id", "state", format_micros(F.col("log_timestamp")).alias("log_timestamp"), F.lit(-1).cast("long").alias("seq"))
     return _published(topic, spark).union(kept)
 
 

@@ -16,7 +16,7 @@ from syncspark.operators.project import (
     without_column,
 )
 from syncspark.operators.reconcile import compare, extra, missing, narrow, summary
-from syncspark.plans.load import combined, load, verify
+from syncspark.plans.load import combined, load, load_events, verify
 from syncspark.queries.inputs import (
     EVENT_REPOS_SQL,
     EVENT_USERS_SQL,
@@ -30,7 +30,7 @@ from syncspark.queries.inputs import (
     users_sink,
 )
 from syncspark.queries.registry import query
-from syncspark.schemas import REPOSITORIES, USERS
+from syncspark.schemas import REFUSED, REPOSITORIES, USERS
 from syncspark.sources.readers import read_collection, read_events
 from syncspark.sources.sinks import Sink, file_sink
 from syncspark.workspace import new_path
@@ -100,6 +100,44 @@ def preview_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(users(spark, sf_dir), 5, order=["user_id"])
 
 
+# Every seventh order's line ends early, every eleventh's actor has no login.
+_DAMAGED_SQL = """numbered AS (SELECT o_orderkey, o_custkey FROM orders)
+    SELECT 'Users' AS target, CAST(o_custkey AS VARCHAR) AS value, NULL AS violations
+    FROM numbered WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0
+    UNION ALL SELECT 'Repositories', CAST(o_orderkey AS VARCHAR), NULL FROM numbered WHERE o_orderkey % 7 <> 0
+    UNION ALL SELECT 'refused event', '{"actor":{"id":' || o_custkey, 'malformed line' FROM numbered WHERE o_orderkey % 7 = 0
+    UNION ALL SELECT 'refused Users', CAST(o_custkey AS VARCHAR), 'login is null'
+    FROM numbered WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 = 0"""
+
+
+@query(f"WITH {_DAMAGED_SQL}")
+def load_damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load of damaged JSON lines accepts, and what it refuses and why."""
+    path = new_path(spark, "events-text")
+    key = F.col("repo.id")
+    login = F.when(key % 11 != 0, F.col("actor.login"))
+    events = raw_events(spark, sf_dir).withColumn("actor", F.col("actor").withField("login", login))
+    whole = F.to_json(F.struct("actor", "repo"))
+    early = F.concat(F.lit('{"actor":{"id":'), F.col("actor.id").cast("string"))
+    events.select(F.when(key % 7 == 0, early).otherwise(whole).alias("value")).write.text(path)
+    sinks = {
+        "Users": file_sink("users", new_path(spark, "users"), USERS),
+        "Repositories": file_sink("repositories", new_path(spark, "repositories"), REPOSITORIES),
+        "refused": file_sink("refused", new_path(spark, "refused"), REFUSED),
+    }
+    load_events(spark, path, [sinks["Users"]], [sinks["Repositories"]], "run 1", sinks["refused"])
+    accepted = [
+        sinks[name].read(spark).select(F.lit(name).alias("target"), F.col(key).cast("string").alias("value"), F.lit(None).cast("string").alias("violations"))
+        for name, key in (("Users", "user_id"), ("Repositories", "repo_id"))
+    ]
+    refused = sinks["refused"].read(spark).select(
+        F.concat(F.lit("refused "), "target").alias("target"),
+        F.coalesce(F.get_json_object("value", "$.user_id"), "value").alias("value"),
+        "violations",
+    )
+    return accepted[0].union(accepted[1]).union(refused)
+
+
 _BOTH = f"WITH {USERS_SQL}, {USERS_SINK_SQL}"
 _MISSING = "SELECT * FROM users EXCEPT ALL SELECT * FROM users_sink"
 _EXTRA = "SELECT * FROM users_sink EXCEPT ALL SELECT * FROM users"

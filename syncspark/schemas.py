@@ -40,6 +40,7 @@ CHANGE_LOG = T.StructType(
     USERS.fields
     + [T.StructField("state", _text, True), T.StructField("log_timestamp", T.TimestampType(), True)]
 )
+REFUSED = _struct(target=_text, value=_text, violations=_text)
 MESSAGE = T.StructType(
     USERS.fields + [T.StructField("state", _text, True), T.StructField("log_timestamp", _text, True)]
 )

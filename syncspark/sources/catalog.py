@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from syncspark.operators.project import first_match
+from syncspark.workspace import delete, matching, shared_dir
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, replace: bool = False) -> None:
@@ -31,23 +34,69 @@ def add_column(spark: SparkSession, table: str, name: str, kind: str) -> bool:
     return True
 
 
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    """Details of a catalog table by name."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    names = [r.col_name for r in rows]
+    return {r.col_name: r.data_type for r in rows[names.index("# Detailed Table Information") + 1 :]}
+
+
 def drop_column(spark: SparkSession, table: str, name: str) -> bool:
     """Drop a column if the table has it; true when dropped.
 
-    File tables cannot drop a column in place, so the rest is written to a new
-    table, which then takes the name.
+    File tables cannot drop a column in place. What stays is first written to
+    the shared folder together with the format, partitions, properties and
+    comments of the table; then the table is made anew from it. A call that
+    stopped half-way left either the table or those files: the next call for the
+    table goes on from them. Partition columns, bucketed tables and tables
+    outside the warehouse are refused. A marker kept as a run folder needs none
+    of this, see :func:`syncspark.sources.sinks.file_sink`.
     """
-    current = spark.table(table)
-    if name not in current.columns:
-        return False
-    successor = f"{table}__without_{name}"
-    spark.sql(f"DROP TABLE IF EXISTS {successor}")
-    current.drop(name).write.format("parquet").saveAsTable(successor)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {successor} RENAME TO {table}")
+    kept = f"{shared_dir(spark)}/syncspark/dropping/{quote(table.lower(), safe='')}/{quote(name, safe='')}"
+    ready = matching(spark, f"{kept}/layout/_SUCCESS")
+    if not ready:
+        current = spark.table(table)
+        if name not in current.columns:
+            return False
+        layout = _layout(spark, table)
+        if name in layout["partitions"]:
+            raise ValueError(f"{table} is partitioned by {name}")
+        delete(spark, kept)
+        rest = current.drop(name)
+        rest.write.option("compression", "zstd").parquet(f"{kept}/rows")
+        layout["schema"] = rest.schema.json()
+        spark.createDataFrame([(json.dumps(layout),)], "value string").coalesce(1).write.text(f"{kept}/layout")
+    layout = json.loads(spark.read.text(f"{kept}/layout").first()[0])
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    rows = spark.read.schema(T.StructType.fromJson(json.loads(layout["schema"]))).parquet(f"{kept}/rows")
+    writer = rows.write.format(layout["provider"])
+    (writer.partitionBy(*layout["partitions"]) if layout["partitions"] else writer).saveAsTable(table)
+    if layout["properties"]:
+        listed = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in layout["properties"].items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({listed})")
+    if layout["comment"]:
+        spark.sql(f"COMMENT ON TABLE {table} IS {_text(layout['comment'])}")
+    delete(spark, kept)
     return True
 
 
+def _layout(spark: SparkSession, table: str) -> dict[str, object]:
+    details = _described(spark, table)
+    if details.get("Type") != "MANAGED" or "Num Buckets" in details:
+        raise ValueError(f"{table} is bucketed or lies outside the warehouse")
+    return {
+        "provider": details["Provider"],
+        "partitions": [c.name for c in spark.catalog.listColumns(table) if c.isPartition],
+        "properties": {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()},
+        "comment": details.get("Comment"),
+    }
+
+
+def _text(value: str) -> str:
+    """A string as SQL text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def missing_tables(spark: SparkSession, names: Sequence[str]) -> list[str]:
     return [name for name in names if not spark.catalog.tableExists(name)]
 

@@ -22,9 +22,22 @@ class Split(NamedTuple):
     parts: int
 
 
-def read_events(spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT) -> DataFrame:
-    """JSON lines; fields outside the schema are skipped by the parser."""
-    return spark.read.schema(schema).json(path)
+CORRUPT = "_corrupt_record"
+
+
+def read_events(
+    spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT, keep_malformed: bool = False
+) -> DataFrame:
+    """JSON lines; fields outside the schema are skipped by the parser.
+
+    A line that is no object of the schema fails the read, or with
+    ``keep_malformed`` becomes a row with the line in :data:`CORRUPT`. Such a
+    frame has to be staged before it is filtered by that column.
+    """
+    if not keep_malformed:
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return spark.read.schema(full).option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def stream_events(

@@ -2,7 +2,7 @@ import uuid
 
 import pytest
 
-from syncspark.operators import rules as Q
+from syncspark.operators import keyvalue, rules as Q
 from syncspark.operators.keyvalue import check_records, key_index, lookup, members, record_fields, to_records
 from syncspark.operators.project import (
     align,
@@ -191,3 +191,76 @@ def test_connector_options():
         "failOnDataLoss": "true", "kafka.group.id": "g",
     }
     assert topic_write_options("h:1", "t")["topic"] == "t"
+
+
+def _partitioned(spark, name):
+    df = spark.range(40).selectExpr("id", "id % 3 AS b", "'x' AS run_id")
+    df.write.partitionBy("b").saveAsTable(name)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('owner''s note' = 'it\\'s kept')")
+    spark.sql(f"COMMENT ON TABLE {name} IS 'a comment'")
+    spark.sql(f"ALTER TABLE {name} ALTER COLUMN id COMMENT 'the key'")
+
+
+def test_dropped_column_leaves_the_layout(spark, database):
+    name = f"{database}.parted"
+    _partitioned(spark, name)
+    assert catalog.drop_column(spark, name, "run_id") and not catalog.drop_column(spark, name, "run_id")
+    table = spark.table(name)
+    assert sorted(map(tuple, table.select("id", "b").collect())) == [(i, i % 3) for i in range(40)] and table.columns == ["id", "b"]
+    assert [c.name for c in spark.catalog.listColumns(name) if c.isPartition] == ["b"]
+    assert {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}["owner's note"] == "it's kept"
+    assert catalog._described(spark, name)["Comment"] == "a comment"
+    assert {c.name: c.description for c in spark.catalog.listColumns(name)}["id"] == "the key"
+    with pytest.raises(ValueError, match="partitioned"):
+        catalog.drop_column(spark, name, "b")
+
+
+@pytest.mark.parametrize("stop_at", ["DROP TABLE IF", "COMMENT ON"])
+def test_a_drop_that_stops_goes_on(spark, database, monkeypatch, stop_at):
+    name = f"{database}.stopped"
+    _partitioned(spark, name)
+    real = type(spark).sql
+
+    def stopping(self, text, *args, **named):
+        if text.startswith(stop_at):
+            raise RuntimeError("stopped")
+        return real(self, text, *args, **named)
+
+    monkeypatch.setattr(type(spark), "sql", stopping)
+    with pytest.raises(RuntimeError, match="stopped"):
+        catalog.drop_column(spark, name, "run_id")
+    monkeypatch.undo()
+    assert spark.table(name).count() == 40
+    assert catalog.drop_column(spark, name, "run_id")
+    assert spark.table(name).columns == ["id", "b"] and spark.table(name).count() == 40
+    assert catalog._described(spark, name)["Comment"] == "a comment"
+
+
+def _hot(spark, name, plan):
+    for key, value in {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }.items():
+        spark.conf.set(key, value)
+    try:
+        requests = spark.range(60_000).selectExpr("IF(id % 3 = 0, 'user:7', concat('user:', id)) AS entity_key", "CAST(id AS STRING) AS value").repartition(8)
+        records = keyvalue.to_records(spark.range(3000).selectExpr("id", "concat('n', id) AS login"), "id", ["login"])
+        found = plan(requests, records)
+        found.collect()
+        return found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in ("skewJoin.skewedPartitionThresholdInBytes", "skewJoin.skewedPartitionFactor", "advisoryPartitionSizeInBytes", "coalescePartitions.enabled"):
+            spark.conf.unset(f"spark.sql.adaptive.{key}")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name,plan", [
+    ("members", lambda q, r: keyvalue.members(q, keyvalue.key_index(r))),
+    ("lookup", lambda q, r: keyvalue.lookup(q, r, "login")),
+    ("check", lambda q, r: keyvalue.check_records(q, r, keyvalue.key_index(r), "login")),
+])
+def test_hot_keys_are_split(spark, name, plan):
+    assert "skew=true" in _hot(spark, name, plan)

@@ -6,10 +6,11 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from syncspark.operators import reconcile as R
 from syncspark.operators.project import tag
 from syncspark.plans.load import combined, load, load_events, resume, verify
+from syncspark.schemas import REFUSED
 from syncspark.schemas import REPOSITORIES, USERS
 from syncspark.sources.readers import Split
 from syncspark.sources.sinks import Sink, checked_mode, file_sink, table_sink, write_all
-from syncspark.workspace import new_path
+from syncspark.workspace import matching, new_path, shared_dir
 
 SCHEMA = "user_id long, login string"
 SOURCE = [(1, "a"), (1, "a"), (2, None), (3, "c"), (None, None)]
@@ -226,3 +227,49 @@ def test_maps_can_be_compared(spark):
     source = spark.sql("SELECT map('a', 1, 'b', 2) AS m UNION ALL SELECT map('a', 1)")
     sink = spark.sql("SELECT map('b', 2, 'a', 1) AS m")
     assert [r.m for r in R.missing(R.compare(source, sink)).collect()] == [{"a": 1}]
+
+
+def _staged(spark):
+    return [path for path, _ in matching(spark, f"{shared_dir(spark)}/syncspark/*")]
+
+
+def test_nothing_stays_staged_after_a_load(spark, tmp_path):
+    before = set(_staged(spark))
+    sink = file_sink("a", str(tmp_path / "a"), USERS)
+    found = load(_users(spark, 8), [sink], "r1")
+    assert combined(found).first().status == R.MATCH and found[0].differences.isEmpty()
+    resume(_users(spark, 9), [sink], "r1")
+    assert verify(tag(_users(spark, 9), "r1"), sink, "r1").summary.first().status == R.MATCH
+    # The one difference that resume repaired is still there to be looked at.
+    left = set(_staged(spark)) - before
+    assert len(left) == 1 and "differences" in left.pop()
+
+
+def test_damaged_events_are_refused(spark, rows, tmp_path):
+    lines = [
+        '{"actor":{"id":1,"login":"a"},"repo":{"id":10,"name":"r"}}',
+        '{"actor":{"id":2,"login":null},"repo":{"id":11,"name":"s"}}',
+        '{"actor":{"id":"x","login":"c"},"repo":{"id":12,"name":"t"}}',
+        "{bad",
+        '{"actor":{"id":3,"login":"' + "l" * 256 + '"},"repo":{"id":13}}',
+        "",
+    ]
+    path = tmp_path / "events.json"
+    path.write_text("\n".join(lines))
+    sinks = [file_sink(n, str(tmp_path / n), s) for n, s in (("u", USERS), ("r", REPOSITORIES), ("x", REFUSED))]
+    with pytest.raises(ValueError, match="refused"):
+        load_events(spark, str(path), [sinks[0]], [sinks[1]], "r1")
+    assert not (tmp_path / "u").exists()
+    load_events(spark, str(path), [sinks[0]], [sinks[1]], "r1", sinks[2])
+    assert [r.user_id for r in sinks[0].read(spark).collect()] == [1]
+    assert sorted(r.repo_id for r in sinks[1].read(spark).collect()) == [10, 11]
+    found = sorted((r.target, r.violations) for r in sinks[2].read(spark).collect())
+    assert found == [
+        ("Repositories", "name is null"), ("Users", "login is null"), ("Users", "login longer than 255"),
+        ("event", "malformed line"), ("event", "malformed line"),
+    ]
+
+
+def test_number_of_buckets_is_bounded(spark):
+    with pytest.raises(ValueError, match="buckets"):
+        R.narrow(*_pair(spark), buckets=1 << 21)
