@@ -8,8 +8,9 @@ neighbours of the longest common prefix, so the depth adapts to the region.
 
 Candidates only decide which sets are looked at together. Links are confirmed on
 full sets: all sets of a candidate cluster meet in one task, which joins them
-exactly. A cluster too large for that is joined in overlapping stretches of
-every order instead.
+exactly. A cluster too large for that is first joined in overlapping stretches
+of some orders; what is then not in its largest component meets the whole cluster,
+block by block.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ class Settings:
 
     ``values`` are the values of an order; ``region`` sets of a common prefix are
     compared at once; ``margin`` standard deviations below the threshold an
-    estimate still makes a candidate; ``cluster`` shingles are joined in one task.
+    estimate still makes a candidate; ``cluster`` shingles are joined in one task,
+    larger clusters along ``orders`` of the orders first.
     """
 
     trees: int = 20
@@ -47,6 +49,7 @@ class Settings:
     region: int = 2048
     margin: float = 4.0
     cluster: int = 3_000_000
+    orders: int = 6
     seed: int = 23
 
     @property
@@ -333,26 +336,45 @@ def _sets_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.record_batch([pa.array([node], pa.int64()), pa.array([s.tobytes()], pa.binary())], ["node", "shingles"])
 
 
-def _links_in_orders(members: DataFrame, shingles: DataFrame, settings: Settings) -> DataFrame:
-    """Links inside clusters too large for one task, from overlapping stretches of each order.
+def _links_of_large(members: DataFrame, shingles: DataFrame, settings: Settings) -> DataFrame:
+    """Links inside clusters too large for one task.
 
-    ``members``: ``node, component, n, signature``. Each order is numbered over the
-    whole cluster; a stretch holds about half of ``settings.cluster`` shingles.
+    ``members``: ``node, component, n, signature``. First each of some orders is
+    numbered over the whole cluster and joined in overlapping stretches of about
+    half of ``settings.cluster`` shingles: nearly all sets that belong together
+    find each other there. Those still outside the largest component of their
+    cluster are then joined with the whole cluster, block by block.
     """
     mean = members.agg(F.avg("n")).first()[0]
     stretch = max(2, int(settings.cluster / 2 / mean))
-    found = None
-    for tree in range(settings.trees):
+
+    def joined(rows: DataFrame) -> DataFrame:
+        dealt = rows.join(shingles, "node").repartition("unit").sortWithinPartitions("unit").select("unit", "node", "shingles")
+        return stage(dealt.mapInArrow(_links_of_sets, "a long, b long").where("a <> b"), "unit-links")
+
+    found, placed = None, None
+    for tree in range(min(settings.orders, settings.trees)):
         order = F.substring("signature", 4 * settings.values * tree + 1, 4 * settings.values)
         placed = assign_sequence(members.select("component", order.alias("ord"), "node"), ["component", "ord", "node"])
         place = F.col("seq") - 1
         units = F.explode(F.array(F.floor(place / stretch) * 2, F.floor((place + stretch // 2) / stretch) * 2 + 1))
-        rows = placed.select("node", "component", units.alias("x"))
-        rows = rows.select("node", F.xxhash64("component", "x").alias("unit")).join(shingles, "node")
-        rows = rows.repartition("unit").sortWithinPartitions("unit").select("unit", "node", "shingles")
-        links = stage(rows.mapInArrow(_links_of_sets, "a long, b long").where("a <> b"), "stretch-links")
+        links = joined(placed.select("node", "component", units.alias("x")).select("node", F.xxhash64("component", "x").alias("unit")))
         found = links if found is None else found.unionByName(links)
-    return found
+    roots = connected_components(found).withColumnRenamed("component", "root")
+    block = F.floor((F.col("seq") - 1) / stretch).alias("block")
+    blocks = placed.select("node", "component", block).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    blocks = stage(blocks, "blocks")
+    counts = blocks.groupBy("component", "root").count()
+    largest = counts.groupBy("component").agg(F.max_by("root", F.struct("count", "root")).alias("largest"))
+    outside = stage(blocks.join(largest, "component").where("root <> largest").select("node", "component", "block"), "outside")
+    if outside.isEmpty():
+        return found
+    whole = blocks.select("component", F.col("block").alias("of_all")).distinct()
+    some = outside.select("component", F.col("block").alias("of_outside")).distinct()
+    unit = F.xxhash64("component", "of_outside", "of_all").alias("unit")
+    left = outside.withColumnRenamed("block", "of_outside").join(whole, "component").select("node", unit)
+    right = blocks.withColumnRenamed("block", "of_all").join(some, "component").select("node", unit)
+    return found.unionByName(joined(left.union(right).distinct()))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -394,7 +416,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if not large.isEmpty():
             own = keyed.join(large.select("id", "raw", "node", "set_key"), ["id", "raw"]).select(F.lit(0).alias("unit"), "node", "set_key", "text")
             shingles = stage(own.mapInArrow(_sets_of_texts, "node long, shingles binary").dropDuplicates(["node"]), "shingles")
-            links = links.unionByName(_links_in_orders(large.select("node", "component", "n", "signature"), shingles, settings))
+            links = links.unionByName(_links_of_large(large.select("node", "component", "n", "signature"), shingles, settings))
         groups = connected_components(links)
         named = sets.select("node", "set_key", "id").join(groups, "node", "left")
         named = stage(named.select("set_key", "id", F.coalesce("component", "node").alias("component")), "named")

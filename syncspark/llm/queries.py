@@ -83,17 +83,73 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(
+    r"""
+    WITH split AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS line_at FROM documents),
+    tokens AS (SELECT *, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
+                                        lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM split),
+    filled AS (SELECT doc_id, line_at, t, {'n': len(t), 'first': t[1 : 3]} AS leaf FROM tokens WHERE len(t) > 0),
+    each AS (SELECT leaf, unnest(t) AS token, generate_subscripts(t, 1) AS token_at FROM filled),
+    counts AS (SELECT leaf, token_at, token, count(*) AS n, sum(count(*)) OVER (PARTITION BY leaf, token_at) AS total FROM each GROUP BY 1, 2, 3),
+    best AS (SELECT *, row_number() OVER (PARTITION BY leaf, token_at ORDER BY n DESC, token DESC) AS place FROM counts),
+    shapes AS (SELECT leaf, list(CASE WHEN 2 * n >= total THEN token END ORDER BY token_at) AS shape FROM best WHERE place = 1 GROUP BY leaf),
+    named AS (
+        SELECT doc_id, line_at, leaf,
+               CASE WHEN len(list_filter(range(1, len(t) + 1), lambda i: t[i] = shape[i])) >= CAST(0.8 AS DOUBLE) * len(t) THEN NULL ELSE t END AS own
+        FROM filled JOIN shapes USING (leaf)),
+    recurring AS (SELECT leaf, own FROM named GROUP BY leaf, own HAVING count(DISTINCT doc_id) >= 5),
+    dropped AS (SELECT doc_id, line_at FROM named JOIN recurring ON named.leaf = recurring.leaf AND named.own IS NOT DISTINCT FROM recurring.own)
+    SELECT split.doc_id, count(*) AS n_lines, count(dropped.doc_id) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY line_at) FILTER (dropped.doc_id IS NULL), '')) AS kept_sha256
+    FROM split LEFT JOIN dropped USING (doc_id, line_at) GROUP BY split.doc_id
+    """
+)
 def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = templates.drop_templates(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query()
+# Near copies by comparing all sets that share a shingle, then following links.
+@query(
+    r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                              ELSE list_distinct([array_to_string(ws[i : i + 4], ' ') FOR i IN range(1, len(ws) - 3)]) END AS g FROM w),
+    n AS (SELECT doc_id, len(g) AS n FROM s),
+    e AS (SELECT doc_id, unnest(g) AS g FROM s),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have FROM e a JOIN e b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+    links AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * both_have >= 75 * (nx.n + ny.n - both_have)),
+    reach(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+    SELECT n.doc_id, n.n AS n_shingles, min(y) AS component_id, n.doc_id = min(y) AS kept
+    FROM n JOIN reach ON reach.x = n.doc_id GROUP BY n.doc_id, n.n
+    """
+)
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents")).drop("raw")
 
 
-@query()
+# Texts as hexadecimal digits, two for each byte.
+@query(
+    """
+    WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    strings AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS g
+                FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d)),
+    least AS (SELECT g, min(doc_id) AS first_doc FROM strings GROUP BY g),
+    gone AS (SELECT doc_id, i FROM strings JOIN least USING (g) WHERE doc_id > first_doc),
+    begins AS (SELECT doc_id, i, i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, -1) AS new FROM gone),
+    numbered AS (SELECT doc_id, i, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM begins),
+    spans AS (SELECT doc_id, span, min(i) AS a, max(i) + 50 AS b FROM numbered GROUP BY 1, 2),
+    cuts AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans
+             UNION ALL SELECT d.doc_id, coalesce(max(spans.b), 0), any_value(length(h)) // 2 FROM d LEFT JOIN spans USING (doc_id) GROUP BY 1),
+    kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b) AS h FROM cuts JOIN d USING (doc_id) GROUP BY 1),
+    counted AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY 1)
+    SELECT d.doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(kept.h)) AS kept_sha256
+    FROM d JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
+    """
+)
 def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
