@@ -29,6 +29,8 @@ def assign_sequence(
     Rows that share a position follow by a hash of their content, so that many
     of them are spread over several partitions. Where very many rows are equal in
     all columns, ``unique=False`` numbers the copies as one record with a count.
+    The running total of the counts then takes one more shuffle: files keep the
+    order of the staged rows, but no function without a window sums along it.
     """
     if unique:
         hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from syncspark.functions.messages import encode
 from syncspark.operators.project import MARKER, tagged_with
-from syncspark.schemas import JDBC_BATCH_ROWS, SAVE_MODES
+from syncspark.schemas import JDBC_BATCH_ROWS, NAME_LIMIT, SAVE_MODES
 from syncspark.sources.readers import Split, split_options
 from syncspark.workspace import stage
 
@@ -85,6 +85,24 @@ def table_sink(
     return Sink(name, "jdbc", {**batching, **options, **split_options(split)})
 
 
+def marker_options(sink: Sink, add: bool) -> dict[str, str]:
+    """Options of a read that adds the run marker to a database table, or drops it.
+
+    The statement is run when the session opens, before one row is read. A table
+    sink is marked this way before a load and unmarked when its runs no longer
+    matter; a file sink keeps the marker as a folder and needs neither.
+    """
+    table = sink.options["dbtable"]
+    change = f"ADD COLUMN {MARKER} VARCHAR({NAME_LIMIT})" if add else f"DROP COLUMN {MARKER}"
+    kept = {k: v for k, v in sink.options.items() if k in ("url", "user", "password", "driver")}
+    return {**kept, "query": "SELECT 1 AS done", "sessionInitStatement": f"ALTER TABLE {table} {change}"}
+
+
+def change_marker(spark: SparkSession, sink: Sink, add: bool) -> None:
+    """Add or drop the run marker of a database table."""
+    spark.read.format(sink.format).options(**marker_options(sink, add)).load().collect()
+
+
 # Text formats that keep every digit of a timestamp.
 _JSON_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",

@@ -29,7 +29,7 @@ from syncspark.sources.readers import (
     table_options,
     topic_options,
 )
-from syncspark.sources.sinks import topic_write_options
+from syncspark.sources.sinks import marker_options, table_sink, topic_write_options
 
 DOCUMENTS = [
     ('{"user_id":1,"login":"a","gravatar_id":null,"url":"u"}', []),
@@ -190,9 +190,17 @@ def test_connector_options():
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
         "failOnDataLoss": "true", "kafka.group.id": "g",
     }
+    assert topic_options("h:1", "t", go_on_after_loss=True)["failOnDataLoss"] == "false"
     assert topic_write_options("h:1", "t")["topic"] == "t"
 
 
+def test_marker_of_a_database_table():
+    sink = table_sink("users", {"url": "jdbc:x", "dbtable": "Users", "user": "u"})
+    common = {"url": "jdbc:x", "user": "u", "query": "SELECT 1 AS done"}
+    assert marker_options(sink, True) == {**common, "sessionInitStatement": "ALTER TABLE Users ADD COLUMN run_id VARCHAR(255)"}
+    assert marker_options(sink, False) == {**common, "sessionInitStatement": "ALTER TABLE Users DROP COLUMN run_id"}
+
+
 def _partitioned(spark, name):
     df = spark.range(40).selectExpr("id", "id % 3 AS b", "'x' AS run_id")
     df.write.partitionBy("b").saveAsTable(name)
