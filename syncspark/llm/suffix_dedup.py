@@ -6,7 +6,10 @@ suffix is brought next to those it may equal:
 
 1. Every string of ``WIDTH`` bytes has an anchor, the least hash of the
    ``GRAM``-byte strings in it. Equal strings have equal anchors, at equal
-   distances. Consecutive strings with one anchor form a run.
+   distances. Consecutive strings with one anchor form a run, cut in two where
+   the anchor is ``_HALF`` bytes from the start: all strings of a part have about
+   35 bytes in common, whose hash then stands for the anchor. Shorter ones are
+   shared by chance more and more often as a corpus grows.
 2. Anchors are dealt by hash, packed per chunk of documents. Those of one
    document only are settled: nothing repeats there.
 3. The runs of all other anchors are dealt by anchor, equal runs of a chunk
@@ -38,6 +41,7 @@ from syncspark.workspace import scratch, stage
 WIDTH = 50
 GRAM = 20
 _STEPS = WIDTH - GRAM  # places of an anchor after the first
+_HALF = _STEPS // 2
 _LAST_ID = (1 << 63) - 1
 _SEGMENT = 1 << 19
 
@@ -172,7 +176,7 @@ def _common_prefixes(strings: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Runs:
-    """Consecutive strings with one anchor: first and last start, anchor, document, hash of the anchor."""
+    """Consecutive strings with one anchor: first and last start, anchor, document, hash of what they have in common."""
 
     first: np.ndarray
     last: np.ndarray
@@ -187,7 +191,8 @@ def find_runs(data: np.ndarray, offsets: np.ndarray) -> Runs:
     total = len(data)
     for a in range(0, max(0, total - WIDTH + 1), _SEGMENT):
         piece = data[a : min(total, a + _SEGMENT + WIDTH - 1)]
-        hashes = Rolling(piece).windows(GRAM)
+        rolling = Rolling(piece)
+        hashes = rolling.windows(GRAM)
         key = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
         least, reach = key, 1
         while 2 * reach <= _STEPS + 1:
@@ -211,7 +216,13 @@ def find_runs(data: np.ndarray, offsets: np.ndarray) -> Runs:
         good = valid[first]
         first, last = first[good], last[good]
         at = anchor[first]
-        parts.append((first + a, last + a, at + a, np.searchsorted(offsets, first + a, "right") - 1, hashes[at]))
+        doc = np.searchsorted(offsets, first + a, "right") - 1
+        # Strings that begin at most _HALF bytes before the anchor, and the others.
+        near, far = at - last <= _HALF, at - first > _HALF
+        right = rolling.slices(at[near], at[near] + WIDTH - _HALF)
+        left = rolling.slices(at[far] - _HALF - 1, at[far] + GRAM)
+        parts.append((np.maximum(first, at - _HALF)[near] + a, last[near] + a, at[near] + a, doc[near], right))
+        parts.append((first[far] + a, np.minimum(last, at - _HALF - 1)[far] + a, at[far] + a, doc[far], left))
     if not parts:
         none = np.zeros(0, np.int64)
         return Runs(none, none, none, none, none.astype(np.uint64))
@@ -288,17 +299,20 @@ class Chunk:
         padded = np.zeros(len(self.data) + wide, np.uint8)
         padded[_STEPS : _STEPS + len(self.data)] = self.data
         out = np.empty((len(anchor), wide), np.uint8)
-        column = np.arange(wide)
         view = np.lib.stride_tricks.sliding_window_view(padded, wide) if len(padded) >= wide else None
         for a in range(0, len(anchor), 1 << 16):
             at = slice(a, a + (1 << 16))
             rows = view[anchor[at]]
-            left = _STEPS - (anchor[at] - start[at])
-            right = _STEPS + (stop[at] + WIDTH - anchor[at])
-            out[at] = np.where((column >= left[:, None]) & (column < right[:, None]), rows, 0)
+            out[at] = np.where(_inside(anchor[at] - start[at], stop[at] + WIDTH - anchor[at]), rows, 0)
         return out
 
 
+def _inside(before: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Which bytes of the windows belong to the records."""
+    column = np.arange(_STEPS + WIDTH)
+    return (column >= _STEPS - before.astype(np.int64)[:, None]) & (column < _STEPS + behind.astype(np.int64)[:, None])
+
+
 def _row_hash(rows: np.ndarray) -> np.ndarray:
     """64-bit hash of rows of bytes."""
     padded = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
@@ -349,7 +363,7 @@ def _chunks(settings: Settings, rest: bool):
                 extra = sink.getvalue().to_pybytes()
             else:
                 extra = b""
-            text = zstandard.compress(b"".join(texts), 3)
+            text = zstandard.compress(b"".join(texts), 6)
             return pa.record_batch([pa.array([task + number]), pa.array([held]), pa.array([np.concatenate(ids).astype("<i8").tobytes()]), pa.array([offsets.tobytes()]), pa.array([text]), pa.array([extra])], ["chunk", "n_bytes", "ids", "offsets", "text", "rest"])
 
         for batch in batches:
@@ -421,8 +435,8 @@ def _dealt_records(buckets: int):
                 *_, code, windows, before, behind, least = _collapsed(Chunk(ids, offsets, text), _listed(flags), buckets)
                 out = []
                 for bucket, a, b in _by_bucket(code):
-                    raw = b"".join(x.tobytes() for x in (least[a:b].astype("<i8"), before[a:b], behind[a:b], windows[a:b]))
-                    out.append((bucket, b - a, zstandard.compress(raw, 1)))
+                    raw = b"".join(x.tobytes() for x in (least[a:b].astype("<i8"), before[a:b], behind[a:b], windows[a:b][_inside(before[a:b], behind[a:b])]))
+                    out.append((bucket, b - a, zstandard.compress(raw, 6)))
                 if out:
                     yield pa.record_batch([pa.array([x[0] for x in out], pa.int64()), pa.array([number] * len(out), pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.binary())], ["bucket", "chunk", "n", "records"])
 
@@ -473,7 +487,9 @@ def _judged_bucket(shallow: int):
             docs.append(np.frombuffer(raw, "<i8", n))
             before.append(np.frombuffer(raw, np.uint8, n, 8 * n))
             behind.append(np.frombuffer(raw, np.uint8, n, 9 * n))
-            windows.append(np.frombuffer(raw, np.uint8, -1, 10 * n).reshape(n, -1))
+            window = np.zeros((n, _STEPS + WIDTH), np.uint8)
+            window[_inside(before[-1], behind[-1])] = np.frombuffer(raw, np.uint8, -1, 10 * n)
+            windows.append(window)
         bits = repeated_starts(*(np.concatenate(x) for x in (windows, before, behind, docs)), shallow)
         ends = np.cumsum(sizes).tolist()
         packs = [bits[b - n : b].astype("<u4").tobytes() for n, b in zip(sizes, ends, strict=True)]
