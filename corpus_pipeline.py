@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncspark.llm import grace_dedup, lsh_forest, packing, quality, suffix_dedup
+from syncspark.llm.ship import with_package
 from syncspark.workspace import scratch, stage
 
 _LAST_ID = (1 << 63) - 1
@@ -47,11 +48,11 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 STAGES = [
-    ("quality", quality_stage),
-    ("exact", exact_stage),
-    ("near", near_stage),
-    ("passages", passages_stage),
-    ("packing", packing_stage),
+    ("quality", with_package(quality_stage)),
+    ("exact", with_package(exact_stage)),
+    ("near", with_package(near_stage)),
+    ("passages", with_package(passages_stage)),
+    ("packing", with_package(packing_stage)),
 ]
 
 # A trained model, a search over signatures and repeated byte strings are beyond SQL.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from syncspark.llm import bpe, crosspolytope, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
 from syncspark.llm.grace_dedup import exact_duplicates
+from syncspark.llm.ship import with_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,7 +21,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a function under its own name."""
 
     def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
+        function = QUERIES[function.__name__] = with_package(function)
         if sql is not None:
             SQL[function.__name__] = sql
         return function

@@ -20,6 +20,8 @@ _BLANKS = r"[\x20\x09-\x0D]+"
 # A token with a digit, found from its beginning only.
 _VARIABLE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 _WILDCARD = "<*>"
+# Leaves are first looked up in so many bits, broadcast as at most 2**17 words of 64 bits.
+_BITS = 1 << 23
 
 
 def line_tokens(line: Column) -> Column:
@@ -32,6 +34,25 @@ def _leaf(tokens: Column, depth: int) -> Column:
     return F.when(F.get(tokens, 0) != "", F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth)))
 
 
+def _slot(leaf: str = "leaf") -> tuple[Column, Column]:
+    """Word and bit of a leaf."""
+    slot = F.pmod(F.col(leaf), F.lit(_BITS))
+    return F.shiftright(slot, 6), slot.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _likely(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """``lines`` without most of those whose leaf is not among ``leaves``, filtered where they are read.
+
+    The more leaves recur, the fewer lines it holds back; what it lets through
+    is decided by a join.
+    """
+    word, bit = _slot()
+    words = leaves.select(word.alias("word"), bit.alias("bit")).withColumn("one", F.expr("shiftleft(1L, bit)"))
+    words = words.groupBy("word").agg(F.bit_or("one").alias("ones"))
+    found = lines.withColumn("word", word).withColumn("bit", bit).join(F.broadcast(words), "word")
+    return found.where(F.getbit("ones", "bit") == 1).select(*lines.columns)
+
+
 def _templates(lines: DataFrame) -> DataFrame:
     """``leaf, template``: the token of each position, null where it varies."""
     counts = lines.select("leaf", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").count()
@@ -60,15 +81,18 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         leaves = F.transform(F.transform("lines", line_tokens), lambda t: _leaf(t, depth))
         split = stage(split.withColumn("leaves", leaves), "lines")
         often = split.select("row", F.explode("leaves").alias("leaf")).where("leaf IS NOT NULL").distinct()
-        often = often.groupBy("leaf").count().where(F.col("count") >= least_docs).select("leaf")
+        # Tables of their own on the other side of a join let adaptive execution split a hot leaf.
+        often = stage(often.groupBy("leaf").count().where(F.col("count") >= least_docs).select("leaf"), "leaves")
         each = split.select("row", F.posexplode(F.arrays_zip("lines", "leaves")).alias("at", "x"))
-        each = each.select("row", "at", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line")).join(often, "leaf")
+        each = each.select("row", "at", F.col("x.leaves").alias("leaf"), F.col("x.lines").alias("line"))
+        each = _likely(each.where("leaf IS NOT NULL"), often).join(often, "leaf")
         seen = stage(each.select("row", "at", "leaf", line_tokens(F.col("line")).alias("tokens")), "recurring-lines")
         same = F.aggregate(F.zip_with("tokens", "template", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
         agrees = same >= similarity * F.size("tokens")
-        named = seen.join(_templates(seen), "leaf").select("row", "at", F.when(agrees, F.xxhash64("leaf", F.lit(1))).otherwise(F.xxhash64("tokens", F.lit(2))).alias("template"))
+        named = seen.join(stage(_templates(seen), "templates"), "leaf").select("row", "at", F.when(agrees, F.xxhash64("leaf", F.lit(1))).otherwise(F.xxhash64("tokens", F.lit(2))).alias("template"))
         named = stage(named, "named-lines")
-        recurring = named.select("template", "row").distinct().groupBy("template").count().where(F.col("count") >= least_docs).select("template")
+        recurring = named.select("template", "row").distinct().groupBy("template").count().where(F.col("count") >= least_docs)
+        recurring = stage(recurring.select("template"), "recurring")
         dropped = named.join(recurring, "template").groupBy("row").agg(F.collect_set("at").alias("dropped"))
         left = F.filter(F.transform("lines", lambda x, i: F.when(~F.array_contains(F.col("dropped"), i), x)), lambda x: x.isNotNull())
         rest = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(left)

@@ -1,3 +1,4 @@
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -86,3 +87,17 @@ def test_kept_rows_of_near_duplicates(spark):
     docs = spark.createDataFrame([(1, "a b c d e f"), (None, None), (None, "a b c d e f"), (2, "")], "doc_id long, text string")
     kept = corpus_pipeline.kept_rows(docs, lsh_forest.near_duplicates(docs))
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(1, "a b c d e f"), (None, None), (2, "")], key=repr)
+
+
+def test_workers_of_a_job_started_elsewhere(tmp_path):
+    """Neither the working folder nor the path of the workers has the package."""
+    code = f"""
+import sys; sys.path.insert(0, {str(ROOT)!r})
+from pyspark.sql import SparkSession
+import __spark_entry__ as e
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", {str(tmp_path)!r}).config("spark.sql.shuffle.partitions", "2").getOrCreate())
+assert e.queries()["op6_exact_dedup"](spark, "/root/testdata/sf0.001").count() == 200
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=env)
