@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -11,17 +11,21 @@ from syncspark.llm.text import Rolling, code_points
 
 # White space of the texts: ends of words and of character n-grams.
 _BLANK = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x2028, 0x2029, 0x3000]
+# Hash of the common word for repeated ones.
+_REPEATED = np.uint64(0x5DEECE66D1CE4E5B)
 
 
 class Features:
     """Features of the texts of a block, as numbers below ``2 ** bits``.
 
     Words are runs without white space. A character n-gram lies inside a word
-    and may begin or end with the white space around it.
+    and may begin or end with the white space around it. With ``repeats`` a word
+    that is the same as the one before it also counts as one common word, as
+    such repetition says the same whatever the word is.
     """
 
-    def __init__(self, texts: Sequence[str], bits: int, sizes: Sequence[int]):
-        self.n, self.sizes = len(texts), sizes
+    def __init__(self, texts: Sequence[str], bits: int, sizes: Sequence[int], repeats: bool = False):
+        self.n, self.sizes, self.repeats = len(texts), sizes, repeats
         points = code_points("\n" + "\n".join(texts) + "\n")
         self.blank = np.isin(points, _BLANK) if len(points) < 64 else _blank(points)
         points = np.where(self.blank, np.uint32(0x20), points)
@@ -37,7 +41,12 @@ class Features:
         inside = ~self.blank
         starts = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
         ends = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
-        return self.rolling.slices(starts, ends) >> self.shift, np.searchsorted(self.ends, starts, "right")
+        hashes, rows = self.rolling.slices(starts, ends), np.searchsorted(self.ends, starts, "right")
+        if self.repeats:
+            again = rows[1:][(hashes[1:] == hashes[:-1]) & (rows[1:] == rows[:-1])]
+            hashes = np.concatenate([hashes, np.full(len(again), _REPEATED)])
+            rows = np.concatenate([rows, again])
+        return hashes >> self.shift, rows
 
     def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Feature of every window of ``size`` signs, and whether it is a character n-gram."""
@@ -95,10 +104,6 @@ def _blank(points: np.ndarray) -> np.ndarray:
     return blank
 
 
-def blank_rows(texts: Sequence[str]) -> Iterator[bool]:
-    return (not t or t.isspace() for t in texts)
-
-
 def remainder(doc_id: str, divisor: int):
     """``crc32`` of the id as text, modulo ``divisor``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor

@@ -31,8 +31,8 @@ class Settings:
     sizes: tuple[int, ...] = (3, 4, 5)
     sample: int = 1500
     sample_chars: int = 200_000
-    epochs: int = 6
-    rate: float = 0.5
+    epochs: int = 12
+    rate: float = 1.0
     seed: int = 7
 
 
@@ -62,7 +62,7 @@ def train(texts: Sequence[str], labels: Sequence[int], classes: int, settings: S
     documents = []
     step = 200
     for i in range(0, len(texts), step):
-        documents.extend(Features(texts[i : i + step], settings.bits, settings.sizes).counts())
+        documents.extend(Features(texts[i : i + step], settings.bits, settings.sizes, repeats=True).counts())
     known = [i for i, (feature, _) in enumerate(documents) if len(feature)]
     total = max(1, settings.epochs * len(known))
     for turn, i in enumerate(np.concatenate([random.permutation(known) for _ in range(settings.epochs)]) if known else ()):
@@ -89,7 +89,7 @@ def score(docs: DataFrame, model: SubwordModel, bits: int) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             for a, b in blocks(offsets):
-                means = Features(_texts(data, offsets, a, b), width, sizes).means(table)
+                means = Features(_texts(data, offsets, a, b), width, sizes, repeats=True).means(table)
                 probabilities = _softmax(means + bias)
                 cut = pa.array(np.arange(0, probabilities.size + 1, probabilities.shape[1]), pa.int32())
                 scores = pa.ListArray.from_arrays(cut, pa.array(probabilities.ravel(), pa.float64()))

@@ -28,6 +28,13 @@ def test_features_by_hand():
         assert np.allclose(means[row], share @ table[feature] if len(feature) else 0, atol=1e-5)
 
 
+def test_repeated_words_count_as_one_common_word():
+    texts = ["a b b c", "b a", "a d d d"]
+    plain, marked = (Features(texts, 20, (3,), repeats=r).words() for r in (False, True))
+    assert len(marked[0]) == len(plain[0]) + 3 and marked[1][len(plain[0]) :].tolist() == [0, 2, 2]
+    assert len(set(marked[0][len(plain[0]) :].tolist())) == 1
+
+
 def corpus(spark, n=400):
     good = ["the meadow was calm", "a letter arrived late", "they walked along the shore", "music filled the hall"]
     rows = []
@@ -78,5 +85,5 @@ def test_softmax_of_more_classes(classes):
     texts = [w * 3 for w in ("alpha ", "beta ", "gamma ")[:classes]] * 20
     labels = list(range(classes)) * 20
     model = quality.train(texts, labels, classes, SETTINGS)
-    means = Features(texts[:classes], SETTINGS.bits, SETTINGS.sizes).means(model.table()) + model.bias
+    means = Features(texts[:classes], SETTINGS.bits, SETTINGS.sizes, repeats=True).means(model.table()) + model.bias
     assert means.argmax(1).tolist() == list(range(classes))
