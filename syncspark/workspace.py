@@ -52,7 +52,7 @@ def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     open_blocks = _scratch.get()
     roots = open_blocks[:-1] if keep else open_blocks
     path = f"{roots[-1]}/{label}-{uuid.uuid4().hex}" if roots else new_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
