@@ -124,7 +124,6 @@ def _digest_block(path: str, texts: list[str]) -> tuple[np.ndarray, list[str], l
     own = vocabulary(path)
     ids, counts = _encoder(path).block(texts)
     ends = np.cumsum(counts)
-    starts = (ends - counts).tolist()
     decimal, decoded = own.decimal(ids).tobytes(), own.decode(ids).tobytes()
     edge = np.concatenate([[0], np.cumsum(own.decimal_lengths[ids])])
     decimal_at = edge[np.concatenate([[0], ends])].tolist()
@@ -137,7 +136,6 @@ def _digest_block(path: str, texts: list[str]) -> tuple[np.ndarray, list[str], l
             raise ValueError("decoded text differs from the encoded one: two pieces of one hash")
         ids_sha.append(hashlib.sha256(decimal[decimal_at[i] : max(decimal_at[i + 1] - 1, decimal_at[i])]).hexdigest())
         text_sha.append(hashlib.sha256(back.decode("utf-8", "replace").encode()).hexdigest())
-    assert len(starts) == len(texts)
     return counts, ids_sha, text_sha
 
 
