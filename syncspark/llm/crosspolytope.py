@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import pairwise, product
 
 import numpy as np
 import pyarrow as pa
@@ -25,14 +26,22 @@ from syncspark.workspace import scratch, stage
 
 _KEY = ["tab", "dim", "bucket"]
 _PACK = "tab int, dim int, bucket long, ids binary, vectors binary"
+# More than the rounding of a product of unit vectors.
+_ROUNDING = 1e-10
+# Numbers in the packs that are made together, and in the scores of their probes.
+_BLOCK = 1 << 24
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``probes``: buckets a query looks into per table; None chooses them by the recall on ``sample`` queries."""
+    """``probes``: buckets a query looks into per table; None chooses them by the recall on ``sample`` queries.
+
+    Where that takes more than ``long_probes`` buckets, shorter ones are taken.
+    """
 
     tables: int = 4
     probes: int | None = None
+    long_probes: int = 4096
     recall: float = 0.97
     sample: int = 150
     bucket_rows: int = 65_536
@@ -85,6 +94,23 @@ class Rotations:
             scores, buckets = np.take_along_axis(scores, best, 1), np.take_along_axis(buckets, best, 1)
         return buckets
 
+    def places(self, queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+        """Number of probes that lead each query to the bucket of the vector beside it; equally near buckets come first."""
+        rows = np.arange(len(queries))
+        gaps, own = [], np.zeros(len(queries))
+        for x, y in zip(self.turn(queries), self.turn(vectors), strict=True):
+            both = np.concatenate([x, -x], 1)
+            gaps.append((both.max(1, keepdims=True) - both) ** 2)
+            own += gaps[-1][rows, np.concatenate([y, -y], 1).argmax(1)]
+        *first, last = gaps
+        last, out = np.sort(last, 1), np.zeros(len(queries), np.int64)
+        for i in rows:
+            sums = np.zeros(1)
+            for gap in first:
+                sums = np.add.outer(sums, gap[i]).ravel()
+            out[i] = np.searchsorted(last[i], own[i] + _ROUNDING - sums, "right").sum()
+        return out
+
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform of each row, orthonormal."""
@@ -144,14 +170,17 @@ def _packed(settings: Settings, length: int, probes: int | None):
                 continue
             for ids, vectors in _matrices(batch):
                 unit, dim = _unit(vectors), vectors.shape[1]
-                for table in range(settings.tables):
-                    turns = Rotations(dim, length, table, settings.seed)
-                    buckets = turns.bucket(unit)[:, None] if probes is None else turns.probes(unit, probes)
-                    row = np.repeat(np.arange(len(ids)), buckets.shape[1])
+                axes = 2 * Rotations(dim, 1, 0, settings.seed).size
+                looks = 1 if probes is None else min(probes, axes**length)
+                step = max(1, _BLOCK // (looks * max(dim, axes if length > 1 else 1)))
+                for table, a in product(range(settings.tables), range(0, len(ids), step)):
+                    turns, some = Rotations(dim, length, table, settings.seed), unit[a : a + step]
+                    buckets = turns.bucket(some)[:, None] if probes is None else turns.probes(some, probes)
+                    row = np.repeat(np.arange(a, a + len(some)), buckets.shape[1])
                     flat = buckets.ravel()
                     order = np.argsort(flat, kind="stable")
                     cuts = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) != 0, [True]]))
-                    packs = [row[order[a:b]] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                    packs = [row[order[i:j]] for i, j in pairwise(cuts)]
                     n = len(packs)
                     yield pa.record_batch(
                         [pa.array([table] * n, pa.int32()), pa.array([dim] * n, pa.int32()), pa.array(flat[order][cuts[:-1]], pa.int64()), pa.array([ids[p].tobytes() for p in packs], pa.binary()), pa.array([vectors[p].tobytes() for p in packs], pa.binary())],
@@ -241,34 +270,33 @@ def exact_nearest(vectors: DataFrame, queries: list[tuple[int, np.ndarray]], k:
     return _ranked(vectors.mapInArrow(run, "query_id long, vec_id long, score double"), k)
 
 
-def _chosen_probes(vectors: DataFrame, queries: DataFrame, length: int, k: int, settings: Settings) -> int:
-    """Fewest probes that find the wished share of the true neighbours of a sample of queries."""
+def _chosen(vectors: DataFrame, queries: DataFrame, length: int, k: int, settings: Settings) -> tuple[int, int]:
+    """Length of a bucket, and fewest probes that find the wished share of the true neighbours of a sample of queries.
+
+    Probes are never cut off: a length that takes too many gives way to the next
+    shorter one, and those of one axis may be all buckets.
+    """
     position = F.xxhash64("vec_id", F.lit(5))
     sample = queries.orderBy(position, "vec_id").limit(settings.sample).toPandas()
     chosen = [(int(i), np.asarray(v, np.float64)) for i, v in zip(sample["vec_id"], sample["embedding"], strict=True)]
     if not chosen:
-        return 1
+        return length, 1
     near = exact_nearest(vectors, chosen, k).join(vectors, "vec_id").select("query_id", "embedding").toPandas()
     own = dict(chosen)
-    most = 1
-    ranks = []
+    pairs = []
     for dim in sorted({len(v) for v in own.values()}):
         rows = [(q, np.asarray(v)) for q, v in zip(near["query_id"], near["embedding"], strict=True) if len(v) == dim == len(own[q])]
-        if not rows:
-            continue
-        q, v = _unit(np.array([own[i] for i, _ in rows])), _unit(np.array([x for _, x in rows]))
-        size = Rotations(dim, length, 0, settings.seed).size
-        most = max(most, min((2 * size) ** length, 4096))
-        place = np.full(len(rows), most, np.int64)
-        for table in range(settings.tables):
-            turns = Rotations(dim, length, table, settings.seed)
-            hit = turns.probes(q, most) == turns.bucket(v)[:, None]
-            place = np.minimum(place, np.where(hit.any(1), hit.argmax(1) + 1, most))
-        ranks.append(place)
-    if not ranks:
-        return 1
-    ordered = np.sort(np.concatenate(ranks))
-    return int(ordered[min(len(ordered) - 1, math.ceil(settings.recall * len(ordered)) - 1)])
+        if rows:
+            pairs.append((dim, _unit(np.array([own[i] for i, _ in rows])), _unit(np.array([x for _, x in rows]))))
+    if not pairs:
+        return length, 1
+    while True:
+        places = [np.min([Rotations(dim, length, t, settings.seed).places(q, v) for t in range(settings.tables)], 0) for dim, q, v in pairs]
+        ordered = np.sort(np.concatenate(places))
+        probes = int(ordered[math.ceil(settings.recall * len(ordered)) - 1])
+        if length == 1 or probes <= settings.long_probes:
+            return length, probes
+        length -= 1
 
 
 def search(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int = 5, vec_id: str = "vec_id", embedding: str = "embedding", settings: Settings = Settings()) -> DataFrame:
@@ -284,8 +312,9 @@ def search(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int = 5, ve
     read; an empty table gives an empty result.
 
     The length of a bucket grows with the logarithm of the rows, so that buckets
-    stay near ``bucket_rows`` rows; the probes are chosen by the recall measured
-    against brute force on a bounded sample of queries.
+    stay near ``bucket_rows`` rows, as long as few enough probes reach the wished
+    recall. Both are chosen by the recall measured against brute force on a
+    bounded sample of queries; on it the chosen probes always reach the wished one.
     """
     with scratch(vectors.sparkSession):
         usable = valid_vectors(vectors, vec_id, embedding)
@@ -295,7 +324,7 @@ def search(vectors: DataFrame, is_query: str = "vec_id % 50 = 0", k: int = 5, ve
         rows = candidates.agg(F.count("*").alias("n"), F.max(F.size("embedding")).alias("d")).first()
         axes = 2 << max(1, math.ceil(math.log2(max(2, rows.d or 2))))
         length = max(1, math.ceil(math.log(max(1, rows.n / settings.bucket_rows)) / math.log(axes)))
-        probes = settings.probes or _chosen_probes(candidates, queries, length, k, settings)
+        length, probes = (length, settings.probes) if settings.probes else _chosen(candidates, queries, length, k, settings)
         found = stage(_looked_up(candidates, queries, length, probes, k, settings), "nearest")
         enough = found.groupBy("query_id").count().where(F.col("count") >= k)
         short = queries.join(enough, queries["vec_id"] == enough["query_id"], "left_anti")

@@ -88,3 +88,28 @@ def test_first_probe_is_the_own_bucket_and_probes_reach_all(length):
     probes = turns.probes(x, 8**length)
     assert (probes[:, 0] == turns.bucket(x)).all()
     assert all(sorted(p) == list(range(8**length)) for p in probes.tolist())
+
+
+@pytest.mark.parametrize("length", [1, 2])
+def test_places_are_those_of_the_probes(length):
+    r = np.random.default_rng(2)
+    q, v = r.normal(size=(2, 40, 4))
+    turns = cp.Rotations(4, length, 0, 1)
+    hit = turns.probes(q, 8**length) == turns.bucket(v)[:, None]
+    assert (turns.places(q, v) == hit.argmax(1) + 1).all()
+
+
+def test_wished_recall_where_long_buckets_miss_it(spark):
+    """Far neighbours of 128 dimensions: 4,096 of the 65,536 buckets of two axes do not hold 97 % of them."""
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(4).normal(size=(1500, 128)))]
+    got = found(cp.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2), settings=cp.Settings(bucket_rows=4)))
+    assert recall(got, brute_force(rows)) >= 0.97
+
+
+def test_packs_of_probes_are_made_in_blocks(spark, vectors, monkeypatch):
+    df = spark.createDataFrame(vectors[:300], "vec_id long, embedding array<float>")
+    (batch,) = cp.valid_vectors(df, "vec_id", "embedding").coalesce(1).toArrow().combine_chunks().to_batches()
+    monkeypatch.setattr(cp, "_BLOCK", 1 << 16)
+    packs = list(cp._packed(cp.Settings(), 2, 50)([batch]))
+    assert len(packs) > 4 and all(sum(map(len, p.column("vectors").to_pylist())) <= 8 << 16 for p in packs)
+    assert sum(len(i) // 8 for p in packs for i in p.column("ids").to_pylist()) == 4 * 50 * 300
