@@ -218,24 +218,28 @@ def _nearest(k: int):
             for dim, q_ids, q_vectors, ids, vectors in zip(*(batch.column(c).to_pylist() for c in ("dim", "q_ids", "q_vectors", "ids", "vectors")), strict=True):
                 q_ids, ids = np.frombuffer(q_ids, np.int64), np.frombuffer(ids, np.int64)
                 q_vectors, vectors = np.frombuffer(q_vectors).reshape(-1, dim), np.frombuffer(vectors).reshape(-1, dim)
+                order = np.argsort(ids, kind="stable")
+                ids, vectors = ids[order], vectors[order]
                 unit_q, unit_v = _unit(q_vectors), _unit(vectors)
-                step = max(1, (1 << 20) // max(1, len(ids)))
+                # An id may have several vectors; its best one counts.
+                own = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+                step, piece = max(1, (1 << 20) // max(1, len(ids))), max(1, (1 << 22) // dim)
                 for a in range(0, len(q_ids), step):
                     near = unit_q[a : a + step] @ unit_v.T
                     near[q_ids[a : a + step, None] == ids[None, :]] = -np.inf
-                    most = min(2 * k + 6, near.shape[1])
-                    top = np.argpartition(-near, most - 1, 1)[:, :most] if most < near.shape[1] else np.tile(np.arange(most), (len(near), 1))
-                    row = np.repeat(np.arange(len(near)), most)
-                    col = top.ravel()
-                    usable = near[row, col] > -np.inf
-                    row, col = row[usable] + a, col[usable]
-                    if len(row):
-                        found.append((q_ids[row], ids[col], _pair_scores(q_vectors[row], vectors[col])))
-                        held += len(row)
-                if held > least:
-                    found = [pruned(found)]
-                    held = len(found[0][0])
-                    least = max(least, 2 * held)
+                    best = near if len(own) == len(ids) else np.maximum.reduceat(near, own, 1)
+                    kth = -np.partition(-best, k - 1, 1)[:, k - 1] if k < best.shape[1] else np.full(len(best), -np.inf)
+                    # All that may be among the best but for rounding, however many tie.
+                    row, col = np.nonzero((near >= kth[:, None] - _ROUNDING) & (near > -np.inf))
+                    row += a
+                    for b in range(0, len(row), piece):
+                        i, j = row[b : b + piece], col[b : b + piece]
+                        found.append((q_ids[i], ids[j], _pair_scores(q_vectors[i], vectors[j])))
+                        held += len(i)
+                        if held > least:
+                            found = [pruned(found)]
+                            held = len(found[0][0])
+                            least = max(least, 2 * held)
         if found:
             q, v, s = pruned(found)
             for a in range(0, len(q), 100_000):

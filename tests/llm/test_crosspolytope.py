@@ -113,3 +113,13 @@ def test_packs_of_probes_are_made_in_blocks(spark, vectors, monkeypatch):
     packs = list(cp._packed(cp.Settings(), 2, 50)([batch]))
     assert len(packs) > 4 and all(sum(map(len, p.column("vectors").to_pylist())) <= 8 << 16 for p in packs)
     assert sum(len(i) // 8 for p in packs for i in p.column("ids").to_pylist()) == 4 * 50 * 300
+
+
+def test_many_ties_of_a_pack_go_to_smaller_ids(spark):
+    """Scaled copies of one direction are different vectors that score the same; an id counts once, however many vectors it has."""
+    rows = [(i, [x * 2.0 ** (i % 61) for x in (1.0, 2.0, 3.0)]) for i in reversed(range(61))]
+    got = found(cp.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)))
+    assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5] and [i for i, _ in got[50]] == [0, 1, 2, 3, 4]
+    rows = [(0, [1.0, 2.0, 3.0])] + [(9, [2.0**n, 2.0 ** (n + 1), 3.0 * 2.0**n]) for n in range(40)] + [(i, [1.0, 2.0, 3.0 + i]) for i in range(1, 5)]
+    got = found(cp.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)))
+    assert [i for i, _ in got[0]] == [9, 1, 2, 3, 4]
