@@ -31,7 +31,7 @@ from syncspark.llm.text import blocks, ranges, utf8
 from syncspark.workspace import scratch, stage
 
 SHARD_IDS = 1 << 20
-ROUNDS = 3
+ROUNDS = None
 PAIRS_A_ROUND = 4096
 LEAST_COUNT = 16
 MARK_EVERY = 4096
@@ -54,44 +54,58 @@ def _frequent_pairs(pairs: np.ndarray, most: int, least: int) -> np.ndarray:
     return ordered[cuts[often]]
 
 
-def compress(ids: np.ndarray, first_new: int, rounds: int = ROUNDS, pairs_a_round: int = PAIRS_A_ROUND, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, first_new: int, rounds: int | None = ROUNDS, pairs_a_round: int = PAIRS_A_ROUND, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray]:
     """Rules (pairs of symbols) and the remaining symbols of a sequence of ids below ``first_new``.
 
     Each round counts all pairs and replaces the frequent ones from the left;
-    of overlapping occurrences every second one waits for a later round.
+    of overlapping occurrences every second one waits for a later round. Without
+    ``rounds`` it ends when no pair is seen ``least`` times. Symbols have 16 bits
+    while that suffices, else 32.
     """
-    short = first_new < (1 << 16)
-    symbol, pair = (np.uint16, np.uint32) if short else (np.uint32, np.uint64)
-    shift, room = pair(16 if short else 32), (1 << (16 if short else 32)) - first_new
-    sequence = ids.astype(symbol)
+    sequence = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
-    made = 0
-    for _ in range(rounds):
-        if len(sequence) < 2:
-            break
-        pairs = (sequence[:-1].astype(pair) << shift) | sequence[1:]
-        chosen = _frequent_pairs(pairs, min(pairs_a_round, room - made), least)
-        slots = np.full(1 << 16, -1, np.int32)
-        place = ((chosen.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.int64)
-        _, one = np.unique(place, return_index=True)
-        chosen, place = chosen[one], place[one]
+    made = settled = 0
+    while (rounds is None or len(rules) < rounds) and len(sequence) > 1:
+        short = first_new + made <= 1 << 16
+        pair, shift = (np.uint32, 16) if short else (np.uint64, 32)
+        # After a round that took all frequent pairs, others have one of its symbols.
+        new = sequence >= settled
+        where = np.flatnonzero(new[:-1] | new[1:])
+        pairs = (sequence[where].astype(pair) << pair(shift)) | sequence[where + 1].astype(pair)
+        most = min(pairs_a_round, (1 << 32) - first_new - made)
+        chosen = np.sort(_frequent_pairs(pairs, most, least))
         if not len(chosen):
             break
-        slots[place] = np.arange(len(chosen))
-        found = slots[(pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)]
-        at = np.flatnonzero(found >= 0)
-        at = at[chosen[found[at]] == pairs[at]]
+        if len(chosen) < most:
+            settled = first_new + made
+        # Pairs that share a slot are looked up.
+        slots = np.full(1 << 16, -1, np.int32)
+        slots[_slots(chosen)] = np.arange(len(chosen))
+        found = slots[_slots(pairs)]
+        likely = np.flatnonzero(found >= 0)
+        found, pairs = found[likely], pairs[likely]
+        other = np.flatnonzero(chosen[found] != pairs)
+        found[other] = np.minimum(np.searchsorted(chosen, pairs[other]), len(chosen) - 1)
+        same = chosen[found] == pairs
+        at, found = where[likely[same]], found[same]
         fresh = np.concatenate([[True], at[1:] != at[:-1] + 1])
         run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run_start) % 2 == 0]
-        rule = found[at]
+        first = (np.arange(len(at)) - run_start) % 2 == 0
+        at, found = at[first], found[first]
+        # Pairs that only overlapped others get no rule.
+        used = np.bincount(found, minlength=len(chosen)) > 0
         keep = np.ones(len(sequence), bool)
         keep[at + 1] = False
-        sequence[at] = (rule + first_new + made).astype(symbol)
-        sequence = sequence[keep]
-        rules.append(np.stack([chosen >> shift, chosen & pair((1 << int(shift)) - 1)], 1).astype(symbol))
+        sequence[at] = (np.cumsum(used) - 1)[found] + (first_new + made)
+        sequence, chosen = sequence[keep], chosen[used]
+        rules.append(np.stack([chosen >> pair(shift), chosen & pair((1 << shift) - 1)], 1).astype(np.uint32))
         made += len(chosen)
-    return (np.concatenate(rules) if rules else np.zeros((0, 2), symbol)), sequence
+    symbol = np.uint16 if first_new + made <= 1 << 16 else np.uint32
+    return (np.concatenate(rules) if rules else np.zeros((0, 2))).astype(symbol), sequence.astype(symbol)
+
+
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    return (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
 
 
 class Grammar:

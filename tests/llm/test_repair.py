@@ -24,6 +24,25 @@ def test_frequent_pairs_shrink_the_sequence():
     assert len(symbols) <= len(ids) // 8 and len(rules) >= 3
 
 
+def test_long_passages_become_one_symbol():
+    passage = np.arange(512)
+    ids = np.concatenate([np.append(passage, 1000 + i) for i in range(40)])
+    rules, symbols = repair.compress(ids, 2000)
+    assert len(symbols) <= 80 and repair.Grammar(rules, 2000).rule_lengths.max() == 512
+    assert repair.Grammar(rules, 2000).expand(symbols).tolist() == ids.tolist()
+
+
+@pytest.mark.parametrize("first_new, width", [(200, 2), (65_000, 4), (70_000, 4)])
+def test_no_frequent_pair_is_left(first_new, width):
+    """Also beyond 16 bits, and where pairs share a slot."""
+    random = np.random.default_rng(3)
+    ids = np.minimum(random.geometric(0.03, 400_000), 199)
+    rules, symbols = repair.compress(ids, first_new)
+    _, counts = np.unique(symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:], return_counts=True)
+    assert counts.max() < repair.LEAST_COUNT and symbols.itemsize == rules.itemsize == width
+    assert (repair.Grammar(rules, first_new).expand(symbols) == ids).all()
+
+
 @pytest.mark.parametrize("first_new", [300, 70_000])
 def test_any_stretch_of_a_shard(first_new):
     random = np.random.default_rng(1)
