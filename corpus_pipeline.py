@@ -33,8 +33,12 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return kept_rows(docs, lsh_forest.near_duplicates(docs))
+    """One document of each group of near copies: of the smallest id, among its rows of the smallest hash of the text."""
+    rows = lsh_forest.near_groups(docs).select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("doc_id"), "raw", "group")
+    first = rows.where("group IS NOT NULL").groupBy("group").agg(F.min(F.struct("doc_id", "raw")).alias("one")).select("one.*")
+    # Texts without words are copies of nothing.
+    alone = rows.where("group IS NULL").select("doc_id", "raw")
+    return kept_rows(docs, first.unionByName(alone).withColumn("kept", F.lit(True)))
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -378,14 +378,20 @@ def _links_of_large(members: DataFrame, shingles: DataFrame, settings: Settings)
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept, raw``.
+    """:func:`near_groups` without ``group``: ``doc_id, n_shingles, component_id, kept, raw``."""
+    return near_groups(docs, doc_id, text, settings).drop("group")
+
+
+def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept, raw, group``.
 
     ``component_id`` is the smallest ``doc_id`` reachable over links (null counts
     as largest), ``kept`` whether it is the row's own. Equal sets are linked and
     are searched once. Texts without words, empty and null ones are linked with
     nothing: they stay with their own id. Repeated rows share a component and,
     having one id, are kept or not together. ``raw`` is the ``xxhash64`` of the
-    text as it came. Other columns are not read; an empty
+    text as it came; ``group`` numbers the components, also those without an id,
+    and is null for texts without words. Other columns are not read; an empty
     table gives an empty result.
     """
     last = F.lit((1 << 63) - 1)
@@ -421,11 +427,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         named = sets.select("node", "set_key", "id").join(groups, "node", "left")
         named = stage(named.select("set_key", "id", F.coalesce("component", "node").alias("component")), "named")
         smallest = named.groupBy("component").agg(F.min("id").alias("least"))
-        named = named.join(smallest, "component").select("set_key", "least")
+        named = named.join(smallest, "component").select("set_key", "least", F.col("component").alias("group"))
         found = rows.select("doc_id", "raw", "n", "set_key").join(named, "set_key", "left")
         component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.when(F.col("least") != last, F.col("least")))
         return stage(
-            found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "raw"),
+            found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "raw", "group"),
             "near-result",
             keep=True,
         )

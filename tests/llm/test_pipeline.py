@@ -89,6 +89,16 @@ def test_kept_rows_of_near_duplicates(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([(1, "a b c d e f"), (None, None), (2, "")], key=repr)
 
 
+def test_near_stage_keeps_one_of_each_group(spark):
+    """Groups without an id, and different texts under the smallest id of their group."""
+    text = lambda word, *ends: " ".join([f"{word}{i}" for i in range(60)] + list(ends))
+    rows = [(None, text("a")), (None, text("a", "end")), (None, text("a", "x", "y")), (None, text("b")), (None, text("b", "end"))]
+    rows += [(5, text("c")), (5, text("c", "end")), (6, text("c", "x")), (7, text("d")), (None, text("d", "end")), (None, None), (8, " "), (9, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r.doc_id, r.text[:1] if r.text else None) for r in corpus_pipeline.near_stage(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted([(None, "a"), (None, "b"), (5, "c"), (7, "d"), (None, None), (8, " "), (9, " ")], key=repr)
+
+
 def test_workers_of_a_job_started_elsewhere(tmp_path):
     """Neither the working folder nor the path of the workers has the package."""
     code = f"""
