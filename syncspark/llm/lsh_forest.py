@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from syncspark.llm.components import connected_components
-from syncspark.llm.text import Rolling, blocks, utf8, words
+from syncspark.llm import text as texts_of
+from syncspark.llm.text import blocks, utf8
 from syncspark.operators.sequence import assign_sequence
 from syncspark.workspace import scratch, stage
 
@@ -59,29 +60,8 @@ class Settings:
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
-    """Sorted 64-bit hashes of the different shingles of each text.
-
-    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z became a-z. A text with fewer than
-    five words has its whole sequence as one shingle, without words it has none.
-    """
-    capital = (data >= 0x41) & (data <= 0x5A)
-    starts, ends, rows = words(data, offsets)
-    lower = np.where(capital, data + np.uint8(32), data)
-    rolling = Rolling(Rolling(lower).slices(starts, ends))
-    n = len(offsets) - 1
-    first = np.searchsorted(rows, np.arange(n + 1))
-    out = []
-    at = np.arange(max(0, len(starts) - SHINGLE_WORDS + 1))
-    hashes = rolling.slices(at, at + SHINGLE_WORDS)
-    counts = np.diff(first)
-    few = np.flatnonzero((counts > 0) & (counts < SHINGLE_WORDS))
-    short = dict(zip(few.tolist(), rolling.slices(first[few], first[few + 1]), strict=True))
-    for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
-        if b - a >= SHINGLE_WORDS:
-            out.append(np.unique(hashes[a : b - SHINGLE_WORDS + 1]))
-        else:
-            out.append(np.array([short[i]], np.uint64) if b > a else np.zeros(0, np.uint64))
-    return out
+    """Sorted 64-bit hashes of the different five-word shingles of each text."""
+    return texts_of.shingle_sets(data, offsets, SHINGLE_WORDS)
 
 
 def set_key(shingles: np.ndarray) -> bytes:

@@ -6,6 +6,7 @@ number of bytes (a single longer text is a block of its own).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,6 +88,65 @@ class Rolling:
         return scramble(h)
 
 
+# Longer slices are hashed one by one.
+_LONGEST = 64
+_MIX = np.uint64(0x9DDFEA08EB382D69)
+
+
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of slices of bytes, which mixes eight bytes at a time.
+
+    Unlike :class:`Rolling` it is no polynomial: a polynomial modulo a power of
+    two has one value for certain words of two letters, whatever its base.
+    """
+    lengths = (ends - starts).astype(np.int64)
+    padded = np.zeros(len(data) + _LONGEST + 8, np.uint8)
+    padded[: len(data)] = data
+    eights = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    low = np.concatenate([[np.uint64(0)], np.uint64((1 << 64) - 1) >> np.arange(56, -1, -8, dtype=np.uint64)])
+    out = scramble(lengths.astype(np.uint64) * _MIX)
+    left = np.flatnonzero(lengths <= _LONGEST)
+    for at in range(0, _LONGEST, 8):
+        left = left[lengths[left] > at]
+        if not len(left):
+            break
+        eight = eights[starts[left] + at] & low[np.minimum(lengths[left] - at, 8)]
+        out[left] = scramble((out[left] ^ eight) * _MIX)
+    raw = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero(lengths > _LONGEST).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]], digest_size=8).digest(), "little")
+    return out
+
+
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
+    """Sorted 64-bit hashes of the different shingles of ``size`` words of each text.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z became a-z. A text with fewer words
+    has its whole sequence as one shingle, without words it has none.
+    """
+    capital = (data >= 0x41) & (data <= 0x5A)
+    starts, ends, rows = words(data, offsets)
+    word = slice_hashes(np.where(capital, data + np.uint8(32), data), starts, ends)
+    n = len(offsets) - 1
+    first = np.searchsorted(rows, np.arange(n + 1))
+    many = max(0, len(word) - size + 1)
+    hashes = np.full(many, np.uint64(size))
+    for i in range(size):
+        hashes = scramble((hashes ^ word[i : i + many]) * _MIX)
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= size:
+            out.append(np.unique(hashes[a : b - size + 1]))
+        elif b > a:
+            whole = np.full(1, np.uint64(b - a))
+            for i in range(a, b):
+                whole = scramble((whole ^ word[i : i + 1]) * _MIX)
+            out.append(whole)
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out
+
+
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word ``[^\\x20\\x09-\\x0D]+``; words never cross rows."""
     inside = np.ones(len(data) + 2, bool)

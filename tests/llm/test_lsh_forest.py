@@ -134,3 +134,11 @@ def test_connected_components(spark):
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert found == parent
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_that_polynomials_confuse_are_told_apart(spark, n):
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)]
+    found = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 2), (3, 1)]

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
-from syncspark.llm.text import Rolling, blocks, ranges, utf8, words
+from syncspark.llm.text import Rolling, blocks, ranges, shingle_sets, slice_hashes, utf8, words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab \t\né😀", max_size=12)), max_size=8)
 
@@ -44,3 +44,34 @@ def test_sliced_arrays_keep_their_own_bytes():
 
 def test_ranges_one_after_another():
     assert ranges(np.array([5, 0]), np.array([2, 3])).tolist() == [5, 6, 0, 1, 2]
+
+
+def thue_morse(n):
+    """A word of two letters and its complement, which many polynomial hashes cannot tell apart."""
+    word = np.array([bin(i).count("1") & 1 for i in range(n)], np.uint8)
+    return (word + 97).tobytes(), (98 - word).tobytes()
+
+
+def test_slice_hashes_by_content_alone():
+    random = np.random.default_rng(1)
+    slices = [bytes(random.integers(97, 100, n, np.uint8)) for n in (0, 1, 2, 7, 8, 9, 15, 16, 17, 63, 64, 65, 200) for _ in range(6)]
+    slices += [b"\x00" * n for n in range(20)] + [w for n in (32, 1024, 4096, 1 << 16) for w in thue_morse(n)]
+    slices += slices[::-1]
+    ends = np.cumsum([len(s) for s in slices])
+    hashes = slice_hashes(np.frombuffer(b"".join(slices), np.uint8), np.append(0, ends[:-1]), ends)
+    assert len({(s, int(h)) for s, h in zip(slices, hashes)}) == len(set(slices)) == len(set(hashes.tolist()))
+
+
+@settings(max_examples=60, deadline=None)
+@given(TEXTS)
+def test_shingles_of_the_words(texts):
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    found = shingle_sets(data, offsets, 2)
+    expected = []
+    for t in texts:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())
+        expected.append({tuple(w[i : i + 2]) for i in range(len(w) - 1)} or ({tuple(w)} if w else set()))
+    assert [len(s) for s in found] == [len(s) for s in expected]
+    for i, a in enumerate(expected):
+        for j, b in enumerate(expected):
+            assert len(set(found[i].tolist()) & set(found[j].tolist())) == len(a & b)
