@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.llm import bpe, crosspolytope, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
+from syncspark.llm import bpe, crosspolytope, equal_average, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
 from syncspark.llm.grace_dedup import exact_duplicates
 from syncspark.llm.ship import with_package
 
@@ -154,3 +154,33 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def _codebook_sql(rounds: int) -> str:
+    """Codes by comparing every part with every entry; each round builds on the codebooks of the one before."""
+    assigned = """
+    a{r} AS (SELECT part, id, arg_min(entry, {{'d': d, 'e': entry}}) AS entry, min(d) AS d
+             FROM (SELECT p.part, p.id, b.entry, sum(CAST(x - y AS HUGEINT) * (x - y)) AS d
+                   FROM parts p JOIN b{r} b ON p.part = b.part AND p.place = b.place GROUP BY 1, 2, 3) GROUP BY 1, 2),"""
+    improved = """
+    b{n} AS (SELECT b.part, b.entry, b.place, coalesce(m.y, b.y) AS y FROM b{r} b LEFT JOIN (
+                 SELECT p.part, a.entry, p.place, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS y
+                 FROM parts p JOIN a{r} a USING (part, id) GROUP BY 1, 2, 3) m USING (part, entry, place)),"""
+    steps = "".join((assigned + improved).format(r=r, n=r + 1) for r in range(rounds)) + assigned.format(r=rounds)
+    return f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id, embedding) - 1 AS id, vec_id, label, embedding, len(embedding) // 4 AS width FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    each AS (SELECT id, width, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM kept),
+    parts AS MATERIALIZED (SELECT id, i // width AS part, i % width AS place, CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT) AS x FROM each),
+    b0 AS (SELECT part, id AS entry, place, CAST(x AS HUGEINT) AS y FROM parts WHERE id < 256),{steps.replace(" AS (", " AS MATERIALIZED (")}
+    codes AS (SELECT id, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY id),
+    digest AS (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY part, entry, place)) AS h FROM b{rounds})
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+    FROM kept JOIN codes USING (id) CROSS JOIN digest
+    """
+
+
+@query(_codebook_sql(equal_average.Settings().rounds))
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return equal_average.compress(table(spark, sf_dir, "embeddings"))

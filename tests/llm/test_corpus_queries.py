@@ -22,6 +22,9 @@ CONTRACT = {
     "op8_token_files": ("doc_id start n_tokens ids_crc32", "documents"),
     "op9_line_templates": ("doc_id n_lines n_dropped kept_sha256", "documents"),
     "op10_neighbours": ("query_id rank vec_id score", None),
+    "op11_vector_codes": ("vec_id code error label_error codebooks_sha256", None),
+    "op12_jaccard_join": ("doc_id n_shingles component_id", "documents"),
+    "op13_source_divergence": ("lang source part item value rank", None),
 }
 
 
@@ -34,7 +37,8 @@ def test_columns_rows_and_sql(spark, name):
     assert rows and (table is None or len(rows) == spark.read.parquet(f"{SF}/{table}.parquet").count())
     if name in SQL:
         connection = duckdb.connect()
-        connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+        for name_ in ("documents", "embeddings"):
+            connection.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{SF}/{name_}.parquet'")
         result = connection.execute(SQL[name])
         names = [d[0] for d in result.description]
         assert sorted(names) == sorted(frame.columns)
