@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.llm import bpe, crosspolytope, equal_average, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
+from syncspark.llm import bpe, crosspolytope, divergence, equal_average, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
 from syncspark.llm.grace_dedup import exact_duplicates
 from syncspark.llm.ship import with_package
 
@@ -184,3 +184,32 @@ def _codebook_sql(rounds: int) -> str:
 @query(_codebook_sql(equal_average.Settings().rounds))
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return equal_average.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    r"""
+    WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS s FROM documents),
+    w AS (SELECT id, lang, source, unnest(regexp_extract_all(s, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+    c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT id) AS docs FROM w GROUP BY 1, 2, 3),
+    k AS (SELECT lang, term, sum(n) AS m FROM c GROUP BY 1, 2 HAVING sum(docs) >= 3),
+    l AS (SELECT lang, count(*) AS v, sum(m) AS total FROM k GROUP BY 1),
+    g AS (SELECT DISTINCT lang, source FROM d),
+    o AS (SELECT lang, source, sum(n) AS own FROM c JOIN k USING (lang, term) GROUP BY 1, 2),
+    x AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                 1 + (1000000000 * CAST(coalesce(c.n, 0) + 1 AS HUGEINT)) // (coalesce(o.own, 0) + l.v) AS p,
+                 1 + (1000000000 * CAST(k.m + 1 AS HUGEINT)) // (l.total + l.v) AS q
+          FROM g JOIN l USING (lang) JOIN k USING (lang) LEFT JOIN o USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+    sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+             FROM x a JOIN x b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+    terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM x WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place
+               FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR place <= 200
+    """
+)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
