@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from syncspark.llm import bpe, crosspolytope, divergence, equal_average, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
+from syncspark.llm import bpe, crosspolytope, divergence, equal_average, jaccard_join, language, lsh_forest, packing, quality, repair, suffix_dedup, templates
 from syncspark.llm.grace_dedup import exact_duplicates
 from syncspark.llm.ship import with_package
 
@@ -111,9 +111,9 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-# Near copies by comparing all sets that share a shingle, then following links.
-@query(
-    r"""
+def _near_sql(percent: int, columns: str) -> str:
+    """Near copies by comparing all sets that share a shingle, then following links."""
+    return rf"""
     WITH RECURSIVE w AS (
         SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                           '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -122,12 +122,13 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     n AS (SELECT doc_id, len(g) AS n FROM s),
     e AS (SELECT doc_id, unnest(g) AS g FROM s),
     p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have FROM e a JOIN e b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
-    links AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * both_have >= 75 * (nx.n + ny.n - both_have)),
+    links AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * both_have >= {percent} * (nx.n + ny.n - both_have)),
     reach(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
-    SELECT n.doc_id, n.n AS n_shingles, min(y) AS component_id, n.doc_id = min(y) AS kept
-    FROM n JOIN reach ON reach.x = n.doc_id GROUP BY n.doc_id, n.n
+    SELECT {columns} FROM n JOIN reach ON reach.x = n.doc_id GROUP BY n.doc_id, n.n
     """
-)
+
+
+@query(_near_sql(75, "n.doc_id, n.n AS n_shingles, min(y) AS component_id, n.doc_id = min(y) AS kept"))
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents")).drop("raw")
 
@@ -213,3 +214,8 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query(_near_sql(jaccard_join.Settings().percent, "n.doc_id, n.n AS n_shingles, min(y) AS component_id"))
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
