@@ -220,10 +220,14 @@ def _first_elements(settings: Settings):
 
 
 def _boundary(lists: DataFrame, settings: Settings) -> int:
-    """Size up to which a set lists fewer subsets than scanning its elements' lists would read."""
+    """Size up to which a set lists fewer subsets than scanning its elements' lists would read.
+
+    A list is read about once, however long it is, as sets that have been reached
+    leave it: a set pays for the mean length of a list, for each of its elements.
+    """
     if settings.boundary is not None:
         return settings.boundary
-    length = lists.groupBy("token").count().agg(F.sum(F.col("count") * F.col("count")) / F.sum("count")).first()[0] or 1.0
+    length = lists.groupBy("token").count().agg(F.avg("count")).first()[0] or 1.0
     return max((n for n in range(1, settings.lightest + 1) if settings.subsets(n) <= n * length), default=0)
 
 
