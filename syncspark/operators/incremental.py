@@ -23,30 +23,42 @@ class Cursor(NamedTuple):
     key: int | None = None
 
 
-def rows_after(
+def is_after(
     log: DataFrame,
     cursor: Cursor,
     time: str = LOG_TIME,
     key: str | None = None,
     overlap: str | None = None,
-) -> DataFrame:
-    """Rows past the cursor; a blank cursor gives the whole log.
+) -> Column:
+    """Whether a row is past the cursor; always, for a blank one.
 
     The stored column itself is compared, so the filter reaches the scan.
     ``overlap``, an interval such as ``10 minutes``, moves the start back to
-    catch rows that committed late; :func:`not_yet_seen` removes the repeats.
+    catch rows that committed late.
     """
     if is_blank(cursor.time):
-        return log
+        return F.lit(True)
     kind = log.schema[time].dataType
     last = F.lit(str(cursor.time).strip()).cast(kind)
     if overlap is not None:
-        return log.filter(F.col(time) >= (last - F.expr(f"INTERVAL {overlap}")).cast(kind))
+        return F.col(time) >= (last - F.expr(f"INTERVAL {overlap}")).cast(kind)
     if key is None or cursor.key is None:
-        return log.filter(F.col(time) > last)
-    return log.filter(
-        (F.col(time) >= last) & ((F.col(time) > last) | (F.col(key) > F.lit(cursor.key)))
-    )
+        return F.col(time) > last
+    return (F.col(time) >= last) & ((F.col(time) > last) | (F.col(key) > F.lit(cursor.key)))
+
+
+def rows_after(
+    log: DataFrame,
+    cursor: Cursor,
+    time: str = LOG_TIME,
+    key: str | None = None,
+    overlap: str | None = None,
+) -> DataFrame:
+    """Rows past the cursor; a blank cursor gives the whole log.
+
+    :func:`not_yet_seen` removes what an ``overlap`` repeats.
+    """
+    return log if is_blank(cursor.time) else log.filter(is_after(log, cursor, time, key, overlap))
 
 
 def not_yet_seen(pulled: DataFrame, seen: DataFrame, identity: Sequence[str]) -> DataFrame:

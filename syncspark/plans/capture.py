@@ -13,7 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from syncspark.operators.incremental import LOG_TIME, Cursor, next_cursor, not_yet_seen, rows_after
+from syncspark.operators.incremental import LOG_TIME, Cursor, is_after, next_cursor, rows_after
+from syncspark.operators.reconcile import compare, missing
 from syncspark.operators.sequence import SEQ, assign_sequence
 from syncspark.streaming.batches import (
     forget_batches,
@@ -24,7 +25,7 @@ from syncspark.streaming.batches import (
     write_values,
 )
 from syncspark.streaming.capture import Publish, Topic, last_number, send_and_resend
-from syncspark.workspace import scratch, stage
+from syncspark.workspace import matching, scratch, stage
 
 STATE = T.StructType(
     [
@@ -45,29 +46,34 @@ def state_after(spark: SparkSession, state_path: str) -> tuple[int, Cursor, int]
     return done, Cursor(row["cursor"] or None, row["cursor_key"]), row["last_seq"]
 
 
-def _identities(log: DataFrame, key: str, time: str) -> T.StructType:
-    return T.StructType([log.schema[time], log.schema[key]])
+def _pulled(log: DataFrame, cursor: Cursor, key: str, time: str, overlap: str | None) -> DataFrame:
+    """Rows past the cursor, or late within ``overlap`` of it, and rows without a time, in one scan.
+
+    Both conditions are on the stored column, so files and row groups without
+    such rows are skipped.
+    """
+    return log.filter(is_after(log, cursor, time, key, overlap) | F.col(time).isNull())
 
 
-def _pulled(log: DataFrame, state_path: str, done: int, cursor: Cursor, key: str, time: str, overlap: str | None) -> DataFrame:
-    """Rows not published before: past the cursor, or late within ``overlap`` of it."""
-    rows = rows_after(log, cursor, time, key, overlap)
+def _not_published(timed: DataFrame, state_path: str, done: int, overlap: str | None) -> DataFrame:
+    """Rows that the rounds before have not published, whole rows compared and copies counted."""
     if overlap is None or done < 0:
-        return rows
-    seen = read_batch(log.sparkSession, f"{state_path}/seen", done, _identities(log, key, time))
-    return not_yet_seen(rows, seen, [time, key])
+        return timed
+    seen = read_batch(timed.sparkSession, f"{state_path}/seen", done, timed.schema)
+    return missing(compare(timed, seen)).select(*timed.columns)
 
 
-def _set_aside_null_times(log: DataFrame, key: str, time: str, folder: str | None) -> None:
-    """Raise for rows without a time, or keep those not yet kept in ``folder``."""
-    spark, nulls = log.sparkSession, log.filter(F.col(time).isNull())
-    if folder is None:
-        if not nulls.isEmpty():
-            raise ValueError(f"the log has rows without {time}; name a folder for them")
+def _set_aside_null_times(nulls: DataFrame, time: str, folder: str | None) -> None:
+    """Raise for rows without a time, or keep those not yet kept in ``folder``, copies counted."""
+    if nulls.isEmpty():
         return
-    spark.createDataFrame([], log.schema).write.mode("append").parquet(folder)
-    held = stage(spark.read.schema(log.schema).parquet(folder).select(key), "held")
-    not_yet_seen(nulls, held, [key]).write.mode("append").parquet(folder)
+    if folder is None:
+        raise ValueError(f"the log has rows without {time}; name a folder for them")
+    spark = nulls.sparkSession
+    held = spark.read.schema(nulls.schema).parquet(folder) if matching(spark, f"{folder}/*") else spark.createDataFrame([], nulls.schema)
+    absent = stage(missing(compare(nulls, held)).select(*nulls.columns), "null-times")
+    if not absent.isEmpty():
+        absent.write.mode("append").parquet(folder)
 
 
 def capture_round(
@@ -85,10 +91,11 @@ def capture_round(
     The job finds the last finished round itself, in ``state_path``. Rows that
     commit with a time of up to ``overlap`` (an interval such as ``10 minutes``)
     before the cursor are still published; without it they are lost, so set it
-    to the longest time a transaction takes. Rows without a time have no place
-    in the log: they fail the round, or are kept once each in the folder
-    ``null_times``. Errors of the source are raised, so no round passes for an
-    empty one.
+    to the longest time a transaction takes. Rows are told apart by all their
+    columns, copies counted, so several changes of one key at one time are all
+    published. Rows without a time have no place in the log: they fail the round, or
+    are kept in the folder ``null_times``, as often as the log holds them.
+    Errors of the source are raised, so no round passes for an empty one.
     """
     spark = log.sparkSession
     done, cursor, last = state_after(spark, state_path)
@@ -96,10 +103,12 @@ def capture_round(
     numbered_schema = T.StructType([*log.schema.fields, T.StructField(SEQ, T.LongType())])
     with scratch(spark):
         if not is_finished(spark, rows_path, number):
-            _set_aside_null_times(log, key, time, null_times)
-            timed = log.filter(F.col(time).isNotNull())
-            pulled = stage(_pulled(timed, state_path, done, cursor, key, time, overlap), "pulled")
-            write_batch(assign_sequence(pulled, [time, key], start=last), rows_path, number)
+            pulled = stage(_pulled(log, cursor, key, time, overlap), "pulled")
+            _set_aside_null_times(pulled.filter(F.col(time).isNull()), time, null_times)
+            timed = pulled.filter(F.col(time).isNotNull())
+            if overlap is not None and done >= 0:
+                timed = stage(_not_published(timed, state_path, done, overlap), "unpublished")
+            write_batch(assign_sequence(timed, [time, key], start=last), rows_path, number)
         numbered = read_batch(spark, rows_path, number, numbered_schema)
         send_and_resend(numbered, number, topic, publish)
         position = next_cursor(numbered, cursor, time, key).first()
@@ -120,10 +129,10 @@ def capture_round(
 def _remember(
     spark: SparkSession, state_path: str, numbered: DataFrame, done: int, number: int, after: Cursor, key: str, time: str, overlap: str
 ) -> None:
-    """Identities of the rows published within ``overlap`` before the cursor."""
-    sent = numbered.select(time, key)
+    """Rows published within ``overlap`` before the cursor."""
+    sent = numbered.drop(SEQ)
     if done >= 0:
-        sent = sent.unionByName(read_batch(spark, f"{state_path}/seen", done, _identities(numbered, key, time)))
+        sent = sent.unionByName(read_batch(spark, f"{state_path}/seen", done, sent.schema))
     write_batch(rows_after(sent, after, time, key, overlap), f"{state_path}/seen", number)
 
 

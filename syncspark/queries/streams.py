@@ -20,7 +20,7 @@ from syncspark.queries.registry import query
 from syncspark.schemas import MESSAGE, USERS
 from syncspark.sources.readers import stream_events, stream_topic
 from syncspark.sources.sinks import file_sink
-from syncspark.streaming.batches import read_batches, start, write_batch
+from syncspark.streaming.batches import append, appended
 from syncspark.streaming.capture import FileTopic, capture
 from syncspark.streaming.counters import count_by_key, current_counts
 from syncspark.streaming.messages import refused, sync_messages, sync_messages_to, synced
@@ -91,24 +91,22 @@ def stream_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out, checkpoint = (new_path(spark, label) for label in ("log", "pulled", "checkpoint"))
 
     def run(number: int) -> None:
-        def handle(batch: DataFrame, batch_id: int) -> None:
-            write_batch(batch.withColumn("run", F.lit(number)), out, batch_id)
-
-        start(_log_stream(spark, sf_dir, path), handle, checkpoint, interval=None).awaitTermination()
+        stream = _log_stream(spark, sf_dir, path).withColumn("run", F.lit(number))
+        append(stream, out, checkpoint, interval=None).awaitTermination()
 
     _log_files(spark, sf_dir, path, until="2024-01-16 00:00:00")
     run(1)
     _log_files(spark, sf_dir, path, since="2024-01-16 00:00:00")
     run(2)
     schema = T.StructType([*change_log(spark, sf_dir).schema.fields, T.StructField("run", T.IntegerType())])
-    pulled = read_batches(spark, out, schema)
+    pulled = appended(spark, out, schema)
     return pulled.select("event_id", "state", format_micros(F.col("log_timestamp")).alias("log_timestamp"), "run")
 
 
 def _captured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Topic after a capture whose first send loses every error."""
     path = new_path(spark, "log")
-    topic = FileTopic(spark, new_path(spark, "topic"))
+    topic = FileTopic(new_path(spark, "topic"))
     _log_files(spark, sf_dir, path)
 
     def lossy(messages: DataFrame, batch_id: int) -> None:
@@ -152,11 +150,11 @@ def stream_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, out = new_path(spark, "log"), new_path(spark, "counts")
+    path, checkpoint = new_path(spark, "log"), new_path(spark, "checkpoint")
     _log_files(spark, sf_dir, path)
     stream = _log_stream(spark, sf_dir, path, max_files=2)
-    count_by_key(stream, ["user_id"], out, new_path(spark, "checkpoint"), interval=None).awaitTermination()
-    return current_counts(spark, out, T.StructType([T.StructField("user_id", T.LongType(), True)]))
+    count_by_key(stream, ["user_id"], checkpoint, interval=None).awaitTermination()
+    return current_counts(spark, checkpoint)
 
 
 def _published(topic: FileTopic, spark: SparkSession) -> DataFrame:
@@ -177,7 +175,7 @@ _IN_ORDER = f"""WITH {CHANGE_LOG_SQL}
 @query(_IN_ORDER)
 def capture_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rounds over a log table that grows in between; clicks get lost at first."""
-    topic, state = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state")
+    topic, state = FileTopic(new_path(spark, "topic")), new_path(spark, "state")
     log = change_log(spark, sf_dir)
 
     def lossy(messages: DataFrame, batch_id: int) -> None:
@@ -199,7 +197,7 @@ def capture_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def capture_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signups of half a day commit after the round that went past their time."""
-    topic, state = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state")
+    topic, state = FileTopic(new_path(spark, "topic")), new_path(spark, "state")
     log = change_log(spark, sf_dir)
     late = (F.col("state") == "signup") & (F.col("log_timestamp") >= F.lit("2024-01-15 12:00:00").cast("timestamp_ntz"))
     capture_round(_until(log, _MIDDLE).filter(~late), topic, state, key="event_id", overlap="1 day")
@@ -216,7 +214,7 @@ def capture_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def capture_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A round that fails after its send is run again over a grown log, with the same numbers."""
-    topic, state = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state")
+    topic, state = FileTopic(new_path(spark, "topic")), new_path(spark, "state")
     log = change_log(spark, sf_dir)
 
     def failing(messages: DataFrame, batch_id: int) -> None:
@@ -240,7 +238,7 @@ def capture_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def capture_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors have no time: two rounds keep each of them once beside the published rows."""
-    topic, state, aside = FileTopic(spark, new_path(spark, "topic")), new_path(spark, "state"), new_path(spark, "null-times")
+    topic, state, aside = FileTopic(new_path(spark, "topic")), new_path(spark, "state"), new_path(spark, "null-times")
     log = change_log(spark, sf_dir)
     log = log.withColumn("log_timestamp", F.when(F.col("state") != "error", F.col("log_timestamp")))
     for _ in range(2):
@@ -250,12 +248,42 @@ def capture_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _published(topic, spark).union(kept)
 
 
+# The log as it is published: no number of its own, and times so coarse that users change
+# several times at one time; errors have none, and those of every third user no key either.
+_BY_USER_SQL = f"""WITH {CHANGE_LOG_SQL},
+    by_user AS (SELECT CASE WHEN state = 'error' AND user_id % 3 = 0 THEN NULL ELSE user_id END AS user_id, state,
+                       CASE WHEN state <> 'error' THEN date_trunc('hour', log_timestamp) END AS hour
+                FROM change_log)
+    SELECT user_id, state, strftime(hour, '%Y-%m-%d %H:%M:%S.%f') AS log_timestamp, count(*) AS n FROM by_user GROUP BY 1, 2, 3"""
+
+
+@query(_BY_USER_SQL)
+def capture_same_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds over a log without row numbers: changes at one time, copies and rows without a time all come once."""
+    topic, state, aside = FileTopic(new_path(spark, "topic")), new_path(spark, "state"), new_path(spark, "null-times")
+    events = change_log(spark, sf_dir)
+    error = F.col("state") == "error"
+    user = F.when(~(error & (F.col("user_id") % 3 == 0)), F.col("user_id"))
+    at = F.when(~error, F.date_trunc("hour", "log_timestamp").cast("timestamp_ntz"))
+    whole = events.select(user.alias("user_id"), "state", at.alias("log_timestamp"), "event_id")
+    log = whole.drop("event_id")
+    # What the first round finds: the first half, less the rows that commit later.
+    middle = F.lit(_MIDDLE).cast("timestamp_ntz")
+    early = F.coalesce(F.col("log_timestamp") < middle, F.lit(True)) & (F.col("event_id") % 7 != 0)
+    capture_round(whole.filter(early).drop("event_id"), topic, state, key="user_id", overlap="40 days", null_times=aside)
+    for _ in range(2):
+        capture_round(log, topic, state, key="user_id", overlap="40 days", null_times=aside)
+    kinds = "user_id bigint, state string, log_timestamp string"
+    sent = topic.read(spark).select(F.from_json("value", kinds).alias("m")).select("m.*")
+    kept = spark.read.schema(log.schema).parquet(aside).withColumn("log_timestamp", format_micros(F.col("log_timestamp")))
+    return sent.union(kept).groupBy("user_id", "state", "log_timestamp").agg(F.count("*").alias("n"))
+
+
 @query(f"WITH {EVENT_USERS_SQL} SELECT * FROM event_users")
 def stream_json_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON scan as a stream: same schema, same projection."""
     path, out = new_path(spark, "events-json"), new_path(spark, "users")
     raw_events(spark, sf_dir).repartition(3, "repo.id").write.json(path)
     users = users_of(stream_events(spark, path, max_files=1))
-    start(users, lambda batch, batch_id: write_batch(batch, out, batch_id), new_path(spark, "checkpoint"),
-          interval=None).awaitTermination()
-    return read_batches(spark, out, USERS).select(*USERS.names)
+    append(users, out, new_path(spark, "checkpoint"), interval=None).awaitTermination()
+    return appended(spark, out, USERS)

@@ -1,142 +1,56 @@
-"""Output folders per micro-batch.
+"""Streams with durable progress, and what their micro-batches write.
 
-Every attempt at a batch writes a folder of its own, and readers take the last
-finished one, so rows are neither lost nor doubled, whatever the format can or
-cannot commit, and a replay never changes files that are being read.
+Appending streams go to Spark's own file sink, whose log says which files count.
+A batch that has to be handled by a function of its own replaces its partition,
+so a replayed batch ends with its rows once.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from syncspark.schemas import TRIGGER_INTERVAL
 from syncspark.workspace import delete, matching
 
 BATCH = "batch_id"
-_ATTEMPT = "attempt"
 _DONE = "_SUCCESS"
 
 
-def _finished(spark: SparkSession, path: str, batch: str = "*") -> dict[int, str]:
-    """Folder of the last finished attempt of each batch."""
-    found: dict[int, tuple[int, str]] = {}
-    for file, changed in matching(spark, f"{path}/{BATCH}={batch}/{_ATTEMPT}=*/{_DONE}"):
-        folder = file.removesuffix(f"/{_DONE}")
-        number = int(folder.rsplit(f"{BATCH}=", 1)[1].split("/")[0])
-        found[number] = max(found.get(number, (0, "")), (changed, folder))
-    return {number: folder for number, (_, folder) in found.items()}
+def _numbers(spark: SparkSession, path: str, file: str = "") -> list[int]:
+    found = matching(spark, f"{path}/{BATCH}=*{file}")
+    return [int(p.rsplit(f"{BATCH}=", 1)[1].split("/")[0]) for p, _ in found]
 
 
-def _merged(spark: SparkSession, path: str) -> dict[tuple[int, int], str]:
-    """Finished merged tables by the batches they hold, without those that a larger one replaces."""
-    found = {}
-    for file, _ in matching(spark, f"{path}/merged/from=*/upto=*/{_DONE}"):
-        folder = file.removesuffix(f"/{_DONE}")
-        first, last = (int(folder.rsplit(f"{name}=", 1)[1].split("/")[0]) for name in ("from", "upto"))
-        found[first, last] = folder
-    return {
-        r: folder
-        for r, folder in found.items()
-        if not any(o != r and o[0] <= r[0] and r[1] <= o[1] for o in found)
-    }
-
-
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    spark = df.sparkSession
-    earlier = [folder for folder, _ in matching(spark, f"{path}/{BATCH}={batch_id}/{_ATTEMPT}=*")]
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(f"{path}/{BATCH}={batch_id}/{_ATTEMPT}={uuid.uuid4().hex}")
-    for folder in earlier:
-        delete(spark, folder)
-
-
-def _read(spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType) -> DataFrame:
-    names = T.StructType([*schema.fields, T.StructField(_ATTEMPT, T.StringType(), True)])
-    return spark.read.schema(names).option("basePath", path).parquet(*folders).drop(_ATTEMPT)
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch as its partition, in place of what an earlier attempt left there."""
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All finished batches, with the number of the batch as last column."""
+    """All batches, with the number of the batch as last column."""
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType(), True)])
-    merged = _merged(spark, path)
-    after = max((last for _, last in merged), default=-1)
-    single = [folder for number, folder in sorted(_finished(spark, path).items()) if number > after]
-    frames = [spark.read.schema(full).parquet(folder) for folder in merged.values()]
-    if single:
-        frames.append(_read(spark, path, single, full))
-    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], full)
-
-
-def number_of_folders(spark: SparkSession, path: str) -> int:
-    """Folders that :func:`read_batches` reads now."""
-    merged = _merged(spark, path)
-    after = max((last for _, last in merged), default=-1)
-    return len(merged) + sum(number > after for number in _finished(spark, path))
-
-
-def merge_batches(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    partition_by: Sequence[str] = (),
-    replace: Callable[[DataFrame], DataFrame] | None = None,
-) -> None:
-    """Write the finished batches since the last merge as one table.
-
-    With ``replace`` the whole history is reduced by it and replaces the earlier
-    merged tables. What was merged the time before is deleted now, so a reader
-    that has just listed it can still finish.
-    """
-    merged = _merged(spark, path)
-    after = max((last for _, last in merged), default=-1)
-    numbers = sorted(n for n in _finished(spark, path) if n > after)
-    if not numbers:
-        return
-    rows = read_batches(spark, path, schema)
-    rows = rows.filter(F.col(BATCH) > after) if replace is None else replace(rows)
-    first = after + 1 if replace is None else 0
-    writer = rows.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(f"{path}/merged/from={first}/upto={numbers[-1]}")
-    for number in _numbers(spark, path):
-        if number <= after:
-            delete(spark, f"{path}/{BATCH}={number}")
-    if replace is not None:
-        for folder, _ in matching(spark, f"{path}/merged/from=*/upto=*"):
-            if int(folder.rsplit("upto=", 1)[1]) < after:
-                delete(spark, folder)
-
-
-def _numbers(spark: SparkSession, path: str) -> list[int]:
-    return [int(folder.rsplit(f"{BATCH}=", 1)[1]) for folder, _ in matching(spark, f"{path}/{BATCH}=*")]
-
-
-def create_folder(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Check that a folder of batches can be read; without batches it is empty."""
-    read_batches(spark, path, schema)
+    if not matching(spark, f"{path}/{BATCH}=*"):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: int, schema: T.StructType) -> DataFrame:
     """One finished batch, without listing the folders of the others."""
-    folder = _finished(spark, path, str(batch_id)).get(batch_id)
-    if folder is None:
+    if not is_finished(spark, path, batch_id):
         raise ValueError(f"no finished batch {batch_id} in {path}")
-    return spark.read.schema(schema).parquet(folder)
+    return spark.read.schema(schema).parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def is_finished(spark: SparkSession, path: str, batch_id: int) -> bool:
-    return bool(_finished(spark, path, str(batch_id)))
+    return bool(matching(spark, f"{path}/{BATCH}={batch_id}/{_DONE}"))
 
 
 def last_batch(spark: SparkSession, path: str) -> int | None:
     """Number of the last finished batch."""
-    return max(_finished(spark, path), default=None)
+    return max(_numbers(spark, path, f"/{_DONE}"), default=None)
 
 
 def forget_batches(spark: SparkSession, path: str, before: int) -> None:
@@ -152,6 +66,11 @@ def write_values(spark: SparkSession, path: str, batch_id: int, **values: object
     write_batch(row, path, batch_id)
 
 
+def _started(writer: DataStreamWriter, checkpoint: str, interval: str | None) -> StreamingQuery:
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def start(
     stream: DataFrame,
     handle: Callable[[DataFrame, int], None],
@@ -163,8 +82,27 @@ def start(
 
     Without an interval the stream takes what is there now and stops.
     """
-    writer = (
-        stream.writeStream.foreachBatch(handle).outputMode(output_mode).option("checkpointLocation", checkpoint)
-    )
-    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    return _started(stream.writeStream.foreachBatch(handle).outputMode(output_mode), checkpoint, interval)
+
+
+def append(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    partition_by: Sequence[str] = (),
+    interval: str | None = TRIGGER_INTERVAL,
+) -> StreamingQuery:
+    """Append a stream to a folder through Spark's file sink.
+
+    The sink notes the files of each finished batch and compacts its notes, so
+    readers see every batch once and whole, also after a batch that was killed.
+    """
+    writer = stream.writeStream.format("parquet").option("path", path).outputMode("append")
+    return _started(writer.partitionBy(*partition_by) if partition_by else writer, checkpoint, interval)
+
+
+def appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What :func:`append` has finished; empty before its first batch."""
+    if not matching(spark, f"{path}/_spark_metadata/*"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)

@@ -7,6 +7,7 @@ each message, so sender and receiver cannot drift apart.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from typing import Protocol
 
@@ -18,8 +19,8 @@ from syncspark.operators.sequence import SEQ, assign_sequence, missing_by_number
 from syncspark.schemas import TRIGGER_INTERVAL
 from syncspark.sources.readers import read_topic
 from syncspark.streaming.batches import (
-    create_folder,
     forget_batches,
+    last_batch,
     read_batch,
     read_batches,
     start,
@@ -48,16 +49,33 @@ class Topic(Protocol):
         """Column ``value`` of what the first send of a batch left in the topic."""
 
 
+_OFFSETS = T.StructType([T.StructField("offsets", T.StringType(), True)])
+
+
+def offsets_after(records: DataFrame, known: str | None = None) -> str:
+    """Position behind the records of a topic, as the queue's ``startingOffsets``; partitions without records keep the known one.
+
+    One row per partition of the topic goes to the driver.
+    """
+    out = json.loads(known) if known else {}
+    ends = records.groupBy("topic", "partition").agg(F.max("offset").alias("last"))
+    for row in ends.toLocalIterator():
+        out.setdefault(row["topic"], {})[str(row["partition"])] = row["last"] + 1
+    return json.dumps(out, sort_keys=True)
+
+
 class SourceTopic:
     """A topic behind one of Spark's own formats, such as a message queue.
 
     Messages carry their batch as ``key``, resent ones with a suffix, so the
-    records of one batch are found among all. ``read`` are the options of a
-    bounded read.
+    records of one batch are found among others. ``read`` are the options of a
+    bounded read. With ``positions``, a folder, each batch notes where the topic
+    ended for it, and the next one reads from there instead of from the beginning;
+    a replayed batch reads from where its first attempt did.
     """
 
-    def __init__(self, source: str, write: Mapping[str, str], read: Mapping[str, str]):
-        self.source, self.write, self.read = source, dict(write), dict(read)
+    def __init__(self, source: str, write: Mapping[str, str], read: Mapping[str, str], positions: str | None = None):
+        self.source, self.write, self.read, self.positions = source, dict(write), dict(read), positions
 
     def _send(self, messages: DataFrame, key: str) -> None:
         keyed = messages.select(F.lit(key).alias("key"), "value")
@@ -69,19 +87,32 @@ class SourceTopic:
     def publish_again(self, messages: DataFrame, batch_id: int) -> None:
         self._send(messages, f"{batch_id}-again")
 
+    def _begin(self, spark: SparkSession, batch_id: int) -> str | None:
+        """Where the last finished batch before this one ended."""
+        last = last_batch(spark, self.positions) if self.positions else None
+        if last is not None and last >= batch_id:
+            last = batch_id - 1
+        if last is None or last < 0:
+            return None
+        return read_batch(spark, self.positions, last, _OFFSETS).first()["offsets"]
+
     def arrived(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        records = read_topic(spark, self.read, self.source)
+        begin = self._begin(spark, batch_id)
+        options = {**self.read, **({"startingOffsets": begin} if begin else {})}
+        records = read_topic(spark, options, self.source)
+        if self.positions:
+            write_values(spark, self.positions, batch_id, offsets=offsets_after(records, begin))
+            # A replay needs the position of the batch before.
+            forget_batches(spark, self.positions, batch_id - 1)
         return records.filter(F.col("key").cast("string") == str(batch_id)).select(F.col("value").cast("string").alias("value"))
 
 
 class FileTopic:
-    """A folder used as a topic, with one sub-folder per batch and attempt."""
+    """A folder used as a topic, with one partition per batch; for tests and small installations."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, path: str):
         self.sent = f"{path}/sent"
         self.resent = f"{path}/resent"
-        for folder in (self.sent, self.resent):
-            create_folder(spark, folder, TOPIC)
 
     def publish(self, messages: DataFrame, batch_id: int) -> None:
         write_batch(messages.select("value"), self.sent, batch_id)
@@ -97,7 +128,7 @@ class FileTopic:
         return read_batch(spark, self.sent, batch_id, TOPIC)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return read_batches(spark, self.sent, TOPIC).union(read_batches(spark, self.resent, TOPIC))
+        return read_batches(spark, self.sent, TOPIC).union(read_batches(spark, self.resent, TOPIC)).select("value")
 
 
 def numbers_of(topic: DataFrame) -> DataFrame:
@@ -147,14 +178,14 @@ def capture(
     """Publish a change-log stream and resend what does not arrive.
 
     ``publish`` replaces the first send. Progress of earlier batches than the
-    last two is deleted.
+    last two is deleted. The batch is staged first, so its source is read once.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         done = _last_number(spark, progress_path, batch_id)
         with scratch(spark):
-            numbered = stage(assign_sequence(batch, order, start=done), "numbered")
+            numbered = stage(assign_sequence(stage(batch, "batch"), order, start=done), "numbered")
             send_and_resend(numbered, batch_id, topic, publish)
             last = last_number(numbered, done)
         write_values(spark, progress_path, batch_id, last_seq=F.lit(last).cast("long"))

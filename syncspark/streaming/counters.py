@@ -4,43 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from syncspark.operators.sequence import latest_per_key
 from syncspark.schemas import TRIGGER_INTERVAL
-from syncspark.streaming.batches import BATCH, merge_batches, read_batches, start, write_batch
 
 
 def count_by_key(
-    stream: DataFrame,
-    keys: Sequence[str],
-    path: str,
-    checkpoint: str,
-    interval: str | None = TRIGGER_INTERVAL,
-    merge_every: int = 100,
+    stream: DataFrame, keys: Sequence[str], checkpoint: str, interval: str | None = TRIGGER_INTERVAL
 ) -> StreamingQuery:
-    """Write the new count of every key that a batch has changed.
+    """Count the rows of every key of a stream.
 
     The count is a built-in streaming aggregate: rows of a hot key are summed
-    per task before the shuffle, and state holds one row per key. After each
-    ``merge_every`` batches the last counts of all keys replace the updates, so
-    :func:`current_counts` reads a bounded number of folders.
+    per task before the shuffle, and state holds one row per key. Nothing else
+    is written: :func:`current_counts` reads the state itself.
     """
     counts = stream.groupBy(*keys).agg(F.count("*").alias("n"))
-    kinds = T.StructType([f for f in counts.schema.fields])
+    writer = counts.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return writer.trigger(**trigger).start()
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id)
-        if batch_id % merge_every == merge_every - 1:
-            last = lambda rows: latest_per_key(rows, list(keys), [BATCH])
-            merge_batches(batch.sparkSession, path, kinds, replace=last)
 
-    return start(counts, handle, checkpoint, interval, output_mode="update")
-
-
-def current_counts(spark: SparkSession, path: str, key_schema: T.StructType) -> DataFrame:
-    """The last count written for each key."""
-    schema = T.StructType([*key_schema.fields, T.StructField("n", T.LongType(), True)])
-    updates = read_batches(spark, path, schema)
-    return latest_per_key(updates, key_schema.names, [BATCH]).drop(BATCH)
+def current_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Keys and counts as of the last finished batch, read in parallel from the partitions of the state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    count = state.schema["value"].dataType.names[0]
+    return state.select("key.*", F.col(f"value.{count}").alias("n"))

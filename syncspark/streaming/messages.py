@@ -13,7 +13,7 @@ from syncspark.operators.reconcile import compare, missing
 from syncspark.operators.project import tag
 from syncspark.schemas import MESSAGE, MESSAGE_REQUIRED, TRIGGER_INTERVAL
 from syncspark.sources.sinks import Sink
-from syncspark.streaming.batches import BATCH, merge_batches, read_batches, start, write_batch
+from syncspark.streaming.batches import append, appended, start
 from syncspark.workspace import delete, mark, matching, scratch, stage
 
 ACCEPTED = "accepted"
@@ -35,22 +35,14 @@ def sync_messages(
     required: Sequence[str] = MESSAGE_REQUIRED,
     lenient: bool = False,
     interval: str | None = TRIGGER_INTERVAL,
-    merge_every: int = 1000,
 ) -> StreamingQuery:
     """Parse a message stream and append it to a folder.
 
     Each message is parsed once; accepted and refused ones go to different
-    folders of the same write, so readers of either skip the other's files.
-    After each ``merge_every`` batches their small files become one table.
+    partitions of the same write, so readers of either skip the other's files.
     """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode(batch, schema, required, lenient=lenient)
-        write_batch(_with_refused(decoded), path, batch_id, partition_by=(ACCEPTED,))
-        if batch_id % merge_every == merge_every - 1:
-            merge_batches(batch.sparkSession, path, _kept(schema), partition_by=(ACCEPTED,))
-
-    return start(raw, handle, checkpoint, interval)
+    decoded = decode(raw, schema, required, lenient=lenient)
+    return append(_with_refused(decoded), path, checkpoint, (ACCEPTED,), interval)
 
 
 def _kept(schema: T.StructType) -> T.StructType:
@@ -65,11 +57,11 @@ def _kept(schema: T.StructType) -> T.StructType:
 
 
 def synced(spark: SparkSession, path: str, schema: T.StructType = MESSAGE) -> DataFrame:
-    return read_batches(spark, path, _kept(schema)).filter(ACCEPTED).select(*schema.names)
+    return appended(spark, path, _kept(schema)).filter(ACCEPTED).select(*schema.names)
 
 
 def refused(spark: SparkSession, path: str, schema: T.StructType = MESSAGE) -> DataFrame:
-    return read_batches(spark, path, _kept(schema)).filter(~F.col(ACCEPTED)).select("value", "reason", BATCH)
+    return appended(spark, path, _kept(schema)).filter(~F.col(ACCEPTED)).select("value", "reason")
 
 
 def deliver_once(marked: DataFrame, sink: Sink, run_id: str, ledger: str | None = None) -> None:

@@ -1,14 +1,18 @@
+import json
+from datetime import datetime
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F, types as T
 
 from syncspark.functions import accepted, decode, encode, quarantined
 from syncspark.operators.incremental import Cursor
 from syncspark.operators.project import MARKER, tag
-from syncspark.plans.capture import capture_loop, capture_round, state_after
+from syncspark.plans.capture import _pulled, capture_loop, capture_round, state_after
 from syncspark.schemas import MESSAGE
 from syncspark.sources.readers import read_topic, stream_topic
 from syncspark.sources.sinks import file_sink, publish
-from syncspark.streaming.batches import create_folder, number_of_folders, read_batch, read_batches, start, write_batch
+from syncspark.streaming.batches import append, appended, read_batch, read_batches, start, write_batch
 from syncspark.streaming.capture import FileTopic, SourceTopic, capture, numbers_of, resend_missing
 from syncspark.streaming.counters import count_by_key, current_counts
 from syncspark.streaming.messages import deliver_once, refused, sync_messages, sync_messages_to, synced
@@ -46,7 +50,7 @@ def test_stream_equals_batch_and_restarts_without_loss_or_repeat(spark, rows, di
         query.awaitTermination()
         batch = decode(read_topic(spark, {"path": dirs("topic")}, "parquet"))
         assert rows(synced(spark, dirs("out"))) == rows(accepted(batch))
-        assert rows(refused(spark, dirs("out")).drop("batch_id")) == rows(quarantined(batch))
+        assert rows(refused(spark, dirs("out"))) == rows(quarantined(batch))
 
 
 def test_stream_to_sinks(spark, rows, dirs):
@@ -72,7 +76,6 @@ def test_replay_after_half_written_sink_completes_it(spark, rows, dirs):
 
 def test_replayed_batch_overwrites_its_own_folder(spark, dirs):
     schema = T.StructType([T.StructField("id", T.LongType())])
-    create_folder(spark, dirs("out"), schema)
     assert read_batches(spark, dirs("out"), schema).count() == 0
     for batch_id, n in ((0, 3), (1, 5), (1, 4)):
         write_batch(spark.range(n), dirs("out"), batch_id)
@@ -97,7 +100,7 @@ def _log(spark, path, first, last):
 
 
 def test_capture_numbers_on_and_resends_across_restarts(spark, dirs):
-    topic = FileTopic(spark, dirs("topic"))
+    topic = FileTopic(dirs("topic"))
 
     def lossy(messages, batch_id):
         topic.publish(messages.filter(F.get_json_object("value", "$.state") != "DELETE"), batch_id)
@@ -114,7 +117,7 @@ def test_capture_numbers_on_and_resends_across_restarts(spark, dirs):
 
 
 def test_failed_batch_is_replayed_with_the_same_numbers(spark, dirs):
-    topic = FileTopic(spark, dirs("topic"))
+    topic = FileTopic(dirs("topic"))
     attempts = []
 
     def failing_once(messages, batch_id):
@@ -145,7 +148,7 @@ def _numbers(spark, topic):
 
 
 def test_rounds_over_a_log_table(spark, dirs):
-    topic = FileTopic(spark, dirs("topic"))
+    topic = FileTopic(dirs("topic"))
 
     def lossy(messages, batch_id):
         topic.publish(messages.filter(F.get_json_object("value", "$.state") != "DELETE"), batch_id)
@@ -166,7 +169,7 @@ def test_rounds_over_a_log_table(spark, dirs):
 
 
 def test_failed_round_keeps_its_rows_and_numbers(spark, dirs):
-    topic = FileTopic(spark, dirs("topic"))
+    topic = FileTopic(dirs("topic"))
 
     def failing(messages, batch_id):
         topic.publish(messages, batch_id)
@@ -186,7 +189,7 @@ def test_failed_round_keeps_its_rows_and_numbers(spark, dirs):
 
 
 def test_late_rows_within_the_overlap(spark, dirs):
-    topic = FileTopic(spark, dirs("topic"))
+    topic = FileTopic(dirs("topic"))
     for first, last in ((100, 200), (90, 100), (200, 210), (150, 150)):
         if first < last:
             _log(spark, dirs("log"), first, last)
@@ -196,7 +199,7 @@ def test_late_rows_within_the_overlap(spark, dirs):
 
 
 def test_rows_without_a_time_fail_the_round_or_are_kept(spark, dirs):
-    topic = FileTopic(spark, dirs("topic"))
+    topic = FileTopic(dirs("topic"))
     log = spark.range(10).select("id", F.lit("UPDATE").alias("state"), F.when(F.col("id") % 3 > 0, F.timestamp_seconds("id")).alias("log_timestamp"))
     with pytest.raises(ValueError, match="log_timestamp"):
         capture_round(log, topic, dirs("state"), "id")
@@ -207,7 +210,7 @@ def test_rows_without_a_time_fail_the_round_or_are_kept(spark, dirs):
 
 
 def test_loop_goes_on_after_a_restart(spark, dirs):
-    topic, seen = FileTopic(spark, dirs("topic")), []
+    topic, seen = FileTopic(dirs("topic")), []
 
     def read_log(spark):
         _log(spark, dirs("log"), 4 * len(seen), 4 * len(seen) + 4)
@@ -239,36 +242,91 @@ def test_a_topic_behind_a_format_of_spark(spark, dirs):
     assert sorted(map(tuple, found.collect())) == [(i, i + 1) for i in range(20)]
 
 
-def test_many_batches_are_read_from_few_folders(spark, rows, dirs):
-    schema = T.StructType([T.StructField("k", T.LongType())])
-    for n in range(13):
-        spark.range(n + 1).selectExpr("id AS k").coalesce(1).write.mode("append").parquet(dirs("in"))
-    count_by_key(_stream(spark, dirs("in"), schema), ["k"], dirs("out"), dirs("check"), None, merge_every=4).awaitTermination()
-    assert dict(rows(current_counts(spark, dirs("out"), schema))) == {k: 13 - k for k in range(13)}
-    assert number_of_folders(spark, dirs("out")) == 2
-
-
-def test_merged_messages_are_the_same(spark, rows, dirs):
-    for n in range(5):
-        _texts(spark, dirs("topic"), [t.replace("1", str(n)) for t in TEXTS])
-    sync_messages(_stream(spark, dirs("topic")), dirs("out"), dirs("check"), interval=None, merge_every=2).awaitTermination()
-    batch = decode(read_topic(spark, {"path": dirs("topic")}, "parquet"))
-    assert rows(synced(spark, dirs("out"))) == rows(accepted(batch))
-    assert rows(refused(spark, dirs("out")).drop("batch_id")) == rows(quarantined(batch))
-    assert number_of_folders(spark, dirs("out")) == 3
-
-
-def test_replay_leaves_the_files_of_readers_until_it_is_done(spark, dirs):
+def test_a_killed_batch_is_neither_lost_nor_doubled(spark, rows, dirs):
+    """Files of a batch that was not finished do not count, and its replay brings its rows once."""
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    run = lambda: append(_stream(spark, dirs("in"), schema), dirs("out"), dirs("check"), interval=None).awaitTermination()
+    assert appended(spark, dirs("out"), schema).count() == 0
+    for n in (3, 4):
+        spark.range(n).coalesce(1).write.mode("append").parquet(dirs("in"))
+    run()
+    expected = sorted([(i,) for i in range(3)] + [(i,) for i in range(4)])
+    assert rows(appended(spark, dirs("out"), schema)) == expected
+    # Killed after the files of the last batch were written, and after the sink had noted them.
+    for notes in (("check/commits/1",), ("check/commits/1", "out/_spark_metadata/1")):
+        for note in notes:
+            folder, name = dirs(note).rsplit("/", 1)
+            for file in (f"{folder}/{name}", f"{folder}/.{name}.crc"):
+                Path(file).unlink(missing_ok=True)
+        run()
+        assert rows(appended(spark, dirs("out"), schema)) == expected
+
+
+def test_a_replayed_batch_that_fails_is_written_by_the_next_replay(spark, dirs):
     schema = T.StructType([T.StructField("id", T.LongType())])
     write_batch(spark.range(3), dirs("out"), 0)
     failing = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("no")).cast("long")).alias("id"))
     with pytest.raises(Exception, match="no"):
         write_batch(failing, dirs("out"), 0)
-    assert read_batches(spark, dirs("out"), schema).count() == 3
+    with pytest.raises(ValueError, match="no finished batch 0"):
+        read_batch(spark, dirs("out"), 0, schema)
     write_batch(spark.range(2), dirs("out"), 0)
     assert read_batches(spark, dirs("out"), schema).count() == 2
 
 
+def _records(spark, path, rows):
+    kinds = "key string, value string, topic string, partition int, offset long"
+    spark.createDataFrame(rows, kinds).coalesce(1).write.mode("append").json(path)
+
+
+def test_a_batch_reads_its_own_range_of_a_topic(spark, dirs, monkeypatch):
+    """Each batch asks for the records behind those of the batch before, a replay for the same again."""
+    topic = SourceTopic("json", {}, {"path": dirs("topic"), "subscribe": "t"}, dirs("positions"))
+    asked = []
+
+    def read(spark, options, source):
+        asked.append(options.get("startingOffsets"))
+        begin = json.loads(options.get("startingOffsets", "{}")).get("t", {})
+        records = spark.read.schema("key string, value string, topic string, partition int, offset long").json(options["path"])
+        for partition, offset in begin.items():
+            records = records.filter((F.col("partition") != int(partition)) | (F.col("offset") >= offset))
+        return records
+
+    monkeypatch.setattr("syncspark.streaming.capture.read_topic", read)
+    _records(spark, dirs("topic"), [("0", "a", "t", 0, 5), ("0", "b", "t", 1, 8)])
+    assert sorted(r.value for r in topic.arrived(spark, 0).collect()) == ["a", "b"]
+    _records(spark, dirs("topic"), [("0-again", "c", "t", 0, 6), ("1", "d", "t", 0, 7)])
+    for _ in range(2):
+        assert [r.value for r in topic.arrived(spark, 1).collect()] == ["d"]
+    assert topic.arrived(spark, 2).collect() == []
+    ends = ['{"t": {"0": 6, "1": 9}}', '{"t": {"0": 8, "1": 9}}']
+    assert asked == [None, ends[0], ends[0], ends[1]]
+
+
+def test_same_times_and_copies_are_published_once_each(spark, rows, dirs):
+    """The log has no key of its own: late changes of one user at one time, copies, and rows without time or key."""
+    kinds = "user_id long, state string, log_timestamp timestamp"
+    time = datetime(2024, 1, 1, 12)
+    first = [(1, "a", time), (1, "a", time), (1, None, None), (None, "x", None)]
+    later = [(1, "b", time), (1, "a", time), (1, "y", None), (None, "x", None), (2, "c", time)]
+    topic = FileTopic(dirs("topic"))
+    for held in (first, first + later, first + later):
+        log = spark.createDataFrame(held, kinds).coalesce(1)
+        capture_round(log, topic, dirs("state"), "user_id", overlap="1 hour", null_times=dirs("aside"))
+    found = topic.read(spark).select(F.from_json("value", "user_id long, state string, seq long").alias("m")).select("m.*")
+    assert rows(found.drop("seq")) == sorted([(i, s) for i, s, t in first + later if t], key=repr)
+    assert sorted(r.seq for r in found.collect()) == [1, 2, 3, 4, 5]
+    assert rows(spark.read.parquet(dirs("aside"))) == sorted([r for r in first + later if not r[2]], key=repr)
+
+
+def test_rows_without_a_time_are_looked_for_by_the_scan_itself(spark, dirs):
+    log = spark.range(50).select("id", F.timestamp_seconds("id").alias("log_timestamp"))
+    log.write.parquet(dirs("log"))
+    pulled = _pulled(spark.read.parquet(dirs("log")), Cursor("1970-01-01 00:00:40", 40), "id", "log_timestamp", None)
+    plan = pulled._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "PushedFilters: [Or(And(GreaterThanOrEqual(log_timestamp" in plan
+
+
 def test_only_begun_deliveries_are_read_back(spark, rows, dirs, monkeypatch):
     sink = file_sink("a", dirs("a"), MESSAGE)
     sink.prepare(spark)
@@ -297,10 +355,10 @@ def test_counts_are_kept_across_restarts(spark, rows, dirs):
     expected = {}
     for n in (10, 25):
         spark.range(n).selectExpr("IF(id < 8, 0, id) AS k").coalesce(1).write.mode("append").parquet(dirs("in"))
-        count_by_key(_stream(spark, dirs("in"), schema), ["k"], dirs("out"), dirs("check"), None).awaitTermination()
+        count_by_key(_stream(spark, dirs("in"), schema), ["k"], dirs("check"), None).awaitTermination()
         for i in range(n):
             expected[0 if i < 8 else i] = expected.get(0 if i < 8 else i, 0) + 1
-        assert dict(rows(current_counts(spark, dirs("out"), schema))) == expected
+        assert dict(rows(current_counts(spark, dirs("check")))) == expected
 
 
 def test_publish_to_a_folder(spark, dirs):
