@@ -117,19 +117,13 @@ def summary(compared: DataFrame, sink_name: str = "sink") -> DataFrame:
     return _verdict(compared.agg(*totals, *_shortfall()), sink_name)
 
 
-def summary_of_differences(found: DataFrame, source: DataFrame, sink_name: str = "sink") -> DataFrame:
+def summary_of_differences(found: DataFrame, n_source: int, sink_name: str = "sink") -> DataFrame:
     """The same row from the differences alone and the number of source rows.
 
     The sink holds what was written, less the missing, plus the extra rows, so
-    it need not be counted again.
+    neither side has to be counted by a scan of its own.
     """
-    n_source = source.agg(F.count("*").alias(IN_SOURCE)).select(
-        IN_SOURCE, F.lit(0).cast("long").alias("n_missing"), F.lit(0).cast("long").alias("n_extra")
-    )
-    short = found.agg(*_shortfall()).select(F.lit(0).cast("long").alias(IN_SOURCE), "n_missing", "n_extra")
-    totals = n_source.union(short).agg(
-        *(F.sum(c).alias(c) for c in (IN_SOURCE, "n_missing", "n_extra"))
-    )
+    totals = found.agg(*_shortfall()).withColumn(IN_SOURCE, F.lit(n_source).cast("long"))
     held = F.col(IN_SOURCE) - F.col("n_missing") + F.col("n_extra")
     return _verdict(totals.withColumn(IN_SINK, held), sink_name)
 
@@ -144,10 +138,10 @@ def summaries(source: DataFrame, sinks: dict[str, DataFrame]) -> DataFrame:
 # and their bits stay apart from those of the digest.
 MOST_BUCKETS = 1 << 20
 # A hash is summed in pieces of this many bits: the sums of 2^43 rows fit a long.
-_PIECE_BITS = 20
+PIECE_BITS = 20
 
 
-def _digest(names: Sequence[str], buckets: int) -> tuple[Column, list[Column]]:
+def row_digest(names: Sequence[str], buckets: int) -> tuple[Column, list[Column]]:
     """Bucket of a row, and 100 further bits of two hashes in summable pieces.
 
     Spark's hash skips nulls, so the null positions are hashed with the values;
@@ -155,7 +149,7 @@ def _digest(names: Sequence[str], buckets: int) -> tuple[Column, list[Column]]:
     """
     parts = [part for n in names for part in (F.col(n).isNull(), F.col(n))]
     first, second = F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
-    mask = F.lit((1 << _PIECE_BITS) - 1)
+    mask = F.lit((1 << PIECE_BITS) - 1)
     pieces = [
         F.shiftrightunsigned(bits, shift).bitwiseAND(mask)
         for bits, shift in ((first, 24), (first, 44), (second, 0), (second, 20), (second, 40))
@@ -163,6 +157,15 @@ def _digest(names: Sequence[str], buckets: int) -> tuple[Column, list[Column]]:
     return F.pmod(first, F.lit(buckets)).cast("int"), pieces
 
 
+def same_types(source: DataFrame, sink: DataFrame) -> list[DataFrame]:
+    """Both sides with the columns of the first in types that hold either: the hash of 1 differs between int and long."""
+    common = source.limit(0).union(sink.select(*source.columns).limit(0)).schema
+    return [
+        frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in common.fields))
+        for frame in (source, sink)
+    ]
+
+
 def narrow(source: DataFrame, sink: DataFrame, buckets: int = 1 << 16) -> tuple[DataFrame, DataFrame]:
     """Both sides without the buckets of rows that hold the same multiset.
 
@@ -176,13 +179,8 @@ def narrow(source: DataFrame, sink: DataFrame, buckets: int = 1 << 16) -> tuple[
     if not 0 < buckets <= MOST_BUCKETS:
         raise ValueError(f"buckets must be between 1 and {MOST_BUCKETS}")
     names = source.columns
-    # Types are brought together first: the hash of 1 differs between int and long.
-    common = source.limit(0).union(sink.select(*names).limit(0)).schema
-    bucket, pieces = _digest(names, buckets)
-    sides = [
-        frame.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in common.fields))
-        for frame in (source, sink)
-    ]
+    bucket, pieces = row_digest(names, buckets)
+    sides = same_types(source, sink)
     sums = ["_n", *(f"_h{i}" for i in range(len(pieces)))]
     tagged = [
         side.select(

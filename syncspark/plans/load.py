@@ -19,7 +19,7 @@ from syncspark.operators.reconcile import (
 from syncspark.operators.rules import VIOLATIONS, broken, check, repositories_rules, users_rules, valid
 from syncspark.sources.readers import CORRUPT, read_events
 from syncspark.sources.sinks import Sink, write_all
-from syncspark.workspace import scratch, stage
+from syncspark.workspace import scratch, stage, stage_counted
 
 
 @dataclass(frozen=True)
@@ -41,14 +41,14 @@ def find_differences(written: DataFrame, held: DataFrame, buckets: int | None =
     return stage(differences(compare(*sides)), "differences")
 
 
-def _verified(written: DataFrame, sink: Sink, run_id: str, repair: bool, buckets: int | None) -> Verified:
+def _verified(written: DataFrame, n_written: int, sink: Sink, run_id: str, repair: bool, buckets: int | None) -> Verified:
     held = sink.read_run(written.sparkSession, run_id)
     found = find_differences(written, held, buckets)
     absent = missing(found).select(*written.columns)
     act = repair and not absent.isEmpty()
     if act:
         sink.write(absent, "append")
-    return _settled(Verified(sink.name, summary_of_differences(found, written, sink.name), found, act))
+    return _settled(Verified(sink.name, summary_of_differences(found, n_written, sink.name), found, act))
 
 
 def _settled(outcome: Verified) -> Verified:
@@ -70,7 +70,7 @@ def verify(
     Rows the sink holds beyond those are reported, not removed.
     """
     with scratch(written.sparkSession):
-        return _verified(written, sink, run_id, repair, buckets)
+        return _verified(written, written.count(), sink, run_id, repair, buckets)
 
 
 def verify_all(
@@ -100,19 +100,15 @@ def load(
     staged copy of the rows is deleted at the end; only differences remain.
     """
     with scratch(frame.sparkSession):
-        staged = write_all(tag(frame, run_id), sinks, mode)
-        if staged is None:
-            return []
-        return [_verified(staged, sink, run_id, True, buckets) for sink in sinks]
+        written = write_all(tag(frame, run_id), sinks, mode)
+        return [] if written is None else [_verified(*written, sink, run_id, True, buckets) for sink in sinks]
 
 
 def resume(frame: DataFrame, sinks: Sequence[Sink], run_id: str) -> list[Verified]:
     """Bring every sink to the full rows of a run, whatever it already holds."""
     with scratch(frame.sparkSession):
-        staged = stage(tag(frame, run_id), "resume")
-        if staged.isEmpty():
-            return []
-        return [_verified(staged, sink, run_id, True, None) for sink in sinks]
+        staged, n = stage_counted(tag(frame, run_id), "resume")
+        return [_verified(staged, n, sink, run_id, True, None) for sink in sinks] if n else []
 
 
 def _refused(target: str, checked: DataFrame) -> DataFrame:
@@ -128,27 +124,30 @@ def load_events(
     repository_sinks: Sequence[Sink],
     run_id: str,
     refused: Sink | None = None,
+    again: bool = False,
 ) -> dict[str, list[Verified]]:
-    """JSON events to the Users and the Repositories sinks, each line parsed once.
+    """JSON events to the Users and the Repositories sinks, each line parsed and checked once.
 
     Malformed lines and rows that break the rules of their table go to the sink
     ``refused`` (``target, value, violations``); without one they stop the load
-    before anything is written.
+    before anything is written. A load that failed is called ``again`` under its
+    ``run_id``: every sink then gets only what it does not hold of the run.
     """
+    write = resume if again else load
     with scratch(spark):
         events = stage(read_events(spark, path, keep_malformed=True), "events")
         good = events.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        users = check(users_of(good), users_rules())
-        repositories = check(repositories_of(good), repositories_rules())
+        users = stage(check(users_of(good), users_rules()), "checked-users")
+        repositories = stage(check(repositories_of(good), repositories_rules()), "checked-repositories")
         malformed = events.filter(F.col(CORRUPT).isNotNull()).select(
             F.lit("event").alias("target"), F.col(CORRUPT).alias("value"), F.lit("malformed line").alias("violations")
         )
-        turned_down = stage(malformed.union(_refused("Users", users)).union(_refused("Repositories", repositories)), "refused")
+        turned_down = malformed.union(_refused("Users", users)).union(_refused("Repositories", repositories))
         results = {}
         if refused is not None:
-            results["Refused"] = load(turned_down, [refused], run_id)
+            results["Refused"] = write(turned_down, [refused], run_id)
         elif not turned_down.isEmpty():
             raise ValueError("events were refused: name a sink for them")
-        results["Users"] = load(valid(users), user_sinks, run_id)
-        results["Repositories"] = load(valid(repositories), repository_sinks, run_id)
+        results["Users"] = write(valid(users), user_sinks, run_id)
+        results["Repositories"] = write(valid(repositories), repository_sinks, run_id)
         return {name: [_settled(r) for r in found] for name, found in results.items()}

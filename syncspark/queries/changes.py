@@ -13,6 +13,7 @@ from syncspark.operators.sequence import (
     distinct_numbers,
     latest_per_key,
     latest_rows,
+    missing_by_bitmap,
     missing_by_number,
 )
 from syncspark.operators.snapshot import after_log, before_log, snapshot_diff
@@ -187,6 +188,15 @@ def missing_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing(compare(sent.select("user_id", "state"), received))
 
 
+@query("SELECT l_orderkey * 8 + l_linenumber AS seq FROM lineitem GROUP BY 1 HAVING bool_and(l_partkey % 5 = 0)")
+def missing_by_bitmap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth part's lines got lost, every seventh's arrived twice; compared as sets of numbers."""
+    number = (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq")
+    sent = table(spark, sf_dir, "lineitem").select(number, "l_partkey")
+    arrived = sent.filter(F.col("l_partkey") % 5 != 0)
+    return missing_by_bitmap(sent, arrived.union(sent.filter((F.col("l_partkey") % 7 == 0) & (F.col("l_partkey") % 5 != 0))))
+
+
 @query("SELECT DISTINCT l_orderkey AS seq FROM lineitem")
 def distinct_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_numbers(table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "seq"))

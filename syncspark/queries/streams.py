@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from syncspark.functions.messages import encode
 from syncspark.functions.scalars import format_micros
 from syncspark.operators.project import MARKER, users_of
+from syncspark.operators.sequence import assign_sequence
 from syncspark.plans.capture import capture_round
 from syncspark.queries.inputs import (
     CHANGE_LOG_SQL,
@@ -24,7 +26,8 @@ from syncspark.streaming.batches import append, appended
 from syncspark.streaming.capture import FileTopic, capture
 from syncspark.streaming.counters import count_by_key, current_counts
 from syncspark.streaming.messages import refused, sync_messages, sync_messages_to, synced
-from syncspark.workspace import new_path
+from syncspark.streaming.receiver import lost_ranges, range_state, received_once
+from syncspark.workspace import new_path, stage
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,3 +290,71 @@ def stream_json_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = users_of(stream_events(spark, path, max_files=1))
     append(users, out, new_path(spark, "checkpoint"), interval=None).awaitTermination()
     return appended(spark, out, USERS)
+
+
+# Numbers of four senders, in four deliveries. Errors get lost. Signups of the last half day of a
+# delivery come with the next one, clicks come twice, and a last record moves the time on.
+_BOUNDS = ("2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 00:00:00")
+_SENDERS_SQL = f"""WITH {CHANGE_LOG_SQL},
+    numbered AS (SELECT user_id % 4 AS sender, state, log_timestamp,
+                        row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS seq FROM change_log),
+    greatest AS (SELECT sender, max(seq) AS top FROM numbered WHERE state <> 'error' GROUP BY sender)"""
+
+
+def _sender_files(spark: SparkSession, sf_dir: str, path: str, delivery: int) -> None:
+    order = Window.partitionBy("sender").orderBy("event_id")
+    log = change_log(spark, sf_dir).withColumn("sender", F.col("user_id") % 4).withColumn("seq", F.row_number().over(order).cast("long"))
+    at = F.col("log_timestamp")
+    bounds = [F.lit(b).cast("timestamp_ntz") for b in _BOUNDS]
+    part, late = F.lit(0), F.lit(False)
+    for i, bound in enumerate(bounds):
+        part = F.when(at >= bound, i + 1).otherwise(part)
+        late = late | ((at < bound) & (at >= bound - F.expr("INTERVAL 12 HOURS")))
+    part = part + F.when(late & (F.col("state") == "signup"), 1).otherwise(0)
+    twice = F.when(F.col("state") == "click", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = log.filter((F.col("state") != "error") & (part == delivery)).select("sender", "seq", at.cast("timestamp").alias("log_timestamp"), F.explode(twice).alias("_copy"))
+    rows.drop("_copy").coalesce(1).write.mode("append").parquet(path)
+
+
+@query(
+    f"""{_SENDERS_SQL}
+    SELECT sender, seq FROM numbered JOIN greatest USING (sender) WHERE state = 'error' AND seq < top"""
+)
+def stream_lost_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lost numbers only, over four deliveries and a restart; late and repeated ones are none."""
+    path, out, checkpoint = (new_path(spark, label) for label in ("deliveries", "lost", "checkpoint"))
+    kinds = T.StructType([T.StructField("sender", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("log_timestamp", T.TimestampType())])
+
+    def run() -> None:
+        records = stream_topic(spark, {"path": path, "maxFilesPerTrigger": "1"}, "parquet", kinds)
+        with range_state(spark):
+            append(lost_ranges(records, "sender", "seq", "log_timestamp", "1 day"), out, checkpoint, interval=None).awaitTermination()
+
+    for delivery in range(4):
+        _sender_files(spark, sf_dir, path, delivery)
+        if delivery == 1:
+            run()
+    spark.sql("SELECT -1L AS sender, 1L AS seq, TIMESTAMP '2100-01-01 00:00:00' AS log_timestamp").coalesce(1).write.mode("append").parquet(path)
+    run()
+    ranges = appended(spark, out, T.StructType([kinds["sender"], *(T.StructField(n, T.LongType()) for n in ("first", "last"))]))
+    return ranges.select("sender", F.explode(F.sequence("first", "last")).alias("seq"))
+
+
+@query(
+    f"""WITH {CHANGE_LOG_SQL}
+    SELECT row_number() OVER (ORDER BY change_log.log_timestamp, event_id) AS seq, event_id, state,
+           {_LOGGED} FROM change_log"""
+)
+def stream_received_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic whose first batch was sent again after a failure, and whose clicks were all resent."""
+    path, out = new_path(spark, "topic"), new_path(spark, "received")
+    sent = stage(assign_sequence(change_log(spark, sf_dir), ["log_timestamp", "event_id"]), "sent")
+    first = encode(sent.filter(F.col("log_timestamp") < F.lit(_MIDDLE).cast("timestamp_ntz")))
+    rest = encode(sent.filter(F.col("log_timestamp") >= F.lit(_MIDDLE).cast("timestamp_ntz")))
+    again = encode(sent.filter(F.col("state") == "click"))
+    for messages in (first, first, rest, again):
+        messages.coalesce(1).write.mode("append").parquet(path)
+    kinds = T.StructType.fromDDL("seq bigint, event_id bigint, state string, log_timestamp timestamp")
+    raw = stream_topic(spark, {"path": path, "maxFilesPerTrigger": "1"}, "parquet", T.StructType.fromDDL("value string"))
+    append(received_once(raw, kinds, "log_timestamp", "40 days"), out, new_path(spark, "checkpoint"), interval=None).awaitTermination()
+    return appended(spark, out, kinds).withColumn("log_timestamp", format_micros(F.col("log_timestamp")))

@@ -16,6 +16,7 @@ from syncspark.operators.project import (
     without_column,
 )
 from syncspark.operators.reconcile import compare, extra, missing, narrow, summary
+from syncspark.operators.sketch import narrow_by_sketch
 from syncspark.plans.load import combined, load, load_events, verify
 from syncspark.queries.inputs import (
     EVENT_REPOS_SQL,
@@ -215,6 +216,42 @@ def reconcile_lines_few_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return missing(compare(*narrow(lines, lines.filter(~lost))))
 
 
+# A sink that lost a few lines, holds others twice and has the discount of some changed.
+_NEARLY_SQL = """WITH nearly AS (
+    SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
+           CASE WHEN l_orderkey BETWEEN 300 AND 302 THEN 0.5 ELSE l_discount END AS l_discount,
+           l_tax, l_returnflag, l_linestatus, l_shipdate
+    FROM lineitem JOIN (SELECT unnest([1, 2, 3]) AS copy) ON copy = 1 OR l_orderkey BETWEEN 200 AND 202
+    WHERE NOT (l_orderkey BETWEEN 100 AND 103 AND l_linenumber > 1))"""
+
+
+def _nearly_complete(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    lines = table(spark, sf_dir, "lineitem")
+    order = F.col("l_orderkey")
+    held = lines.filter(~(order.between(100, 103) & (F.col("l_linenumber") > 1)))
+    discount = F.when(order.between(300, 302), F.lit(0.5)).otherwise(F.col("l_discount"))
+    copies = F.when(order.between(200, 202), F.sequence(F.lit(1), F.lit(3))).otherwise(F.array(F.lit(1)))
+    held = held.withColumn("l_discount", discount).withColumn("copy", F.explode(copies)).drop("copy")
+    return lines, held
+
+
+@query(f"{_NEARLY_SQL} SELECT * FROM lineitem EXCEPT ALL SELECT * FROM nearly")
+def reconcile_lines_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing rows of a nearly complete sink: only those that differ reach the comparison."""
+    return missing(compare(*narrow_by_sketch(*_nearly_complete(spark, sf_dir))))
+
+
+@query(f"{_NEARLY_SQL} SELECT * FROM nearly EXCEPT ALL SELECT * FROM lineitem")
+def reconcile_lines_sketched_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extra(compare(*narrow_by_sketch(*_nearly_complete(spark, sf_dir))))
+
+
+@query(f"{_LINES} SELECT * FROM lineitem EXCEPT ALL SELECT * FROM late_lines")
+def reconcile_lines_beyond_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More differences than the sketch holds: the whole comparison gives the same rows."""
+    return missing(compare(*narrow_by_sketch(*_line_sides(spark, sf_dir), cells=64)))
+
+
 @query(f"{_BOTH} SELECT * FROM users_sink UNION ALL ({_MISSING})")
 def repair_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a damaged sink holds after the missing rows were appended."""
@@ -242,6 +279,36 @@ def fanout_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return combined(results)
 
 
+class _Interrupted(Sink):
+    """A sink whose first write fails after half of the rows."""
+
+    def write(self, df: DataFrame, mode: str = "append") -> None:
+        if not self.read(df.sparkSession).isEmpty():
+            return super().write(df, mode)
+        super().write(df.filter(F.col("repo_id") % 2 == 0), mode)
+        raise ConnectionError("lost during the write")
+
+
+@query(
+    f"""WITH {EVENT_USERS_SQL}, {EVENT_REPOS_SQL}
+    SELECT 'Users' AS target, user_id AS id, count(*) AS n FROM event_users GROUP BY 2
+    UNION ALL SELECT 'Repositories', repo_id, count(*) FROM event_repos GROUP BY 2"""
+)
+def load_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that broke off in its second table, called again: every row is there once."""
+    path = new_path(spark, "events-json")
+    raw_events(spark, sf_dir).write.json(path)
+    users_, repos = (file_sink(n, new_path(spark, n), s) for n, s in (("users", USERS), ("repositories", REPOSITORIES)))
+    repos = _Interrupted(repos.name, repos.format, repos.options, repos.partition_by, repos.schema)
+    spark.createDataFrame([], repos.schema).write.partitionBy(*repos.partition_by).parquet(repos.options["path"])
+    try:
+        load_events(spark, path, [users_], [repos], "run 1")
+    except ConnectionError:
+        load_events(spark, path, [users_], [repos], "run 1", again=True)
+    found = [sink.read(spark).select(F.lit(t).alias("target"), F.col(k).alias("id")) for sink, t, k in ((users_, "Users", "user_id"), (repos, "Repositories", "repo_id"))]
+    return found[0].union(found[1]).groupBy("target", "id").agg(F.count("*").alias("n"))
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_nationkey = 3")
 def doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A collection written as documents and read through a filter."""

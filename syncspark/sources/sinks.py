@@ -13,7 +13,7 @@ from syncspark.functions.messages import encode
 from syncspark.operators.project import MARKER, tagged_with
 from syncspark.schemas import JDBC_BATCH_ROWS, NAME_LIMIT, SAVE_MODES
 from syncspark.sources.readers import Split, split_options
-from syncspark.workspace import stage
+from syncspark.workspace import stage_counted
 
 # Run names that are written as folder names without escaping.
 _PLAIN_FOLDER = re.compile(r"[A-Za-z0-9_.-]+( [A-Za-z0-9_.-]+)*")
@@ -85,22 +85,43 @@ def table_sink(
     return Sink(name, "jdbc", {**batching, **options, **split_options(split)})
 
 
-def marker_options(sink: Sink, add: bool) -> dict[str, str]:
-    """Options of a read that adds the run marker to a database table, or drops it.
+def marker_statement(sink: Sink, columns: Sequence[str], add: bool) -> str | None:
+    """Statement that adds the run marker to a database table, or drops it; none where nothing is to do.
 
-    The statement is run when the session opens, before one row is read. A table
-    sink is marked this way before a load and unmarked when its runs no longer
-    matter; a file sink keeps the marker as a folder and needs neither.
+    ``columns`` are those the table has now: the marker is added only if it is
+    missing and dropped only if it is there, whatever its case.
     """
-    table = sink.options["dbtable"]
-    change = f"ADD COLUMN {MARKER} VARCHAR({NAME_LIMIT})" if add else f"DROP COLUMN {MARKER}"
-    kept = {k: v for k, v in sink.options.items() if k in ("url", "user", "password", "driver")}
-    return {**kept, "query": "SELECT 1 AS done", "sessionInitStatement": f"ALTER TABLE {table} {change}"}
+    held = [c for c in columns if c.lower() == MARKER.lower()]
+    if add == bool(held):
+        return None
+    change = f"ADD COLUMN {MARKER} VARCHAR({NAME_LIMIT})" if add else f"DROP COLUMN {held[0]}"
+    return f"ALTER TABLE {sink.options['dbtable']} {change}"
+
 
+def change_marker(spark: SparkSession, sink: Sink, add: bool) -> bool:
+    """Add or drop the run marker of a database table; whether that was needed.
 
-def change_marker(spark: SparkSession, sink: Sink, add: bool) -> None:
-    """Add or drop the run marker of a database table."""
-    spark.read.format(sink.format).options(**marker_options(sink, add)).load().collect()
+    The statement runs once, on the driver: one that tasks ran would run again
+    with every retried task. A table sink is marked before a load and unmarked
+    when its runs no longer matter; a file sink keeps the marker as a folder and
+    needs neither.
+    """
+    reading = {k: v for k, v in sink.options.items() if k in ("url", "dbtable", "user", "password", "driver")}
+    statement = marker_statement(sink, spark.read.format(sink.format).options(**reading).load().columns, add)
+    if statement is None:
+        return False
+    jvm, properties = spark._jvm, spark._jvm.java.util.Properties()
+    for name in ("user", "password"):
+        if name in sink.options:
+            properties.setProperty(name, sink.options[name])
+    if "driver" in sink.options:
+        jvm.java.lang.Class.forName(sink.options["driver"])
+    connection = jvm.java.sql.DriverManager.getConnection(sink.options["url"], properties)
+    try:
+        connection.createStatement().execute(statement)
+    finally:
+        connection.close()
+    return True
 
 
 # Text formats that keep every digit of a timestamp.
@@ -117,21 +138,22 @@ def file_sink(name: str, path: str, schema: T.StructType, file_format: str = "pa
     return Sink(name, file_format, options, (MARKER,), marked)
 
 
-def write_all(df: DataFrame | None, sinks: Sequence[Sink], mode: str = "append") -> DataFrame | None:
+def write_all(df: DataFrame | None, sinks: Sequence[Sink], mode: str = "append") -> tuple[DataFrame, int] | None:
     """Write one frame to every sink; nothing is written for a null or empty one.
 
     The frame is staged first, so all sinks get the same rows from one
-    evaluation, and the staged table is returned for the later comparison.
+    evaluation. The staged table is returned for the later comparison, with the
+    number of its rows, which were counted while it was written.
     """
     checked_mode(mode)
     if df is None:
         return None
-    staged = stage(df, "fanout")
-    if staged.isEmpty():
+    staged, n = stage_counted(df, "fanout")
+    if n == 0:
         return None
     for sink in sinks:
         sink.write(staged, mode)
-    return staged
+    return staged, n
 
 
 def publish(df: DataFrame, options: Mapping[str, str], sink_format: str = "kafka",

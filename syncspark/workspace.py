@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 # Folders of the open scratch blocks, the innermost last.
 _scratch: ContextVar[tuple[str, ...]] = ContextVar("scratch", default=())
@@ -56,6 +56,13 @@ def stage(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """:func:`stage`, with the number of rows, counted while they are written."""
+    counted = Observation()
+    staged = stage(df.observe(counted, F.count(F.lit(1)).alias("n")), label)
+    return staged, counted.get["n"]
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete what is staged inside the block when it ends.

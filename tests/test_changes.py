@@ -11,6 +11,7 @@ from syncspark.operators.sequence import (
     distinct_numbers,
     latest_per_key,
     latest_rows,
+    missing_by_bitmap,
     missing_by_number,
 )
 from syncspark.operators.snapshot import after_log, before_log, snapshot_diff
@@ -246,3 +247,22 @@ def test_tied_positions_are_spread(spark):
     assert sorted(r.seq for r in numbered.collect()) == list(range(1, 20_001))
     shares = [spark.read.parquet(f).count() for f in numbered.inputFiles()]
     assert len(shares) > 4 and max(shares) < 8_000
+
+
+def test_missing_numbers_by_bitmap(spark):
+    """Below, at and above zero, at the ends of ranges, repeated, null, and in ranges of one side only."""
+    r = Random(3)
+    sent = [*range(-40, 40), *range(32_760, 32_780), *range(65_530, 65_540), 98_304, 10**12, -(10**9), -32_768, -32_767, None, 5, 5]
+    received = [n for n in sent if n is not None and r.random() < 0.6] + [None, 7, 7, 10**6]
+    numbers = lambda rows: spark.createDataFrame([(n, "x") for n in rows], "seq long, payload string").repartition(3)
+    found = missing_by_bitmap(numbers(sent), numbers(received))
+    assert sorted(r.seq for r in found.collect()) == sorted({n for n in sent if n is not None} - set(received))
+    assert missing_by_bitmap(numbers(sent), numbers(sent)).isEmpty()
+
+
+def test_numbers_travel_as_one_row_for_each_range(spark):
+    sent = spark.range(0, 200_000, 1, 2).withColumnRenamed("id", "seq")
+    frame = missing_by_bitmap(sent, sent.filter("seq % 1000 <> 1"))
+    assert frame.count() == 200
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "Cartesian" not in plan

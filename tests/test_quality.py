@@ -29,7 +29,7 @@ from syncspark.sources.readers import (
     table_options,
     topic_options,
 )
-from syncspark.sources.sinks import marker_options, table_sink, topic_write_options
+from syncspark.sources.sinks import marker_statement, table_sink, topic_write_options
 
 DOCUMENTS = [
     ('{"user_id":1,"login":"a","gravatar_id":null,"url":"u"}', []),
@@ -195,10 +195,13 @@ def test_connector_options():
 
 
 def test_marker_of_a_database_table():
+    """Added only where it is missing, dropped only where it is there."""
     sink = table_sink("users", {"url": "jdbc:x", "dbtable": "Users", "user": "u"})
-    common = {"url": "jdbc:x", "user": "u", "query": "SELECT 1 AS done"}
-    assert marker_options(sink, True) == {**common, "sessionInitStatement": "ALTER TABLE Users ADD COLUMN run_id VARCHAR(255)"}
-    assert marker_options(sink, False) == {**common, "sessionInitStatement": "ALTER TABLE Users DROP COLUMN run_id"}
+    plain, marked = ["user_id", "login"], ["user_id", "RUN_ID"]
+    assert marker_statement(sink, plain, True) == "ALTER TABLE Users ADD COLUMN run_id VARCHAR(255)"
+    assert marker_statement(sink, marked, True) is None
+    assert marker_statement(sink, marked, False) == "ALTER TABLE Users DROP COLUMN RUN_ID"
+    assert marker_statement(sink, plain, False) is None
 
 
 def _partitioned(spark, name):

@@ -3,14 +3,15 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from syncspark.operators import reconcile as R
+from syncspark.operators import reconcile as R, sketch
 from syncspark.operators.project import tag
+from syncspark.operators.sketch import narrow_by_sketch
 from syncspark.plans.load import combined, load, load_events, resume, verify
 from syncspark.schemas import REFUSED
 from syncspark.schemas import REPOSITORIES, USERS
 from syncspark.sources.readers import Split
 from syncspark.sources.sinks import Sink, checked_mode, file_sink, table_sink, write_all
-from syncspark.workspace import matching, new_path, shared_dir
+from syncspark.workspace import matching, new_path, shared_dir, stage
 
 SCHEMA = "user_id long, login string"
 SOURCE = [(1, "a"), (1, "a"), (2, None), (3, "c"), (None, None)]
@@ -50,7 +51,7 @@ def test_summary_of_empty_frames(spark):
 def test_summary_of_differences_agrees_with_summary(spark):
     source, sink = _pair(spark)
     compared = R.compare(source, sink)
-    short = R.summary_of_differences(R.differences(compared), source, "t").first()
+    short = R.summary_of_differences(R.differences(compared), source.count(), "t").first()
     assert short.asDict() == R.summary(compared, "t").first().asDict()
 
 
@@ -183,6 +184,90 @@ def test_events_load_into_both_tables(spark, rows):
     assert rows(repos.read(spark)) == [(7, "r", "x", "r1")]
 
 
+def test_loads_count_rows_while_they_write_them(spark, monkeypatch):
+    """Source and sinks are each read once: by the writes, and by the comparison."""
+    sink, events = file_sink("users", new_path(spark, "t"), USERS), []
+    monkeypatch.setattr(R, "summary", lambda *a: events.append("scan"))
+    frame = _users(spark, 7)
+    counted = []
+    monkeypatch.setattr(type(frame), "count", lambda self, real=type(frame).count: counted.append(1) or real(self))
+    (result,) = load(frame, [sink], "r1")
+    assert tuple(result.summary.first())[1:5] == (7, 7, 0, 0) and not counted and not events
+    found = R.differences(R.compare(frame, frame))
+    plan = R.summary_of_differences(stage(found, "found"), 7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_a_load_that_broke_off_is_called_again(spark, rows, tmp_path):
+    path = tmp_path / "events.json"
+    path.write_text('{"actor":{"id":1,"login":"a"},"repo":{"id":7,"name":"r"}}\n{bad\n')
+    users, repos, bad = (file_sink(n, new_path(spark, n), s) for n, s in (("u", USERS), ("r", REPOSITORIES), ("b", REFUSED)))
+
+    class Broken(Sink):
+        def write(self, df, mode="append"):
+            raise ConnectionError("lost")
+
+    broken = Broken(repos.name, repos.format, repos.options, repos.partition_by, repos.schema)
+    with pytest.raises(ConnectionError):
+        load_events(spark, str(path), [users], [broken], "r1", bad)
+    for _ in range(2):
+        results = load_events(spark, str(path), [users], [repos], "r1", bad, again=True)
+    assert [r.status for found in results.values() for r in [x.summary.first() for x in found]] == [R.MATCH] * 3
+    assert [s.read(spark).count() for s in (users, repos, bad)] == [1, 1, 1]
+
+
+def _exchanged(frame):
+    """Bytes that the exchanges of an executed frame wrote."""
+    frame.collect()
+    todo, total = [frame._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("dataSize").value()
+        children = node.children()
+        todo.extend(children.apply(i) for i in range(children.size()))
+    return total
+
+
+def test_a_sketch_leaves_only_the_differing_rows(spark, rows):
+    source = spark.range(0, 6000, 1, 4).selectExpr("id % 4000 AS user_id", "concat('user ', id % 4000) AS login")
+    sink = source.filter("user_id % 500 <> 7").union(spark.createDataFrame([(1, "user 1")] * 3 + [(9, None)], SCHEMA))
+    left = narrow_by_sketch(source, sink, cells=256)
+    compared, whole = R.compare(*left), R.compare(source, sink)
+    assert _exchanged(compared) * 50 < _exchanged(whole)
+    assert rows(R.missing(compared)) == rows(R.missing(whole)) and rows(R.extra(compared)) == rows(R.extra(whole))
+    assert R.missing(compared).count() == 12 and R.extra(compared).count() == 4
+
+
+def test_a_sketch_that_is_too_small_gives_way_to_the_whole_comparison(spark):
+    source, sink = spark.range(500).selectExpr("id AS user_id"), spark.range(300, 900).selectExpr("id AS user_id")
+    assert narrow_by_sketch(source, sink, cells=16) == (source, sink)
+    kept = narrow_by_sketch(source.union(source), source, cells=1024)
+    assert R.missing(R.compare(*kept)).count() == 500
+    same = narrow_by_sketch(source, source, cells=16)
+    assert [s.count() for s in same] == [0, 0]
+    with pytest.raises(ValueError, match="cells"):
+        narrow_by_sketch(source, sink, cells=0)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.tuples(*[st.integers(0, (1 << 20) - 1)] * 5), st.integers(-3, 3), max_size=40))
+def test_peeling_finds_every_digest_or_says_so(counts):
+    table = {}
+    for digest, n in counts.items():
+        for cell in sketch._cells(digest, 32):
+            sums = table.setdefault(cell, [0] * 7)
+            for i, value in enumerate((1, *digest, sketch._check(digest))):
+                sums[i] += n * value
+    found = sketch.peeled([(c, *s) for c, s in table.items() if any(s)], 32)
+    assert found is None or found == {d: n for d, n in counts.items() if n}
+    assert found is not None or len(counts) > 10
+
+
 def test_save_modes(spark):
     sink = Sink("s", "parquet", {"path": new_path(spark, "t")})
     df = _users(spark, 3)

@@ -16,6 +16,7 @@ from syncspark.streaming.batches import append, appended, read_batch, read_batch
 from syncspark.streaming.capture import FileTopic, SourceTopic, capture, numbers_of, resend_missing
 from syncspark.streaming.counters import count_by_key, current_counts
 from syncspark.streaming.messages import deliver_once, refused, sync_messages, sync_messages_to, synced
+from syncspark.streaming.receiver import lost_ranges, range_state, received_once
 from syncspark.workspace import mark
 
 TEXTS = [
@@ -380,3 +381,46 @@ def test_missing_connectors_fail_at_once(spark):
         read_topic(spark, {"subscribe": "t"})
     with pytest.raises(Exception):
         start(stream_topic(spark, {"subscribe": "t"}), lambda d, i: None, "x")
+
+
+RECORD = T.StructType([T.StructField("sender", T.StringType()), T.StructField("seq", T.LongType()), T.StructField("at", T.TimestampType())])
+
+
+def _deliver(spark, path, *records):
+    rows = [(s, n, datetime(2024, 1, 1 + hour // 24, hour % 24)) for s, n, hour in records]
+    spark.createDataFrame(rows, RECORD).coalesce(1).write.mode("append").parquet(path)
+
+
+def test_numbers_are_lost_only_when_they_are_late_by_the_set_time(spark, rows, dirs):
+    def run():
+        with range_state(spark):
+            stream = lost_ranges(_stream(spark, dirs("in"), RECORD), "sender", "seq", "at", "10 hours")
+            append(stream, dirs("out"), dirs("check"), interval=None).awaitTermination()
+
+    lost = lambda: rows(appended(spark, dirs("out"), T.StructType.fromDDL("sender string, first bigint, last bigint")))
+    # a lacks 2 to 4 and 6, b begins at 3; the numbers come in any order.
+    _deliver(spark, dirs("in"), ("a", 7, 2), ("a", 1, 0), ("a", 5, 1), ("a", 5, 1), ("b", 3, 2))
+    run()
+    assert lost() == []
+    # 3 arrives late but in time; 12 hours later the rest counts as lost, and b's 4 is still awaited.
+    _deliver(spark, dirs("in"), ("a", 3, 1), ("a", 8, 9))
+    _deliver(spark, dirs("in"), ("b", 5, 13), ("a", 9, 13))
+    run()
+    expected = [("a", 2, 2), ("a", 4, 4), ("a", 6, 6), ("b", 1, 2)]
+    assert lost() == expected
+    _deliver(spark, dirs("in"), ("b", 4, 12), ("c", 1, 60))
+    run()
+    assert lost() == expected
+
+
+def test_repeats_are_dropped_and_leave_the_state(spark, rows, dirs):
+    kinds = T.StructType.fromDDL("seq bigint, at timestamp")
+    message = lambda n: f'{{"seq":{n},"at":"2024-01-0{1 + n // 24} {n % 24:02}:00:00.000000"}}'
+    for batch in ([0, 1, 1, 2], [2, 3, 0], [40, 41], [70]):
+        _texts(spark, dirs("in"), [message(n) for n in batch] + ["{bad"])
+    stream = received_once(_stream(spark, dirs("in")), kinds, "at", "12 hours")
+    query = append(stream, dirs("out"), dirs("check"), interval=None)
+    query.awaitTermination()
+    assert [r[0] for r in rows(appended(spark, dirs("out"), kinds))] == [0, 1, 2, 3, 40, 41, 70]
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) < 7 and held[-1] <= 2
