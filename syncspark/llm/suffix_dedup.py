@@ -19,8 +19,8 @@ suffix is brought next to those it may equal:
    which strings are equal, and the smallest document of each is known.
 4. The verdicts go back to the chunks, which remove the bytes.
 
-An anchor found in very many chunks would gather in one bucket: its strings are
-dealt one by one, by their own hash, equal strings of a chunk once.
+An anchor whose records would fill a large part of a bucket is dealt otherwise:
+its strings go one by one, by their own hash, equal strings of a chunk once.
 """
 
 from __future__ import annotations
@@ -48,11 +48,16 @@ _SEGMENT = 1 << 19
 
 @dataclass(frozen=True)
 class Settings:
-    """``chunk`` bytes of text are handled at once, ``bucket`` bytes of text make a bucket; ``hot`` chunks share an anchor whose strings are dealt singly."""
+    """``chunk`` bytes of text are handled at once, ``bucket`` bytes of text make a bucket.
+
+    Strings are dealt singly where ``hot`` chunks share their anchor: that many
+    records are about a quarter of what a bucket holds. It depends on the size of a
+    bucket alone, not on that of the corpus.
+    """
 
     chunk: int = 4 << 20
     bucket: int = 8 << 20
-    hot: int = 64
+    hot: int = (8 << 20) // 400
     shallow: int = 3
 
 
