@@ -133,7 +133,7 @@ def _digest_block(path: str, texts: list[str]) -> tuple[np.ndarray, list[str], l
     for i, text in enumerate(texts):
         back = decoded[decoded_at[i] : decoded_at[i + 1]]
         if back != text.encode("utf-8", "surrogatepass"):
-            raise ValueError("decoded text differs from the encoded one: two pieces of one hash")
+            raise ValueError("decoded text differs from the encoded one")
         ids_sha.append(hashlib.sha256(decimal[decimal_at[i] : max(decimal_at[i + 1] - 1, decimal_at[i])]).hexdigest())
         text_sha.append(hashlib.sha256(back.decode("utf-8", "replace").encode()).hexdigest())
     return counts, ids_sha, text_sha

@@ -18,14 +18,14 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from syncspark.llm.bpe import _texts
+from syncspark.llm.bpe import _texts, vocabulary
 from syncspark.llm.pretokens import PieceEncoder
 from syncspark.llm.text import blocks, ranges, utf8
 from syncspark.workspace import scratch, stage
@@ -113,12 +113,34 @@ class Grammar:
 
     def __init__(self, rules: np.ndarray, first_new: int):
         self.first_new = first_new
-        texts: list[np.ndarray] = []
-        for a, b in rules.tolist():
-            texts.append(np.concatenate([texts[x - first_new] if x >= first_new else np.array([x], np.int64) for x in (a, b)]))
-        self.rule_lengths = np.array([len(t) for t in texts], np.int64)
+        self.sides = rules.astype(np.int64).reshape(-1, 2).T
+        self.rule_lengths = np.zeros(len(rules), np.int64)
+        # Rules whose symbols are known, wave by wave.
+        self.waves: list[np.ndarray] = []
+        left = np.arange(len(rules))
+        while len(left):
+            sizes = [self.lengths(side[left]) for side in self.sides]
+            ready = (sizes[0] > 0) & (sizes[1] > 0)
+            self.rule_lengths[left[ready]] = (sizes[0] + sizes[1])[ready]
+            self.waves.append(left[ready])
+            left = left[~ready]
         self.rule_firsts = np.cumsum(self.rule_lengths) - self.rule_lengths
-        self.flat = np.concatenate(texts) if texts else np.zeros(0, np.int64)
+
+    @cached_property
+    def flat(self) -> np.ndarray:
+        """Ids of all rules one after another."""
+        out = np.zeros(int(self.rule_lengths.sum()), np.int64)
+        for wave in self.waves:
+            at = self.rule_firsts[wave].copy()
+            for side in self.sides:
+                symbol = side[wave]
+                plain = symbol < self.first_new
+                out[at[plain]] = symbol[plain]
+                rule = symbol[~plain] - self.first_new
+                lengths = self.rule_lengths[rule]
+                out[ranges(at[~plain], lengths)] = out[ranges(self.rule_firsts[rule], lengths)]
+                at += self.lengths(symbol)
+        return out
 
     def lengths(self, symbols: np.ndarray) -> np.ndarray:
         out = np.ones(len(symbols), np.int64)
@@ -181,17 +203,26 @@ def _library_encoder(path: str) -> tuple[PieceEncoder, int]:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-    encode = lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+    strings = vocabulary(path).strings
+
+    def encode(pieces: list[str]) -> list[list[int]]:
+        """Ids of new pieces. Texts are their pieces one after another, so ids that decode to each piece decode to the text."""
+        found = [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        for piece, ids in zip(pieces, found, strict=True):
+            if b"".join([strings[i] for i in ids]) != piece.encode():
+                raise ValueError(f"ids {ids} do not decode to {piece!r}")
+        return found
+
     return PieceEncoder(encode, special), tokenizer.get_vocab_size(True)
 
 
 def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
-    """Table of shards in the order of ``doc_id`` (null first): ``part, shard, n_ids, doc_ids, payload``.
+    """Table of shards in the order of ``doc_id`` (null first): ``part, shard, n_ids, crc32, doc_ids, payload``.
 
     The ids of each whole text are followed by ``end_id``; null counts as empty.
     A shard takes documents until it holds ``shard_ids`` ids; a document is never
-    cut. ``part`` and ``shard`` give the order of shards. The table is written
-    and read back from its files.
+    cut. ``part`` and ``shard`` give the order of shards, ``crc32`` is that of all
+    ids of a shard. The table is written and read back from its files.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,10 +231,11 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, shard_ids: int =
         doc_ids, ids, counts, held = [], [], [], 0
 
         def full():
-            payload = write_shard(np.concatenate(ids), np.concatenate(counts), size)
+            whole = np.concatenate(ids)
+            payload = write_shard(whole, np.concatenate(counts), size)
             names = pa.concat_arrays(doc_ids)
             listed = pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names)
-            return pa.record_batch([pa.array([part], pa.int64()), pa.array([shard], pa.int64()), pa.array([held], pa.int64()), listed, pa.array([payload], pa.binary())], ["part", "shard", "n_ids", "doc_ids", "payload"])
+            return pa.record_batch([pa.array([part], pa.int64()), pa.array([shard], pa.int64()), pa.array([held], pa.int64()), pa.array([zlib.crc32(whole.astype("<u4"))], pa.int64()), listed, pa.array([payload], pa.binary())], ["part", "shard", "n_ids", "crc32", "doc_ids", "payload"])
 
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
@@ -220,8 +252,10 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, shard_ids: int =
         if doc_ids:
             yield full()
 
-    source = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    return stage(source.mapInArrow(run, "part long, shard long, n_ids long, doc_ids array<long>, payload binary"), "token-ids")
+    # Rows of one id, or without one, may fill several partitions.
+    order = ["doc_id", F.xxhash64("text")]
+    source = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
+    return stage(source.mapInArrow(run, "part long, shard long, n_ids long, crc32 long, doc_ids array<long>, payload binary"), "token-ids")
 
 
 def read_ids(shards: DataFrame) -> DataFrame:
@@ -241,10 +275,12 @@ def read_ids(shards: DataFrame) -> DataFrame:
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, number, doc_ids, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "shard", "doc_ids", "payload")), strict=True):
+        for part, number, crc, doc_ids, payload in zip(*(batch.column(c).to_pylist() for c in ("part", "shard", "crc32", "doc_ids", "payload")), strict=True):
             shard = Shard(payload)
             ends = np.cumsum(shard.counts)
             raw = shard.ids(0, shard.n_ids).astype("<u4").tobytes()
+            if zlib.crc32(raw) != crc:
+                raise ValueError(f"shard {number} of part {part} does not hold the ids that were written")
             starts = ends - shard.counts
             crcs = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
             n = len(doc_ids)
@@ -271,6 +307,6 @@ def written_and_read(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     """
     with scratch(docs.sparkSession):
         shards = write_ids(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), path, shard_ids=shard_ids)
-        read = shards.select("part", "shard", "doc_ids", "payload").mapInArrow(_digests, "part long, shard long, at long, doc_id long, n_tokens long, ids_crc32 long")
+        read = shards.select("part", "shard", "crc32", "doc_ids", "payload").mapInArrow(_digests, "part long, shard long, at long, doc_id long, n_tokens long, ids_crc32 long")
         placed = read.join(shard_starts(shards), ["part", "shard"])
         return stage(placed.select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32"), "token-digests", keep=True)

@@ -93,6 +93,25 @@ _LONGEST = 64
 _MIX = np.uint64(0x9DDFEA08EB382D69)
 
 
+# Masks of the lowest bytes of a word.
+_LOW = np.concatenate([[np.uint64(0)], np.uint64((1 << 64) - 1) >> np.arange(56, -1, -8, dtype=np.uint64)])
+
+
+def _eights(data: np.ndarray, room: int) -> np.ndarray:
+    """The eight bytes from every place, with ``room`` zeros behind the last."""
+    padded = np.zeros(len(data) + room + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+
+
+def packed(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first eight and the next eight bytes of slices, as numbers; with the length they are a slice of up to 16 bytes."""
+    eights = _eights(data, 16)
+    low = eights[starts] & _LOW[np.minimum(lengths, 8)]
+    high = eights[starts + 8] & _LOW[np.clip(lengths - 8, 0, 8)]
+    return low, high
+
+
 def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of slices of bytes, which mixes eight bytes at a time.
 
@@ -100,17 +119,14 @@ def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     two has one value for certain words of two letters, whatever its base.
     """
     lengths = (ends - starts).astype(np.int64)
-    padded = np.zeros(len(data) + _LONGEST + 8, np.uint8)
-    padded[: len(data)] = data
-    eights = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
-    low = np.concatenate([[np.uint64(0)], np.uint64((1 << 64) - 1) >> np.arange(56, -1, -8, dtype=np.uint64)])
+    eights = _eights(data, _LONGEST)
     out = scramble(lengths.astype(np.uint64) * _MIX)
     left = np.flatnonzero(lengths <= _LONGEST)
     for at in range(0, _LONGEST, 8):
         left = left[lengths[left] > at]
         if not len(left):
             break
-        eight = eights[starts[left] + at] & low[np.minimum(lengths[left] - at, 8)]
+        eight = eights[starts[left] + at] & _LOW[np.minimum(lengths[left] - at, 8)]
         out[left] = scramble((out[left] ^ eight) * _MIX)
     raw = memoryview(np.ascontiguousarray(data))
     for i in np.flatnonzero(lengths > _LONGEST).tolist():

@@ -31,6 +31,15 @@ def test_ids_of_the_library(texts):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("n", [15, 16, 17, 1024, 4096])
+def test_words_that_polynomials_confuse(library, n):
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    texts = [word, word.translate(str.maketrans("ab", "ba")), "\x00" * n, "\x00" * (n - 1), "é" * n]
+    ids, counts = bpe._encoder(vocabulary_path()).block(texts)
+    ends = np.cumsum(counts).astype(int)
+    assert [ids[e - c : e].tolist() for e, c in zip(ends, counts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_cache_that_starts_again_changes_nothing():
     from syncspark.llm.pretokens import PieceEncoder
 

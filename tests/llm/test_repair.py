@@ -82,5 +82,24 @@ def test_ids_read_back(spark, local_rows):
     assert rows == {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in [(1, "one"), (2, "two words"), (3, "")]}
 
 
+def test_words_that_polynomials_confuse_and_rows_of_one_id(spark, local_rows):
+    words = ["".join("ab"[bin(i).count("1") & 1] for i in range(n)) for n in (1024, 4096)]
+    texts = [t for w in words for t in (w, w.translate(str.maketrans("ab", "ba")))]
+    docs = spark.createDataFrame([(1, t) for t in texts] + [(None, t) for t in texts], "doc_id long, text string")
+    library = tokenizers.Tokenizer.from_file(vocabulary_path())
+    rows = local_rows(repair.written_and_read(docs, vocabulary_path()))
+    own = [[*library.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert sorted(r["ids_crc32"] for r in rows) == sorted(2 * [zlib.crc32(np.array(i, "<u4").tobytes()) for i in own])
+
+
+def test_a_shard_of_other_ids_fails(spark):
+    shards = repair.write_ids(spark.createDataFrame([(1, "some words")], "doc_id long, text string"), vocabulary_path())
+    batch = shards.toArrow().to_batches()[0]
+    broken = batch.set_column(batch.schema.get_field_index("crc32"), "crc32", batch.column("doc_ids").flatten())
+    assert len(list(repair._digests(iter([batch])))) == 1
+    with pytest.raises(ValueError, match="does not hold"):
+        list(repair._digests(iter([broken])))
+
+
 def test_empty_table(no_docs):
     assert repair.written_and_read(no_docs, vocabulary_path()).count() == 0
