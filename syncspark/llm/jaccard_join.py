@@ -58,7 +58,7 @@ class Settings:
     percent: int = 80
     words: int = 5
     share: float = 0.3
-    chunk: int = 1_500_000
+    chunk: int = 1_000_000
     bucket: int = 4_000_000
     cluster: int = 1_000_000
     orders: int = 3
@@ -124,7 +124,8 @@ def _chunks(settings: Settings):
                     docs.append({"doc_id": ids[i], "raw": raws[i], "n": len(s), "set_key": key})
                     if key and key not in sets:
                         least = max(int(np.searchsorted(s, limit)), int(settings.first(len(s))))
-                        sets[key] = len(s), s[:least]
+                        # A copy, so that the rest of a large set can go.
+                        sets[key] = len(s), s[:least].copy()
                         held += least
                 if held > settings.chunk:
                     yield chunk(number, docs, sets)
