@@ -94,7 +94,9 @@ def drop_templates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         recurring = named.select("template", "row").distinct().groupBy("template").count().where(F.col("count") >= least_docs)
         recurring = stage(recurring.select("template"), "recurring")
         dropped = named.join(recurring, "template").groupBy("row").agg(F.collect_set("at").alias("dropped"))
-        left = F.filter(F.transform("lines", lambda x, i: F.when(~F.array_contains(F.col("dropped"), i), x)), lambda x: x.isNotNull())
+        # The difference of two arrays hashes its elements, so the cost is linear in the lines of a document.
+        stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
+        left = F.transform(stay, lambda at: F.get(F.col("lines"), at))
         rest = F.when(F.col("dropped").isNull(), F.col("lines")).otherwise(left)
         return stage(
             split.select("row", "doc_id", "lines").join(dropped, "row", "left").select(
