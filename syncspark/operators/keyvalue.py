@@ -34,6 +34,21 @@ def key_index(records: DataFrame) -> DataFrame:
     return stage(records.select(KEY).distinct(), "key-index")
 
 
+def store_records(records: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Write records as a table that is looked up without dealing it out again.
+
+    The table is bucketed and sorted by key, one file a bucket, so
+    :func:`lookup` and :func:`members` shuffle the requests alone. Take at least
+    as many buckets as the session has shuffle partitions, and so many that
+    one fits a task. The requests of a bucket meet in one task, which adaptive
+    execution cannot split: where a key may hold a large share of the requests,
+    look it up in records that are not bucketed.
+    """
+    dealt = records.repartition(buckets, KEY)
+    dealt.write.bucketBy(buckets, KEY).sortBy(KEY).saveAsTable(table)
+    return records.sparkSession.table(table)
+
+
 def members(candidates: DataFrame, index: DataFrame) -> DataFrame:
     """Candidates whose key is in the index."""
     return candidates.join(index, KEY, "left_semi").select(*candidates.columns)

@@ -58,29 +58,69 @@ KINDS = "_kinds"
 _WHOLE = "whole"
 
 
+DOCUMENT = "_document"
+
+
+def with_document(df: DataFrame, text: str) -> DataFrame:
+    """Add the JSON value of a text as a variant; null where it is not one value."""
+    # The variant parser stops at the end of the first value.
+    body, closed = F.col(text), ends_at_first_brace(F.col(text))
+    parsed = df.withColumn("_variant", F.try_parse_json(body)).withColumn(
+        "_parts", F.when(~closed, elements(body))
+    )
+    whole = F.when(closed | is_one(F.col("_parts"), body), F.col("_variant"))
+    return parsed.withColumn(DOCUMENT, whole).drop("_variant", "_parts")
+
+
 def with_kinds(df: DataFrame, text: str, fields: Sequence[str]) -> DataFrame:
     """Add the JSON types of a document and of its fields; null where absent.
 
     The text is inspected rather than a parsed struct, because a parser that
     casts would turn the number 12 into an acceptable login.
     """
-    document = F.col("_document")
+    document = F.col(DOCUMENT)
     kinds = [F.schema_of_variant(document).alias(_WHOLE)]
     for i, name in enumerate(fields):
         value = F.try_variant_get(document, f"$.{name}", "variant")
         kinds.append(F.schema_of_variant(value).alias(f"field_{i}"))
-    names = df.columns
-    # The variant parser stops at the end of the first value.
-    body, closed = F.col(text), ends_at_first_brace(F.col(text))
-    parsed = df.withColumn("_variant", F.try_parse_json(body)).withColumn(
-        "_parts", F.when(~closed, elements(body))
-    )
-    return (
-        parsed.withColumn("_document", F.when(closed | is_one(F.col("_parts"), body), F.col("_variant")))
-        .select(*names, F.inline(F.array(F.struct(F.struct(*kinds).alias(KINDS)))))
+    return with_document(df, text).select(*df.columns, F.inline(F.array(F.struct(F.struct(*kinds).alias(KINDS)))))
+
+
+WHOLE_DOCUMENT = "$"
+UNREADABLE = "none"
+
+
+def _values(df: DataFrame, text: str) -> DataFrame:
+    """``field, value``: each document as a whole, and each of its fields."""
+    document = F.col(DOCUMENT)
+    fields = F.map_entries(F.try_variant_get(document, WHOLE_DOCUMENT, "map<string,variant>"))
+    whole = F.array(F.struct(F.lit(WHOLE_DOCUMENT).alias("key"), document.alias("value")))
+    return with_document(df.select(text), text).select(
+        F.inline(F.when(fields.isNull(), whole).otherwise(F.concat(whole, fields))).alias("field", "value")
     )
 
 
+def types_seen(df: DataFrame, text: str, declared: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``field, type, n, as_declared``: the JSON types that the fields of all texts have.
+
+    The field ``$`` is the document itself, whose type is ``none`` where a text
+    is null or not one JSON value. A field that is not declared, or has another
+    type than declared, is not as declared; a document has to be an object.
+    """
+    type_name = F.coalesce(F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0), F.lit(UNREADABLE))
+    seen = _values(df, text).groupBy("field", type_name.alias("type")).agg(F.count(F.lit(1)).alias("n"))
+    as_declared = F.lit(False)
+    for name, allowed in {WHOLE_DOCUMENT: ("OBJECT",), **declared}.items():
+        as_declared = as_declared | ((F.col("field") == name) & F.col("type").isin(*allowed))
+    return seen.withColumn("as_declared", as_declared)
+
+
+def merged_types(df: DataFrame, text: str) -> DataFrame:
+    """``field, type, n``: the one type that holds every value of a field, VARIANT where none does."""
+    fields = _values(df, text).where(F.col("field") != WHOLE_DOCUMENT)
+    return fields.groupBy("field").agg(F.schema_of_variant_agg("value").alias("type"), F.count(F.lit(1)).alias("n"))
+
+
 def document_rules(types: Mapping[str, Sequence[str]], required: Sequence[str]) -> dict[str, Column]:
     """Rules on the types found by :func:`with_kinds` for the same fields."""
     rules = {"not an object": ~F.coalesce(F.col(f"{KINDS}.{_WHOLE}").startswith("OBJECT"), F.lit(False))}

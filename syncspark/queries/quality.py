@@ -14,6 +14,7 @@ from syncspark.operators.keyvalue import (
     lookup,
     members,
     record_fields,
+    store_records,
     to_records,
 )
 from syncspark.operators.rules import (
@@ -22,7 +23,9 @@ from syncspark.operators.rules import (
     check,
     check_documents,
     max_length,
+    merged_types,
     not_null,
+    types_seen,
     valid,
 )
 from syncspark.functions.scalars import entity_key
@@ -144,6 +147,39 @@ def _columns_sql() -> str:
     return " UNION ALL ".join(rows)
 
 
+# Every field of every message, the unreadable ones and those of other types included.
+_FIELDS_SQL = f"""WITH {MESSAGES_SQL},
+docs AS (SELECT CASE WHEN coalesce(json_valid(value), false) THEN value END AS doc FROM messages),
+objects AS (SELECT doc FROM docs WHERE json_type(doc) = 'OBJECT'),
+found AS (
+    SELECT '$' AS field, json_type(doc) AS kind FROM docs
+    UNION ALL SELECT field, json_type(doc, '$.' || field) FROM (SELECT doc, unnest(json_keys(doc)) AS field FROM objects)),
+typed AS (
+    SELECT field, CASE kind WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID'
+                            ELSE coalesce(kind, 'none') END AS type FROM found)"""
+
+
+@query(
+    f"""{_FIELDS_SQL}
+    SELECT field, type, count(*) AS n,
+           (field = '$' AND type = 'OBJECT') OR (field = 'user_id' AND type = 'BIGINT') OR (field = 'login' AND type = 'STRING')
+           OR (field IN ('gravatar_id', 'avatar_url', 'url') AND type IN ('STRING', 'VOID')) AS as_declared
+    FROM typed GROUP BY field, type"""
+)
+def field_types_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return types_seen(messages(spark, sf_dir), "value", USERS_DOCUMENT)
+
+
+@query(
+    f"""{_FIELDS_SQL}
+    SELECT field, CASE count(DISTINCT type) FILTER (type <> 'VOID') WHEN 0 THEN 'VOID' WHEN 1 THEN max(type) FILTER (type <> 'VOID')
+                       ELSE 'VARIANT' END AS type, count(*) AS n
+    FROM typed WHERE field <> '$' GROUP BY field"""
+)
+def field_types_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merged_types(messages(spark, sf_dir), "value")
+
+
 @query(f"WITH {USERS_SQL}, {REPOSITORIES_SQL} {_columns_sql()}")
 def structure_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Declared columns and their contents, after a column came and went."""
@@ -205,6 +241,19 @@ def kv_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup(_requests(spark, sf_dir), _records(spark, sf_dir), "avatar_url")
 
 
+@query(
+    f"""{_RECORDS_SQL}, {_REQUESTS_SQL}
+    SELECT o_orderkey, entity_key, value FROM requests JOIN fields USING (entity_key) WHERE field = 'login'"""
+)
+def kv_lookup_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records stored once by key, which a lookup does not deal out again."""
+    database = f"sync_{uuid.uuid4().hex}"
+    bootstrap.create(spark, database, new_path(spark, "database"))
+    buckets = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    stored = store_records(_records(spark, sf_dir), f"{database}.user_records", buckets)
+    return _last_use(database, lookup(_requests(spark, sf_dir), stored, "login"))
+
+
 @query(f"{_RECORDS_SQL}, {_REQUESTS_SQL} SELECT * FROM requests WHERE entity_key IN (SELECT entity_key FROM fields)")
 def kv_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members(_requests(spark, sf_dir), key_index(_records(spark, sf_dir)))

@@ -32,7 +32,7 @@ from syncspark.queries.inputs import (
 )
 from syncspark.queries.registry import query
 from syncspark.schemas import REFUSED, REPOSITORIES, USERS
-from syncspark.sources.readers import read_collection, read_events
+from syncspark.sources.readers import even_ranges, read_collection, read_events
 from syncspark.sources.sinks import Sink, file_sink
 from syncspark.workspace import new_path
 
@@ -309,6 +309,23 @@ def load_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].union(found[1]).groupBy("target", "id").agg(F.count("*").alias("n"))
 
 
+# Squares of the keys: in ranges of equal width the first would hold a quarter of all rows.
+@query("SELECT count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, 16 AS n_ranges, true AS even FROM orders")
+def read_even_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows once by their ranges, each within a tenth of an equal share."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderkey") * F.col("o_orderkey")).alias("square"))
+    met = F.array_compact(F.array(*(F.when(F.expr(r), i) for i, r in enumerate(even_ranges(orders, "square", 16)))))
+    held = orders.select("o_orderkey", F.explode(met).alias("part")).groupBy("part")
+    held = held.agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+    off = F.greatest(16 * F.max("n") - F.sum("n"), F.sum("n") - 16 * F.min("n"))
+    return held.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("keys").alias("keys"),
+        F.count("part").cast("int").alias("n_ranges"),
+        (10 * off <= F.sum("n")).alias("even"),
+    )
+
+
 @query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_nationkey = 3")
 def doc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A collection written as documents and read through a filter."""

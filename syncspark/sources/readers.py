@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import date, datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from syncspark.schemas import RAW_EVENT
 
@@ -83,6 +84,37 @@ def read_table(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def _literal(value: object) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value}'"
+    return f"DATE '{value}'" if isinstance(value, date) else str(value)
+
+
+def even_ranges(keys: DataFrame, column: str, parts: int, accuracy: int = 0) -> list[str]:
+    """Conditions that divide a read into ranges of about equally many rows.
+
+    The bounds come from a quantile sketch of a numeric, date or time column:
+    one narrow scan, of a sketch per task. ``accuracy`` bounds its size and is a
+    hundred times the parts by default, so a range is off by some hundredths of
+    its rows. Every row meets exactly one condition, rows without a key the
+    first. A value is never divided: one that holds more than a range's share
+    leaves fewer ranges than ``parts``.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    found = keys.agg(F.percentile_approx(column, shares, accuracy or 100 * parts)).first()[0] if shares else None
+    bounds = [_literal(b) for b in dict.fromkeys(found or ())]
+    if not bounds:
+        return ["1 = 1"]
+    between = [f"{column} > {low} AND {column} <= {high}" for low, high in zip(bounds, bounds[1:])]
+    return [f"{column} <= {bounds[0]} OR {column} IS NULL", *between, f"{column} > {bounds[-1]}"]
+
+
+def read_table_ranges(spark: SparkSession, options: Mapping[str, str], ranges: Sequence[str]) -> DataFrame:
+    """A database table read by one query for each of :func:`even_ranges`."""
+    others = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=list(ranges), properties=others)
+
+
 def read_collection(
     spark: SparkSession,
     source: str,

@@ -1,9 +1,19 @@
+import datetime
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from syncspark.operators import keyvalue, rules as Q
-from syncspark.operators.keyvalue import check_records, key_index, lookup, members, record_fields, to_records
+from syncspark.operators.keyvalue import (
+    check_records,
+    key_index,
+    lookup,
+    members,
+    record_fields,
+    store_records,
+    to_records,
+)
 from syncspark.operators.project import (
     align,
     first_match,
@@ -23,8 +33,10 @@ from syncspark.schemas import (
 from syncspark.sources import catalog
 from syncspark.sources.readers import (
     Split,
+    even_ranges,
     read_collection,
     read_events,
+    read_table_ranges,
     stream_events,
     table_options,
     topic_options,
@@ -275,3 +287,81 @@ def _hot(spark, name, plan):
 ])
 def test_hot_keys_are_split(spark, name, plan):
     assert "skew=true" in _hot(spark, name, plan)
+
+
+def _held(df, ranges):
+    """Rows that each condition finds."""
+    return [df.filter(r).count() for r in ranges]
+
+
+def test_even_ranges_of_a_skewed_key(spark):
+    df = spark.range(20000).select((F.col("id") * F.col("id") * F.col("id")).alias("k"))
+    held = _held(df, even_ranges(df, "k", 16))
+    assert len(held) == 16 and sum(held) == 20000
+    assert max(held) <= 1.1 * 1250 and min(held) >= 0.9 * 1250
+
+
+def test_even_ranges_keep_rows_without_a_key_and_hot_values(spark):
+    df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN -5 ELSE id END AS k")
+    ranges = even_ranges(df, "k", 8)
+    assert 1 < len(ranges) < 8 and sum(_held(df, ranges)) == 3000
+    assert even_ranges(df.filter("k IS NULL"), "k", 8) == even_ranges(df, "k", 1) == ["1 = 1"]
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp_ntz", "double", "decimal(12,2)"])
+def test_even_ranges_of_other_types(spark, kind):
+    value = f"CAST(id * 1.5 AS {kind})" if kind[:2] in ("do", "de") else f"CAST(DATE '2020-01-01' + CAST(id AS INT) AS {kind})"
+    df = spark.range(1000).selectExpr(f"{value} AS k")
+    held = _held(df, even_ranges(df, "k", 4))
+    assert sum(held) == 1000 and max(held) <= 275
+
+
+def test_ranges_are_the_predicates_of_a_database_read(spark, monkeypatch):
+    asked = {}
+    reader = type(spark.read)
+    monkeypatch.setattr(reader, "jdbc", lambda self, url, table, **named: asked.update(named, url=url, table=table))
+    ranges = even_ranges(spark.createDataFrame([(datetime.date(2020, 1, d),) for d in (1, 2, 3)], "day date"), "day", 2)
+    read_table_ranges(spark, table_options("jdbc:x", "t", user="u"), ranges)
+    assert asked["url"] == "jdbc:x" and asked["table"] == "t" and asked["properties"]["user"] == "u"
+    assert asked["predicates"] == ["day <= DATE '2020-01-02' OR day IS NULL", "day > DATE '2020-01-02'"]
+
+
+def test_types_seen_in_bad_inputs(spark, rows):
+    texts = [
+        '{"user_id":1,"login":"a"}', '{"user_id":"1","login":null}', '{"user_id":2.5,"x":{"y":[1]}}', '{"user_id":3} {"z":1}',
+        "{}", "[1]", '"text"', "null", "", "no json", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert rows(Q.types_seen(df, "value", Q.USERS_DOCUMENT)) == sorted(
+        [
+            ("$", "ARRAY", 1, False), ("$", "OBJECT", 4, True), ("$", "STRING", 1, False), ("$", "VOID", 1, False), ("$", "none", 4, False),
+            ("login", "STRING", 1, True), ("login", "VOID", 1, False), ("x", "OBJECT", 1, False),
+            ("user_id", "BIGINT", 1, True), ("user_id", "DECIMAL", 1, False), ("user_id", "STRING", 1, False),
+        ],
+        key=repr,
+    )
+    assert rows(Q.merged_types(df, "value")) == sorted(
+        [("login", "STRING", 2), ("user_id", "VARIANT", 3), ("x", "OBJECT<y: ARRAY<BIGINT>>", 1)], key=repr
+    )
+    assert Q.types_seen(df.limit(0), "value", {}).count() == Q.merged_types(df.limit(0), "value").count() == 0
+
+
+def test_stored_records_are_not_dealt_out_again(spark, rows):
+    database = f"stored_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database}")
+    plain = to_records(spark.range(500).selectExpr("id", "id * 2 AS twice"), "id", ["twice"])
+    stored = store_records(plain, f"{database}.records", 16)
+    requests = spark.range(2000).selectExpr("id AS asked", "concat('user:', CASE WHEN id % 3 = 0 THEN 7 ELSE id END) AS entity_key")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for found, expected in (
+            (lookup(requests, stored, "twice"), lookup(requests, plain, "twice")),
+            (members(requests, stored.select("entity_key")), members(requests, plain.select("entity_key"))),
+        ):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1
+            assert rows(found) == rows(expected)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
