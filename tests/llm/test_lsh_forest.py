@@ -142,3 +142,19 @@ def test_words_that_polynomials_confuse_are_told_apart(spark, n):
     rows = [(1, word), (2, word.translate(str.maketrans("ab", "ba"))), (3, word)]
     found = lsh_forest.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 2), (3, 1)]
+
+
+@pytest.mark.parametrize("region", [2048, 32])
+def test_crowded_regions(spark, region):
+    """Pairs at 0.77 among thousands of texts that share half of their words, in regions far too small for them."""
+    random = np.random.default_rng(8)
+    words = lambda n: [f"w{x}" for x in random.integers(0, 10**9, n)]
+    head, rows = words(140), []
+    for i in range(0, 2000, 2):
+        tail = words(64)
+        rows += [(i, " ".join(head + tail)), (i + 1, " ".join(head + tail[:-26] + words(26)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    found = lsh_forest.near_duplicates(docs, settings=lsh_forest.Settings(region=region)).collect()
+    component = {r.doc_id: r.component_id for r in found}
+    assert all(component[i] == i for i in range(0, 2000, 2))
+    assert sum(component[i + 1] == i for i in range(0, 2000, 2)) >= 990
