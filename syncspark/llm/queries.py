@@ -91,16 +91,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens AS (SELECT *, list_transform(regexp_extract_all(line, '[^\x20\x09-\x0D]+'),
                                         lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS t FROM split),
     filled AS (SELECT doc_id, line_at, t, {'n': len(t), 'first': t[1 : 3]} AS leaf FROM tokens WHERE len(t) > 0),
-    each AS (SELECT leaf, unnest(t) AS token, generate_subscripts(t, 1) AS token_at FROM filled),
-    counts AS (SELECT leaf, token_at, token, count(*) AS n, sum(count(*)) OVER (PARTITION BY leaf, token_at) AS total FROM each GROUP BY 1, 2, 3),
-    best AS (SELECT *, row_number() OVER (PARTITION BY leaf, token_at ORDER BY n DESC, token DESC) AS place FROM counts),
-    shapes AS (SELECT leaf, list(CASE WHEN 2 * n >= total THEN token END ORDER BY token_at) AS shape FROM best WHERE place = 1 GROUP BY leaf),
-    named AS (
-        SELECT doc_id, line_at, leaf,
-               CASE WHEN len(list_filter(range(1, len(t) + 1), lambda i: t[i] = shape[i])) >= CAST(0.8 AS DOUBLE) * len(t) THEN NULL ELSE t END AS own
-        FROM filled JOIN shapes USING (leaf)),
-    recurring AS (SELECT leaf, own FROM named GROUP BY leaf, own HAVING count(DISTINCT doc_id) >= 5),
-    dropped AS (SELECT doc_id, line_at FROM named JOIN recurring ON named.leaf = recurring.leaf AND named.own IS NOT DISTINCT FROM recurring.own)
+    whole AS (SELECT t FROM filled GROUP BY t HAVING count(DISTINCT doc_id) >= 5),
+    others AS (SELECT * FROM filled ANTI JOIN whole USING (t)),
+    each AS (SELECT doc_id, line_at, leaf, unnest(t) AS token, generate_subscripts(t, 1) AS place FROM others),
+    spots AS (SELECT leaf, place, token, count(DISTINCT doc_id) AS docs FROM each WHERE place > 3 GROUP BY 1, 2, 3 HAVING docs >= 5),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line_at ORDER BY docs DESC, place) AS nth FROM each JOIN spots USING (leaf, place, token)),
+    bars AS (SELECT doc_id, line_at, docs AS bar FROM ranked WHERE nth = greatest(2, (leaf.n - 2) // 2)),
+    skeletons AS (SELECT doc_id, line_at, leaf, list({'place': place, 'token': token} ORDER BY place) AS skeleton, min(docs) AS least
+                  FROM ranked JOIN bars USING (doc_id, line_at) WHERE 2 * docs >= bar GROUP BY 1, 2, 3),
+    recurring AS (SELECT leaf, skeleton FROM skeletons GROUP BY leaf, skeleton
+                  HAVING count(DISTINCT doc_id) >= 5 AND 2 * count(DISTINCT doc_id) >= min(least)),
+    dropped AS (SELECT doc_id, line_at FROM filled JOIN whole USING (t)
+                UNION ALL SELECT doc_id, line_at FROM skeletons JOIN recurring USING (leaf, skeleton))
     SELECT split.doc_id, count(*) AS n_lines, count(dropped.doc_id) AS n_dropped,
            sha256(coalesce(string_agg(line, chr(10) ORDER BY line_at) FILTER (dropped.doc_id IS NULL), '')) AS kept_sha256
     FROM split LEFT JOIN dropped USING (doc_id, line_at) GROUP BY split.doc_id
