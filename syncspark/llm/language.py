@@ -37,12 +37,17 @@ _LETTER = regex.compile(r"\p{L}")
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample`` documents of each language are learned from, of texts up to ``sample_chars`` signs."""
+    """``sample`` documents of each of the ``languages`` most frequent languages are learned from.
+
+    Texts have up to ``sample_chars`` signs, all of them together about ``total_chars``.
+    """
 
     bits: int = 16
     sizes: tuple[int, ...] = (3, 4)
     sample: int = 800
     sample_chars: int = 200_000
+    languages: int = 128
+    total_chars: int = 100_000_000
     epochs: int = 5
     penalty: float = 1e-4
     seed: int = 11
@@ -156,7 +161,7 @@ def predict(texts: Sequence[str], model: LanguageModel) -> tuple[list[str], list
 def identify(docs: DataFrame, settings: Settings = Settings(), families: dict[str, tuple[str, ...]] = FAMILIES) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, lang_pred, score``.
 
-    Learned from the texts and languages of rows with a language whose
+    Learned from texts and languages (of a bounded sample, see :class:`Settings`) of rows with a language whose
     ``crc32(doc_id as text) mod 4`` is not 2; only the text enters a prediction.
     ``held_out`` is that remainder being 2, false for a null id. Null texts and
     texts without a letter are ``und`` with score 0, as is everything if no row
@@ -167,7 +172,7 @@ def identify(docs: DataFrame, settings: Settings = Settings(), families: dict[st
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     known = known.where((remainder("doc_id", 4) != 2) & F.col("lang").isNotNull())
     usable = known.where(F.length("text").between(1, settings.sample_chars))
-    learned = bounded_sample(usable, "lang", "doc_id", settings.sample).select("lang", "text").toPandas().sort_values(["lang", "text"], kind="stable")
+    learned = bounded_sample(usable, "lang", "doc_id", settings.sample, settings.languages, F.length("text"), settings.total_chars).select("lang", "text").toPandas().sort_values(["lang", "text"], kind="stable")
     model = train(learned["text"].tolist(), learned["lang"].tolist(), settings, families)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

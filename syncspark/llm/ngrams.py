@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from syncspark.llm.text import Rolling, code_points
 
@@ -109,15 +109,20 @@ def remainder(doc_id: str, divisor: int):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor
 
 
-def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int) -> DataFrame:
+def bounded_sample(rows: DataFrame, label: str, key: str, per_label: int, labels: int, size: Column | None = None, total_size: int = 0) -> DataFrame:
     """About ``per_label`` rows of each label, chosen by a hash of ``key``; never more than twice that in all.
 
-    Counts of the labels, one row each, go to the driver; the rows themselves
-    are chosen where they are.
+    Only the ``labels`` most frequent labels are taken, ties by the smaller one.
+    With ``size``, each label also gets rows of about ``total_size / labels found``
+    at most. Counts of these labels, one row each, go to the driver; the rows
+    themselves are chosen where they are.
     """
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    size = F.lit(0) if size is None else size
+    counts = rows.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"), F.sum(size).alias("size"))
+    counts = counts.orderBy(F.desc("n"), label).limit(labels).collect()
     share = F.lit(None).cast("double")
-    for value, n in counts.items():
-        share = F.when(F.col(label) == value, F.lit(min(1.0, per_label / n))).otherwise(share)
+    for value, n, filled in counts:
+        most = total_size / len(counts) / filled if filled else 1.0
+        share = F.when(F.col(label) == value, F.lit(min(1.0, per_label / n, most))).otherwise(share)
     position = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     return rows.where(position < share).limit(2 * per_label * max(1, len(counts)))

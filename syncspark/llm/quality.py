@@ -106,7 +106,7 @@ def learned(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     known = known.where((remainder("doc_id", 5) != 0) & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = bounded_sample(known, "quality", "doc_id", settings.sample)
+    chosen = bounded_sample(known, "quality", "doc_id", settings.sample, 2)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # At most four samples of ids: small enough to broadcast whatever the size of the corpus.
     rows = source.where(F.length("text") <= settings.sample_chars).join(F.broadcast(chosen), "doc_id").select("text", "quality").limit(4 * settings.sample).toPandas()

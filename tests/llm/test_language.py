@@ -66,3 +66,41 @@ def test_hard_documents(hard_docs, no_docs, local_rows):
 def test_without_languages_all_is_undetermined(spark, local_rows):
     docs = spark.createDataFrame([(1, "some words", None), (2, None, None)], "doc_id long, text string, lang string")
     assert {(r["lang_pred"], r["score"]) for r in local_rows(language.identify(docs, SETTINGS))} == {("und", 0.0)}
+
+
+def test_predictions_by_hand():
+    """Families and duels of a model in plain loops."""
+    import math
+
+    from syncspark.llm.ngrams import Features
+
+    texts = [t for t in WORDS.values() for _ in range(10)]
+    model = language.train(texts, [x for x in WORDS for _ in range(10)], SETTINGS)
+    asked = ["the maison und agua talo", "die Wasser were casa esta", "jonka with ils yendo", "x", "", "12 34"]
+    chance = lambda margin: 1 / (1 + math.exp(-2 * margin))
+    expected = []
+    for text, (feature, share) in zip(asked, Features(asked, SETTINGS.bits, SETTINGS.sizes).counts()):
+        margins = [sum(float(s) * float(model.columns[f, c]) for f, s in zip(feature, share)) + model.bias[c] for c in range(model.columns.shape[1])]
+        own = max(range(len(model.families)), key=lambda k: margins[k])
+        duels = {(a, b): chance(margins[len(model.families) + c]) for c, (k, a, b) in enumerate(model.pairs) if k == own}
+        best = 0 if all(p >= 0.5 for (a, _), p in duels.items() if a == 0) else 1
+        worst = min([p if a == best else 1 - p for (a, b), p in duels.items() if best in (a, b)], default=1.0)
+        seen = any(c.isalpha() for c in text)
+        expected.append((model.families[own][best], chance(margins[own]) * worst) if seen else ("und", 0.0))
+    names, scores = language.predict(asked, model)
+    assert names == [n for n, _ in expected]
+    assert all(abs(s - t) < 1e-4 for s, (_, t) in zip(scores, expected))
+
+
+def test_dirty_languages_stay_bounded(spark):
+    """Thousands of values of ``lang``: the most frequent ones are learned from, within all signs allowed."""
+    from pyspark.sql import functions as F
+
+    from syncspark.llm.ngrams import bounded_sample
+
+    rows = [(i, "w" * 100, ["en", "de", f"noise {i}"][i % 3]) for i in range(6000)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    chosen = bounded_sample(data, "lang", "doc_id", 200, 2).groupBy("lang").count().collect()
+    assert {r["lang"] for r in chosen} == {"de", "en"} and all(140 <= r["count"] <= 260 for r in chosen)
+    chosen = bounded_sample(data, "lang", "doc_id", 1000, 2, F.length("text"), 40_000).groupBy("lang").count().collect()
+    assert all(140 <= r["count"] <= 260 for r in chosen)

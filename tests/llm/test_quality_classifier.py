@@ -87,3 +87,19 @@ def test_softmax_of_more_classes(classes):
     model = quality.train(texts, labels, classes, SETTINGS)
     means = Features(texts[:classes], SETTINGS.bits, SETTINGS.sizes, repeats=True).means(model.table()) + model.bias
     assert means.argmax(1).tolist() == list(range(classes))
+
+
+def test_scores_by_hand(spark, local_rows):
+    """Mean vector, output and softmax in plain loops."""
+    import math
+
+    texts = ["the meadow was calm", "BUY $$$ now now now", "music filled the hall", "%%% CHEAP $$$"]
+    model = quality.train(texts * 5, [1, 0, 1, 0] * 5, 2, SETTINGS)
+    asked = ["calm music", "$$$ the hall", "", "now now"]
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string").coalesce(1)
+    found = {r["doc_id"]: r["_scores"] for r in local_rows(quality.score(docs, model, SETTINGS.bits))}
+    for i, (feature, share) in enumerate(Features(asked, SETTINGS.bits, SETTINGS.sizes, repeats=True).counts()):
+        mean = [sum(float(s) * float(model.vectors[f, d]) for f, s in zip(feature, share)) for d in range(model.vectors.shape[1])]
+        logits = [sum(float(w) * m for w, m in zip(row, mean)) + float(b) for row, b in zip(model.output, model.bias)]
+        top = [math.exp(x - max(logits)) for x in logits]
+        assert all(abs(p - q / sum(top)) < 1e-4 for p, q in zip(found[i], top))
