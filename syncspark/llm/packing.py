@@ -73,7 +73,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", length: Column | None = None,
 
     ``length`` is the number of tokens, by default that of the words of
     ``text``. Batches are numbered in each bucket, in the order of ``doc_id`` and
-    ``piece`` (null ids first, the order of repeated ids is free); a batch holds
+    ``piece`` (null ids first, of repeated ids the shorter piece first); a batch holds
     ``batch_tokens // bucket_length`` sequences, at least one, and only the last
     of a bucket may hold fewer. Documents without tokens have one piece of length
     0, bucket 0 and neither batch nor slot. Repeated rows are packed each, an
@@ -81,7 +81,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", length: Column | None = None,
 
     The histogram has at most ``window`` rows. Rows are dealt out by bucket and
     id in ranges, numbered in each range and shifted by the sizes of the ranges
-    before it: no bucket meets in one task.
+    before it: neither a bucket nor an id that repeats often meets in one task.
     """
     with scratch(docs.sparkSession):
         cut = stage(pieces(docs, doc_id, word_count() if length is None else length, window), "pieces")
@@ -91,8 +91,9 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", length: Column | None = None,
         for bound in reversed(bounds):
             bucket = F.when(F.col("n_tokens") <= bound, F.lit(bound)).otherwise(bucket)
         bucket = F.when(F.col("n_tokens") <= 0, F.lit(0)).otherwise(bucket).cast("long")
-        order = ["bucket_length", "doc_id", "piece"]
-        ranged = cut.withColumn("bucket_length", bucket).repartitionByRange(*order).sortWithinPartitions(*order)
+        # Pieces that agree in all but the last are alike in the result, too.
+        order = ["bucket_length", "doc_id", "piece", "n_tokens", "_spread"]
+        ranged = cut.withColumn("bucket_length", bucket).withColumn("_spread", F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(*order).sortWithinPartitions(*order)
         placed = stage(ranged.withColumn("_place", F.monotonically_increasing_id()), "placed")
         placed = placed.withColumn("_part", F.shiftright("_place", _ROW_BITS))
         runs = placed.groupBy("bucket_length", "_part").agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))

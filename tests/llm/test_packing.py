@@ -70,3 +70,15 @@ def test_order_and_bounds_over_partitions(spark, local_rows):
 @pytest.mark.parametrize("budget", [1, 10_000])
 def test_a_batch_holds_at_least_one_sequence(hard_docs, local_rows, budget):
     check(local_rows(pack(hard_docs, window=64, buckets=2, batch_tokens=budget)), 64, budget)
+
+
+def test_repeated_ids_have_one_result(spark, local_rows):
+    """Rows of one id, or of none, in any order and partitioning."""
+    rows = [(None if i % 3 else 7, "w " * (i * i % 41)) for i in range(600)]
+    results = []
+    for parts, order in ((2, rows), (5, rows[::-1])):
+        docs = spark.createDataFrame(order, "doc_id long, text string").repartition(parts)
+        found = local_rows(pack(docs, window=30, buckets=4, batch_tokens=120))
+        check(found, 30, 120)
+        results.append(sorted((tuple(sorted(r.items())) for r in found), key=repr))
+    assert results[0] == results[1]
