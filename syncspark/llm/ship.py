@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import zipfile
 from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -23,7 +23,9 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
-    archive = Path(tempfile.mkdtemp(prefix="syncspark-")) / "syncspark.zip"
+    # Spark deletes its own folder for files when the application ends.
+    archive = Path(SparkFiles.getRootDirectory()) / "package" / "syncspark.zip"
+    archive.parent.mkdir(exist_ok=True)
     with zipfile.ZipFile(archive, "w") as file:
         for source in sorted(PACKAGE.rglob("*.py")):
             file.write(source, source.relative_to(PACKAGE.parent))
