@@ -20,7 +20,7 @@ from itertools import pairwise, product
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from syncspark.workspace import scratch, stage
 
@@ -274,6 +274,18 @@ def exact_nearest(vectors: DataFrame, queries: list[tuple[int, np.ndarray]], k:
     return _ranked(vectors.mapInArrow(run, "query_id long, vec_id long, score double"), k)
 
 
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+
+def _unit_column(vector: str) -> Column:
+    """A vector that is not zero, with length 1; scaled first, as squares may be too small or large for a double."""
+    scale = F.array_max(F.transform(vector, lambda a: F.abs(a.cast("double"))))
+    scaled = F.transform(vector, lambda a: a.cast("double") / scale)
+    length = F.sqrt(_sum(F.transform(scaled, lambda a: a * a)))
+    return F.transform(scaled, lambda a: a / length)
+
+
 def _chosen(vectors: DataFrame, queries: DataFrame, length: int, k: int, settings: Settings) -> tuple[int, int]:
     """Length of a bucket, and fewest probes that find the wished share of the true neighbours of a sample of queries.
 
@@ -285,7 +297,11 @@ def _chosen(vectors: DataFrame, queries: DataFrame, length: int, k: int, setting
     chosen = [(int(i), np.asarray(v, np.float64)) for i, v in zip(sample["vec_id"], sample["embedding"], strict=True)]
     if not chosen:
         return length, 1
-    near = exact_nearest(vectors, chosen, k).join(vectors, "vec_id").select("query_id", "embedding").toPandas()
+    # An id may have any number of vectors: of each neighbour the one nearest to the query is taken.
+    asked = queries.where(F.col("vec_id").isin([i for i, _ in chosen])).select(F.col("vec_id").alias("query_id"), _unit_column("embedding").alias("own"))
+    met = exact_nearest(vectors, chosen, k).join(vectors, "vec_id").join(F.broadcast(asked), "query_id")
+    cosine = _sum(F.zip_with("own", _unit_column("embedding"), lambda a, b: a * b))
+    near = met.groupBy("query_id", "vec_id").agg(F.max_by("embedding", cosine).alias("embedding")).where("embedding IS NOT NULL").toPandas()
     own = dict(chosen)
     pairs = []
     for dim in sorted({len(v) for v in own.values()}):

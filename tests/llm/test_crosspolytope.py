@@ -123,3 +123,19 @@ def test_many_ties_of_a_pack_go_to_smaller_ids(spark):
     rows = [(0, [1.0, 2.0, 3.0])] + [(9, [2.0**n, 2.0 ** (n + 1), 3.0 * 2.0**n]) for n in range(40)] + [(i, [1.0, 2.0, 3.0 + i]) for i in range(1, 5)]
     got = found(cp.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)))
     assert [i for i, _ in got[0]] == [9, 1, 2, 3, 4]
+
+
+def test_ids_of_many_vectors_while_probes_are_chosen(spark):
+    """One id holds half of all vectors: each neighbour brings one vector to the driver."""
+    random = np.random.default_rng(4)
+    rows = [(i if i % 2 else 1, [float(x) for x in random.normal(size=16)]) for i in range(800)] + [(50 * i, [float(x) for x in random.normal(size=16)]) for i in range(1, 5)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = cp.search(data).collect()
+    kept = {}
+    for i, v in rows:
+        kept.setdefault(i, []).append(np.asarray(v, np.float32).astype(float))
+    for q in (50, 100, 150, 200):
+        own = kept[q][0]
+        best = sorted(((-max(float(own @ v / np.linalg.norm(own) / np.linalg.norm(v)) for v in vs), i) for i, vs in kept.items() if i != q))[:5]
+        got = {r.vec_id for r in found if r.query_id == q}
+        assert len(got) == 5 and len(got & {i for _, i in best}) >= 3
