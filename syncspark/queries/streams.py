@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from syncspark.functions.messages import encode
 from syncspark.functions.scalars import format_micros
@@ -301,9 +301,17 @@ _SENDERS_SQL = f"""WITH {CHANGE_LOG_SQL},
     greatest AS (SELECT sender, max(seq) AS top FROM numbered WHERE state <> 'error' GROUP BY sender)"""
 
 
-def _sender_files(spark: SparkSession, sf_dir: str, path: str, delivery: int) -> None:
-    order = Window.partitionBy("sender").orderBy("event_id")
-    log = change_log(spark, sf_dir).withColumn("sender", F.col("user_id") % 4).withColumn("seq", F.row_number().over(order).cast("long"))
+def _numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with the number that its sender gives each record: all are numbered by sender, and each sender's begin at 1."""
+    log = change_log(spark, sf_dir).select((F.col("user_id") % 4).alias("sender"), "state", "log_timestamp", "event_id")
+    placed = assign_sequence(log, ["sender", "event_id"], name="_place")
+    before = placed.groupBy(F.col("sender").alias("_sender")).agg((F.min("_place") - 1).alias("_before"))
+    numbered = placed.join(F.broadcast(before), F.col("sender").eqNullSafe(F.col("_sender")))
+    return stage(numbered.select("sender", "state", "log_timestamp", (F.col("_place") - F.col("_before")).alias("seq")), "numbered")
+
+
+def _sender_files(log: DataFrame, path: str, delivery: int) -> None:
+    """Append a delivery as one file, so that it comes as one batch."""
     at = F.col("log_timestamp")
     bounds = [F.lit(b).cast("timestamp_ntz") for b in _BOUNDS]
     part, late = F.lit(0), F.lit(False)
@@ -313,7 +321,7 @@ def _sender_files(spark: SparkSession, sf_dir: str, path: str, delivery: int) ->
     part = part + F.when(late & (F.col("state") == "signup"), 1).otherwise(0)
     twice = F.when(F.col("state") == "click", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     rows = log.filter((F.col("state") != "error") & (part == delivery)).select("sender", "seq", at.cast("timestamp").alias("log_timestamp"), F.explode(twice).alias("_copy"))
-    rows.drop("_copy").coalesce(1).write.mode("append").parquet(path)
+    rows.drop("_copy").repartition(1).write.mode("append").parquet(path)
 
 
 @query(
@@ -330,8 +338,9 @@ def stream_lost_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         with range_state(spark):
             append(lost_ranges(records, "sender", "seq", "log_timestamp", "1 day"), out, checkpoint, interval=None).awaitTermination()
 
+    log = _numbered(spark, sf_dir)
     for delivery in range(4):
-        _sender_files(spark, sf_dir, path, delivery)
+        _sender_files(log, path, delivery)
         if delivery == 1:
             run()
     spark.sql("SELECT -1L AS sender, 1L AS seq, TIMESTAMP '2100-01-01 00:00:00' AS log_timestamp").coalesce(1).write.mode("append").parquet(path)

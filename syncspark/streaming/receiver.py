@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -41,55 +42,78 @@ def _gaps_processor() -> StatefulProcessor:
     """The processor travels to the workers as a whole, so they need no package."""
 
     class Gaps(StatefulProcessor):
-        """State of a sender: its greatest number, and the ranges missing below it with the time of the record behind each."""
+        """State of a sender: its greatest number, and the ranges missing below it with the time of the record behind each.
+
+        Ranges are rows ``first, last, seen`` in order, packed by blocks of 65,536 numbers. A sender has one
+        timer, for the range that is due first.
+        """
 
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
             self.greatest = handle.getValueState("greatest", "n bigint")
-            self.gaps = handle.getMapState("gaps", "first bigint", "last bigint, seen bigint")
+            self.due = handle.getValueState("due", "millis bigint")
+            self.gaps = handle.getMapState("gaps", "block bigint", "ranges binary")
+
+        def _held(self) -> tuple[dict[int, bytes], np.ndarray]:
+            """Blocks as they are kept, and the ranges of all of them."""
+            blocks = {block[0]: bytes(packed[0]) for block, packed in self.gaps.iterator()}
+            return blocks, np.frombuffer(b"".join(blocks[b] for b in sorted(blocks)), np.int64).reshape(-1, 3)
+
+        def _keep(self, before: dict[int, bytes], ranges: np.ndarray) -> None:
+            """Replace the blocks that changed, and set the timer to the range that is due first."""
+            block = ranges[:, 0] >> 16
+            cuts = np.flatnonzero(np.diff(block, prepend=-1))
+            after = {int(block[a]): ranges[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(ranges)])}
+            for number in before.keys() - after.keys():
+                self.gaps.removeKey((number,))
+            for number, packed in after.items():
+                if before.get(number) != packed:
+                    self.gaps.updateValue((number,), (packed,))
+            due = self.due.get()[0] if self.due.exists() else None
+            first_due = int(ranges[:, 2].min()) if len(ranges) else None
+            if due == first_due:
+                return
+            if due is not None:
+                self.handle.deleteTimer(due)
+            if first_due is None:
+                self.due.clear()
+            else:
+                self.due.update((first_due,))
+                self.handle.registerTimer(first_due)
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-            arrived = {}
-            for row in rows:
-                seen = int(row["_millis"])
-                arrived[row["_number"]] = min(seen, arrived.get(row["_number"], seen))
+            pairs = np.fromiter((x for row in rows for x in (row["_number"], row["_millis"])), np.int64).reshape(-1, 2)
+            pairs = pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))]
+            numbers, earliest = np.unique(pairs[:, 0], return_index=True)
+            times = pairs[earliest, 1]
             greatest = self.greatest.get()[0] if self.greatest.exists() else 0
-            gaps = {first[0]: tuple(rest) for first, rest in self.gaps.iterator()}
-            before = dict(gaps)
-            starts = sorted(gaps)
-            for n in sorted(arrived):
-                if n > greatest:
-                    if n > greatest + 1:
-                        gaps[greatest + 1] = n - 1, arrived[n]
-                    greatest = n
-                    continue
-                # A late one: its range begins at or before it.
-                low, high = 0, len(starts)
-                while low < high:
-                    middle = (low + high) // 2
-                    low, high = (middle + 1, high) if starts[middle] <= n else (low, middle)
-                if low and starts[low - 1] in gaps and gaps[starts[low - 1]][0] >= n:
-                    first = starts[low - 1]
-                    last, seen = gaps.pop(first)
-                    for a, b in ((first, n - 1), (n + 1, last)):
-                        if a <= b:
-                            gaps[a] = b, seen
-                    starts[low - 1 : low] = [a for a, b in ((first, n - 1), (n + 1, last)) if a <= b]
-            for first in before:
-                if first not in gaps:
-                    self.gaps.removeKey((first,))
-            for first, rest in gaps.items():
-                if before.get(first) != rest:
-                    self.gaps.updateValue((first,), rest)
-                    self.handle.registerTimer(rest[1])
+            before, ranges = self._held()
+            new = int(np.searchsorted(numbers, greatest, "right"))
+            late = numbers[:new]
+            if len(late) and len(ranges):
+                # Late ones part their ranges: each ends one piece and begins another, which may be empty.
+                at = np.searchsorted(ranges[:, 0], late, "right") - 1
+                late = late[(at >= 0) & (ranges[at, 1] >= late)]
+                firsts = np.sort(np.concatenate([ranges[:, 0], late + 1]))
+                lasts = np.sort(np.concatenate([ranges[:, 1], late - 1]))
+                seen = ranges[np.searchsorted(ranges[:, 0], firsts, "right") - 1, 2]
+                ranges = np.stack([firsts, lasts, seen], 1)[firsts <= lasts]
+            if new < len(numbers):
+                below = np.concatenate([[greatest], numbers[new:-1]])
+                missing = np.stack([below + 1, numbers[new:] - 1, times[new:]], 1)
+                ranges = np.concatenate([ranges, missing[missing[:, 0] <= missing[:, 1]]])
+                greatest = int(numbers[-1])
+            self._keep(before, ranges)
             self.greatest.update((greatest,))
             return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-            now = expiredTimerInfo.getExpiryTimeInMs()
-            over = [(first[0], rest[0]) for first, rest in self.gaps.iterator() if rest[1] <= now]
-            for first, last in sorted(over):
-                self.gaps.removeKey((first,))
+            # All ranges that the stream's time has passed go at once.
+            now = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs() - 1)
+            before, ranges = self._held()
+            over = ranges[:, 2] <= now
+            self._keep(before, ranges[~over])
+            for first, last in ranges[over, :2].tolist():
                 yield Row(_key=key[0], first=first, last=last)
 
         def close(self) -> None:

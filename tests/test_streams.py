@@ -1,9 +1,11 @@
 import json
+import random
 from datetime import datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Row, functions as F, types as T
 
 from syncspark.functions import accepted, decode, encode, quarantined
 from syncspark.operators.incremental import Cursor
@@ -16,8 +18,8 @@ from syncspark.streaming.batches import append, appended, read_batch, read_batch
 from syncspark.streaming.capture import FileTopic, SourceTopic, capture, numbers_of, resend_missing
 from syncspark.streaming.counters import count_by_key, current_counts
 from syncspark.streaming.messages import deliver_once, refused, sync_messages, sync_messages_to, synced
-from syncspark.streaming.receiver import lost_ranges, range_state, received_once
-from syncspark.workspace import mark
+from syncspark.streaming.receiver import _gaps_processor, lost_ranges, range_state, received_once
+from syncspark.workspace import mark, new_path
 
 TEXTS = [
     '{"user_id":1,"login":"a","state":"INSERT"}',
@@ -424,3 +426,59 @@ def test_repeats_are_dropped_and_leave_the_state(spark, rows, dirs):
     assert [r[0] for r in rows(appended(spark, dirs("out"), kinds))] == [0, 1, 2, 3, 40, 41, 70]
     held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
     assert max(held) < 7 and held[-1] <= 2
+
+
+class _State:
+    """A value or a map of a processor, and the timers of its sender."""
+
+    def __init__(self):
+        self.held, self.timers = {}, set()
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+        self.getValueState = self.getMapState = lambda *_: _State()
+
+    def exists(self):
+        return () in self.held
+
+    def get(self):
+        return self.held[()]
+
+    def update(self, value):
+        self.held[()] = value
+
+    def clear(self):
+        self.held.clear()
+
+    def iterator(self):
+        return iter(list(self.held.items()))
+
+    def updateValue(self, key, value):
+        self.held[key] = value
+
+    def removeKey(self, key):
+        del self.held[key]
+
+
+def test_many_ranges_of_a_sender_wait_for_one_timer():
+    """Numbers over several blocks, some late, some twice; the ranges are those found number by number."""
+    handle, gaps, draw = _State(), _gaps_processor(), random.Random(5)
+    gaps.init(handle)
+    sent = [n for n in range(1, 200_001, 7) if not 70_000 < n < 140_000]
+    early = [n for n in sent if draw.random() < 0.5]
+    late = [n for n in sent if n not in set(early)] + [3, 4, 5, 100_000]
+    for numbers in (early, late):
+        draw.shuffle(numbers)
+        gaps.handleInputRows(("a",), iter([Row(_number=n, _millis=1000 + n) for n in numbers + numbers[:50]]), None)
+        assert len(handle.timers) == 1
+    arrived, missing, seen = {*early, *late}, [], 0
+    for n in sorted(arrived):
+        missing += [(seen + 1, n - 1)] if n > seen + 1 else []
+        seen = n
+    found = []
+    for watermark in (1000, 90_000, 500_000):
+        while handle.timers and min(handle.timers) < watermark:
+            at = min(handle.timers)
+            times = SimpleNamespace(getCurrentWatermarkInMs=lambda w=watermark: w)
+            found.append([(r.first, r.last) for r in gaps.handleExpiredTimer(("a",), times, SimpleNamespace(getExpiryTimeInMs=lambda t=at: t))])
+            handle.timers.discard(at)
+    assert len(found) == 2 and sorted(found[0] + found[1]) == missing
+    assert handle.timers == set() and not gaps.gaps.held
