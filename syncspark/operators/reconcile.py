@@ -20,8 +20,10 @@ IN_SINK = "n_sink"
 MATCH = "match"
 DIFFERS = "differs"
 
+# Rows with more copies than this leave the task that holds them.
+_COPIES_IN_PLACE = 100
 # Copies of one row that a single generated array may hold.
-_COPIES_PER_CHUNK = 100_000
+_COPIES_PER_CHUNK = 10_000
 
 
 def compare(source: DataFrame, sink: DataFrame) -> DataFrame:
@@ -61,21 +63,24 @@ def extra(compared: DataFrame) -> DataFrame:
 def repeat_rows(df: DataFrame, copies: str, index: str | None = None) -> DataFrame:
     """Each row ``copies`` times, without the count column.
 
-    ``index`` names a column for the number of the copy, from 1. Rows with very
-    many copies are first cut into chunks that are spread over the cluster, so
-    no task has to emit one hot row alone.
+    ``index`` names a column for the number of the copy, from 1. Rows with many
+    copies are first cut into chunks that are spread over the cluster, so no
+    task has to emit one hot row, or the copies of all rows of a small table,
+    alone. The number of partitions is named: a shuffle of few rows would be
+    joined to one task again, however many copies they stand for.
     """
     names = [c for c in df.columns if c != copies]
     count = F.col(copies)
     chunk_rows = F.lit(_COPIES_PER_CHUNK).cast("long")
-    few = df.filter(count <= chunk_rows).select(
+    few = df.filter(count <= _COPIES_IN_PLACE).select(
         *names, F.explode(F.sequence(F.lit(1).cast("long"), count)).alias("_copy")
     )
     # Chunks start after 0, 1, 2, ... times the chunk size.
     starts = F.sequence(F.lit(0).cast("long"), count - 1, chunk_rows)
-    chunks = df.filter(count > chunk_rows).select("*", F.explode(starts).alias("_start"))
+    chunks = df.filter(count > _COPIES_IN_PLACE).select("*", F.explode(starts).alias("_start"))
     last = F.least(F.col("_start") + chunk_rows, count)
-    many = chunks.repartition("_start", *names).select(
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = chunks.repartition(tasks, "_start", *names).select(
         *names, F.explode(F.sequence(F.col("_start") + 1, last)).alias("_copy")
     )
     repeated = few.union(many)

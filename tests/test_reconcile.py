@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from syncspark.operators import reconcile as R, sketch
 from syncspark.operators.project import tag
@@ -90,6 +91,14 @@ def test_copies_of_one_hot_row_are_all_kept(spark):
     assert distinct == 250_001 + 2 + 100_000
 
 
+def test_copies_of_a_small_table_are_spread(spark):
+    """A few rows in one task, each with fewer copies than a chunk may hold."""
+    counted = spark.range(0, 40, 1, 1).selectExpr("id AS k", "5000L AS n")
+    found = R.repeat_rows(counted, "n", index="i").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in found) == 200_000
+    assert len(found) > 1 and max(r["count"] for r in found) < 150_000
+
+
 def test_hot_row_is_combined_before_the_shuffle(spark):
     plan = R.compare(*_pair(spark))._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and plan.count("Exchange hashpartitioning") == 1
