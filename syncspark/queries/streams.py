@@ -361,9 +361,12 @@ def stream_received_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = encode(sent.filter(F.col("log_timestamp") < F.lit(_MIDDLE).cast("timestamp_ntz")))
     rest = encode(sent.filter(F.col("log_timestamp") >= F.lit(_MIDDLE).cast("timestamp_ntz")))
     again = encode(sent.filter(F.col("state") == "click"))
-    for messages in (first, first, rest, again):
-        messages.coalesce(1).write.mode("append").parquet(path)
     kinds = T.StructType.fromDDL("seq bigint, event_id bigint, state string, log_timestamp timestamp")
-    raw = stream_topic(spark, {"path": path, "maxFilesPerTrigger": "1"}, "parquet", T.StructType.fromDDL("value string"))
-    append(received_once(raw, kinds, "log_timestamp", "40 days"), out, new_path(spark, "checkpoint"), interval=None).awaitTermination()
+    checkpoint = new_path(spark, "checkpoint")
+    # Each sending is one batch, of as many files as it has tasks: a single file would be parsed by one task.
+    for messages in (first, first, rest, again):
+        messages.write.mode("append").parquet(path)
+        raw = stream_topic(spark, {"path": path}, "parquet", T.StructType.fromDDL("value string"))
+        with range_state(spark):
+            append(received_once(raw, kinds, "log_timestamp", "40 days"), out, checkpoint, interval=None).awaitTermination()
     return appended(spark, out, kinds).withColumn("log_timestamp", format_micros(F.col("log_timestamp")))

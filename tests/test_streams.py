@@ -482,3 +482,30 @@ def test_many_ranges_of_a_sender_wait_for_one_timer():
             handle.timers.discard(at)
     assert len(found) == 2 and sorted(found[0] + found[1]) == missing
     assert handle.timers == set() and not gaps.gaps.held
+
+
+def test_received_once_parses_a_sending_in_several_tasks(spark, monkeypatch, tmp_path, rows):
+    """Each sending is a batch of its own, and no batch is one file."""
+    from syncspark.queries import streams
+
+    events = spark.range(4000).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(id * 10 AS INT), 0) AS ts", "id % 5 AS user_id",
+        "IF(id % 3 = 0, 'click', 'view') AS event_type", "1.0D AS value", "'{}' AS props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    files, topics = [], []
+
+    def path(session, label):
+        found = new_path(session, label)
+        topics.extend([found] if label == "topic" else [])
+        return found
+
+    def received(raw, *settings):
+        files.append(len(list(Path(topics[0].removeprefix("file:")).glob("*.parquet"))))
+        return received_once(raw, *settings)
+
+    monkeypatch.setattr(streams, "new_path", path)
+    monkeypatch.setattr(streams, "received_once", received)
+    found = rows(streams.stream_received_once(spark, str(tmp_path)))
+    assert sorted(r[0] for r in found) == list(range(1, 4001))
+    assert len(files) == 4 and files[0] > 1 and files[1] > files[0] + 1
